@@ -1 +1,8 @@
 """Training-corpus preparation as plain Spark DataFrame work."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the job, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

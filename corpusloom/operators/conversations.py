@@ -33,63 +33,66 @@ def assemble_messages(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataF
     return turns.groupBy("conv_id", _block(block_turns).alias("part")).agg(messages.alias("messages"))
 
 
-def _block_edges(turns: DataFrame, block_turns: int) -> list[DataFrame]:
-    """Helper rows that let each block of a long conversation be read on its own.
-
-    Every block gets the first turn of the next block behind its own turns, and the system turn
-    of the conversation in front. Only rows with turn >= block_turns are read for the first,
-    which the scan skips where there are none.
-    """
-    long_turns = turns.where(F.col("turn") >= block_turns).withColumn("block", _block(block_turns))
+def _next_turns(long_turns: DataFrame) -> DataFrame:
+    """The first turn of each block, as a helper row behind the turns of the block before it."""
     firsts = long_turns.groupBy("conv_id", "block").agg(
         F.min_by(F.struct("turn", "role", "text"), "turn").alias("first")
     )
     previous = F.lag("block", 1, 0).over(W.partitionBy("conv_id").orderBy("block"))
-    followers = firsts.select(
-        "conv_id", previous.alias("block"), "first.turn", "first.role", "first.text", F.lit(1).alias("edge")
+    return firsts.select(
+        "conv_id", "first.turn", "first.role", "first.text", previous.alias("block"), F.lit(1).alias("edge")
     )
-    blocks = firsts.select("conv_id", "block")
-    blocks = blocks.unionByName(blocks.select("conv_id", F.lit(0).cast("long").alias("block")).distinct())
-    system = (
+
+
+def _system_turns(turns: DataFrame, long_turns: DataFrame) -> DataFrame:
+    """The first system turn of a long conversation, as a helper row in front of each block."""
+    systems = (
         turns.where(F.col("role") == "system")
-        .join(blocks.select("conv_id").distinct(), "conv_id", "left_semi")
+        .join(long_turns.select("conv_id").distinct(), "conv_id", "left_semi")
         .groupBy("conv_id")
         .agg(F.min_by(F.struct("turn", "role", "text"), "turn").alias("first"))
     )
-    openers = blocks.join(system, "conv_id").select(
-        "conv_id", "block", "first.turn", "first.role", "first.text", F.lit(-1).alias("edge")
+    blocks = long_turns.select(
+        "conv_id", F.explode(F.array(F.lit(0).cast("long"), "block")).alias("block")
+    ).distinct()
+    return blocks.join(systems, "conv_id").select(
+        "conv_id", "first.turn", "first.role", "first.text", "block", F.lit(-1).alias("edge")
     )
-    return [followers, openers]
 
 
-def pair_turns(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
+def pair_turns(
+    turns: DataFrame, *, with_system: bool = True, block_turns: int = BLOCK_TURNS
+) -> DataFrame:
     """A user turn directly followed by an assistant turn gives one row:
-    (conv_id, turn, prompt, response, system_prompt), turn being that of the prompt.
+    (conv_id, turn, prompt, response[, system_prompt]), turn being that of the prompt.
 
-    system_prompt is the first system turn of the conversation, null when there is none. All
-    of it is one shuffle by (conv_id, block) and two windows over the same sort.
+    system_prompt is the first system turn of the conversation, null when there is none.
+
+    One shuffle by (conv_id, block), then windows over one sort. Helper rows make each block of
+    a long conversation complete in itself; the scan for them asks for turn >= block_turns and
+    skips all row groups of ordinary tables.
     """
-    cols = ["conv_id", "turn", "role", "text"]
-    own = turns.select(*cols).withColumns({"block": _block(block_turns), "edge": F.lit(0)})
-    rows = reduce(DataFrame.unionByName, _block_edges(turns.select(*cols), block_turns), own)
+    turns = turns.select("conv_id", "turn", "role", "text")
+    long_turns = turns.where(F.col("turn") >= block_turns).withColumn("block", _block(block_turns))
+    rows = turns.withColumns({"block": _block(block_turns), "edge": F.lit(0)}).unionByName(
+        _next_turns(long_turns)
+    )
+    if with_system:
+        rows = rows.unionByName(_system_turns(turns, long_turns))
     in_block = W.partitionBy("conv_id", "block").orderBy("edge", "turn")
     whole_block = in_block.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     system_turn = F.when(F.col("role") == "system", F.struct("text"))
-    paired = rows.select(
-        "conv_id",
-        "turn",
-        "edge",
-        "role",
-        F.col("text").alias("prompt"),
-        F.lead("role").over(in_block).alias("next_role"),
-        F.lead("text").over(in_block).alias("response"),
-        F.first(system_turn, ignorenulls=True).over(whole_block).alias("system"),
+    # The text keeps its name up to the end: renamed here, it would be shuffled twice.
+    paired = rows.withColumns(
+        {"next_role": F.lead("role").over(in_block), "response": F.lead("text").over(in_block)}
     )
+    out = ["conv_id", "turn", F.col("text").alias("prompt"), "response"]
+    if with_system:
+        paired = paired.withColumn("system", F.first(system_turn, ignorenulls=True).over(whole_block))
+        out.append(F.col("system.text").alias("system_prompt"))
     return paired.where(
         (F.col("edge") == 0) & (F.col("role") == "user") & (F.col("next_role") == "assistant")
-    ).select(
-        "conv_id", "turn", "prompt", "response", F.col("system.text").alias("system_prompt")
-    )
+    ).select(*out)
 
 
 def staged_corpus(stages: dict[str, DataFrame], stage_col: str = "stage") -> DataFrame:

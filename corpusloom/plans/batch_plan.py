@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusloom.plans.numbering import no_repeat
+from corpusloom.plans.numbering import strict_row_number
 
 PLAN_COLUMNS = ("epoch", "step", "accum", "rank", "slot")
 
@@ -105,18 +105,9 @@ def epoch_positions(
     last, last_examples = epochs - 1, shape.last_epoch_examples(n)
 
     rows = _shuffled_keys(df, id_col, seed, epochs, buckets)
-    in_bucket = W.partitionBy("_part").orderBy("_key", id_col)
-    numbered = {
-        "_number": F.row_number().over(in_bucket),
-        id_col: no_repeat([id_col], in_bucket),
-    }
-    if buckets == 1:
-        placed = (
-            rows.repartitionById(epochs, "_part")
-            .withColumns(numbered)
-            .withColumn("position", F.col("_number").cast("long") - 1)
-        )
-    else:
+    parts = epochs * buckets
+    firsts = None
+    if buckets > 1:
         counts = (
             _shuffled_keys(df.select(id_col), id_col, seed, epochs, buckets)
             .groupBy("epoch", "_part")
@@ -128,17 +119,20 @@ def epoch_positions(
         )
         if last_examples < n:
             # Highest bucket of the last epoch that still has examples before max_steps.
-            cut = (
-                firsts.where((F.col("epoch") == last) & (F.col("_first") < last_examples))
-                .agg(F.max("_part"))
-                .scalar()
-            )
-            rows = rows.where(F.col("_part") <= cut)
-        placed = (
-            rows.repartitionById(epochs * buckets, "_part")
-            .withColumns(numbered)
-            .join(F.broadcast(firsts.select("_part", "_first")), "_part")
-            .withColumn("position", F.col("_first") + F.col("_number") - 1)
+            needed = firsts.where((F.col("epoch") == last) & (F.col("_first") < last_examples))
+            parts = needed.agg(F.max("_part")).first()[0] + 1
+            rows = rows.where(F.col("_part") < parts)
+    in_bucket = W.partitionBy("_part").orderBy("_key", id_col)
+    placed = rows.repartitionById(parts, "_part").withColumn(
+        "_number", strict_row_number(in_bucket, [id_col]).cast("long")
+    )
+    if firsts is None:
+        placed = placed.withColumn("position", F.col("_number") - 1)
+    else:
+        # At most MAX_BUCKETS rows by construction of `buckets`.
+        first_positions = F.broadcast(firsts.select("_part", "_first").where(F.col("_part") < parts))
+        placed = placed.join(first_positions, "_part").withColumn(
+            "position", F.col("_first") + F.col("_number") - 1
         )
     if last_examples < n:
         placed = placed.where((F.col("epoch") < last) | (F.col("position") < last_examples))

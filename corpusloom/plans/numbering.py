@@ -9,12 +9,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def no_repeat(keys: Sequence[str], window: WindowSpec) -> Column:
-    """The first key column itself; the job fails on a row whose keys equal those before it."""
-    key = F.struct(*keys)
-    repeated = (F.row_number().over(window) > 1) & F.lag(key).over(window).eqNullSafe(key)
-    message = F.concat(F.lit(f"{', '.join(keys)} not unique: "), F.to_json(key))
-    return F.when(repeated, F.raise_error(message)).otherwise(F.col(keys[0]))
+def strict_row_number(window: WindowSpec, keys: Sequence[str]) -> Column:
+    """row_number over a window ordered by unique keys; the job fails where the keys repeat."""
+    number = F.row_number().over(window)
+    repeated = number > 1
+    for key in keys:
+        repeated &= F.lag(key).over(window).eqNullSafe(F.col(key))
+    shown = F.concat_ws(", ", *[F.col(key).cast("string") for key in keys])
+    message = F.concat(F.lit(f"{', '.join(keys)} not unique: "), shown)
+    return F.when(repeated, F.raise_error(message)).otherwise(number)
 
 
 def number_rows(
@@ -46,9 +49,7 @@ def number_rows(
     firsts = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     in_bucket = W.partitionBy("_bucket").orderBy(*keys)
     return (
-        bucketed.withColumns(
-            {"_number": F.row_number().over(in_bucket), keys[0]: no_repeat(keys, in_bucket)}
-        )
+        bucketed.withColumn("_number", strict_row_number(in_bucket, keys))
         .join(F.broadcast(firsts), "_bucket")
         .withColumn(number_col, (F.col("_before") + F.col("_number") + (start - 1)).cast("int"))
         .select(number_col, *[c for c in df.columns if c != number_col])

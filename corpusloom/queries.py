@@ -51,6 +51,7 @@ from corpusloom.sinks.writers import (
 from corpusloom.sources.cases import read_cases
 from corpusloom.sources.corpora import read_corpus
 from corpusloom.sources.logs import read_logs
+from corpusloom.sources.spread import spread
 from corpusloom.streaming.loss_metrics import extract_metrics, start_metric_stream
 
 STEP_SHAPE = BatchShape(micro_batch=4, accumulation=8, world_size=8, max_steps=10)
@@ -62,6 +63,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents table for work on every character of its texts."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def digest(items: Column | str) -> Column:
     """md5 of an array's items joined with commas."""
     c = F.col(items) if isinstance(items, str) else items
@@ -72,8 +78,7 @@ def digest(items: Column | str) -> Column:
 
 
 def prompt_response_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = conversations.pair_turns(table(spark, sf_dir, "conversations"))
-    return pairs.select(*KEY, "prompt", "response")
+    return conversations.pair_turns(table(spark, sf_dir, "conversations"), with_system=False)
 
 
 def instruction_input_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +108,7 @@ def marked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(
         F.lit("<|im_start|>"), "source", F.lit("\n"), "text", F.lit("<|endoftext|><|im_end|>"), "lang"
     )
-    return table(spark, sf_dir, "documents").select("doc_id", "lang", text.alias("text"))
+    return documents(spark, sf_dir).select("doc_id", "lang", text.alias("text"))
 
 
 def staged_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +192,7 @@ def q_last_message(spark, sf_dir):
 def q_nfc_text(spark, sf_dir):
     """Texts taken apart (e with a combining accent behind each e) and composed again."""
     loose = F.replace("text", F.lit("e"), F.lit("e\u0301"))
-    composed = table(spark, sf_dir, "documents").select("doc_id", nfc(loose).alias("text"))
+    composed = documents(spark, sf_dir).select("doc_id", nfc(loose).alias("text"))
     return composed.select("doc_id", F.length("text").alias("chars"), F.md5("text").alias("digest"))
 
 
@@ -205,20 +210,20 @@ def q_token_counts_native(spark, sf_dir):
 
 
 def q_corpus_vocab(spark, sf_dir):
-    return vocab.corpus_vocab(table(spark, sf_dir, "documents"))
+    return vocab.corpus_vocab(documents(spark, sf_dir))
 
 
 def q_corpus_vocab_bounded(spark, sf_dir):
-    return vocab.corpus_vocab(table(spark, sf_dir, "documents"), min_count=10, max_size=40)
+    return vocab.corpus_vocab(documents(spark, sf_dir), min_count=10, max_size=40)
 
 
 def q_vocab_inversion(spark, sf_dir):
-    whole = vocab.as_map(vocab.corpus_vocab(table(spark, sf_dir, "documents")))
+    whole = vocab.as_map(vocab.corpus_vocab(documents(spark, sf_dir)))
     return whole.select(F.explode(vocab.invert_map("vocab")).alias("id", "token"))
 
 
 def q_vocab_export(spark, sf_dir):
-    made = vocab.corpus_vocab(table(spark, sf_dir, "documents"))
+    made = vocab.corpus_vocab(documents(spark, sf_dir))
     (path,) = vocab.save_vocabulary(made, scratch_path(spark, "vocab"), "corpus")
     return vocab.load_vocabulary(spark, path)
 
@@ -231,13 +236,13 @@ def _encoded_digest(encoded: DataFrame, *keys: str) -> DataFrame:
 
 
 def q_encode_corpus_vocab(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     encoded = encode(docs, vocab.corpus_vocab(docs))
     return _encoded_digest(encoded.withColumn("ids", seq.append_eos("ids", 0)), "doc_id")
 
 
 def q_encode_corpus_vocab_native(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     encoded = encode(docs, vocab.corpus_vocab(docs), form="native")
     return _encoded_digest(encoded.withColumn("ids", seq.append_eos("ids", 0)), "doc_id")
 
@@ -259,7 +264,7 @@ def _utf8_bytes(texts: list[str]) -> list[list[int]]:
 
 def q_encode_with_tokenizer(spark, sf_dir):
     """A user tokenizer: one id per UTF-8 byte."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     return _encoded_digest(encode_with(docs, _utf8_bytes), "doc_id")
 
 
@@ -282,7 +287,7 @@ def q_id_token_join(spark, sf_dir):
 
 def q_decode_roundtrip(spark, sf_dir):
     """Encode, cut to the default length, decode: the text again as far as it fits."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     made = vocab.reachable_entries(vocab.corpus_vocab(docs))
     encoded = encode(docs, made, max_tokens=DEFAULT_MAX_LENGTH - 1).drop("text")
     return decode(encoded, made).select("doc_id", "text")

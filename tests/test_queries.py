@@ -1,0 +1,40 @@
+"""Every registered query against its SQL counterpart on the smallest tables."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from tools.compare import TABLES, normalized
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query(spark, duck, name):
+    got = entry.queries()[name](spark, SF_DIR).toPandas()
+    assert len(got) > 0
+    sql = entry.oracle_sql().get(name)
+    if sql is not None:
+        want = duck.execute(sql).df()
+        assert sorted(got.columns) == sorted(want.columns)
+        assert normalized(got) == normalized(want)
+
+
+def test_entry(spark):
+    row = entry.entry(spark).first()
+    assert row["examples"] == 34
+    assert row["max_length"] <= 2048
+
+
+def test_oracle_names_are_queries():
+    assert set(entry.oracle_sql()) <= set(entry.queries())
