@@ -47,8 +47,21 @@ def attention_mask(ids: Column | str, max_length: int) -> Column:
 
 
 def mask_labels(ids: Column | str, pad_id: int) -> Column:
-    """Copy of the ids, ignored wherever the id is the pad id, genuine EOS included."""
-    return F.transform(_col(ids), lambda i: F.when(i == pad_id, F.lit(IGNORE_LABEL)).otherwise(i))
+    """Copy of the ids, ignored wherever the id is the pad id, genuine EOS included.
+
+    Most sequences hold the pad id only as their closing EOS, or not at all; those are copied by
+    compiled code. Only the others need a look at every id, which Spark interprets.
+    """
+    c = _col(ids)
+    n = F.size(c)
+    first_pad = F.array_position(c, F.lit(pad_id))
+    return (
+        F.when(first_pad == 0, c)
+        .when(first_pad == n, F.concat(F.slice(c, F.lit(1), n - 1), F.array(F.lit(IGNORE_LABEL))))
+        .otherwise(
+            F.transform(c, lambda i: F.when(i == pad_id, F.lit(IGNORE_LABEL)).otherwise(i))
+        )
+    )
 
 
 def left_padded_labels(ids: Column | str, max_length: int, pad_id: int) -> Column:

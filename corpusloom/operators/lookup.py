@@ -7,8 +7,10 @@ from collections.abc import Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from corpusloom.operators.vocab import MAX_LOCAL_ENTRIES, local_entries
 from corpusloom.schemas import END_OF_TEXT
@@ -23,6 +25,15 @@ def _entries(vocab: DataFrame | Mapping[str, int], max_local: int) -> dict[str,
     return None if rows is None else {r["token"]: r["id"] for r in rows}
 
 
+def _replaced(items: pa.ListArray, keys: pa.Array, values: pa.Array, default: int | str) -> pa.ListArray:
+    """Lists with each item replaced by the value of its key, `default` where there is none."""
+    flat = items.flatten()
+    looked_up = values.take(pc.index_in(flat, value_set=keys)).fill_null(pa.scalar(default, values.type))
+    offsets = np.zeros(len(items) + 1, np.int32)
+    np.cumsum(items.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), looked_up, mask=items.is_null())
+
+
 def tokens_to_ids(
     df: DataFrame,
     vocab: DataFrame | Mapping[str, int],
@@ -38,16 +49,11 @@ def tokens_to_ids(
     if entries is None:
         return joined_lookup(df, vocab, tokens_col, ids_col, "token", "id", unk_id, row_key)
 
+    keys, values = pa.array(list(entries), pa.string()), pa.array(list(entries.values()), pa.int32())
+
     @F.arrow_udf("array<int>")
     def look_up(tokens: pa.Array) -> pa.Array:
-        flat = tokens.flatten().to_pylist()
-        ids = np.fromiter((entries.get(t, unk_id) for t in flat), np.int32, len(flat))
-        lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        offsets = np.zeros(len(tokens) + 1, np.int32)
-        np.cumsum(lengths, out=offsets[1:])
-        return pa.ListArray.from_arrays(
-            pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()), mask=tokens.is_null()
-        )
+        return _replaced(tokens, keys, values, unk_id)
 
     return df.withColumn(ids_col, look_up(F.col(tokens_col)))
 
@@ -98,39 +104,39 @@ def joined_lookup(
     row_key: str | None,
     salts: int = _SALTS,
 ) -> DataFrame:
-    """Lookup as a left join, for tables of any size. Needs a unique `row_key` to regroup by.
+    """Lookup as a join, for tables of any size. Needs a unique `row_key`.
 
-    One token may make up a large part of all items, so items are spread over `salts` copies of
-    each table row, by position. The arrays are put together per row, never per token.
+    Only the distinct items of each row are shuffled. A token that occurs in every row is
+    spread over `salts` copies of its table row. The entries a row needs come back to it and
+    are applied there; no group is larger than one row's own items.
     """
     if row_key is None:
         raise ValueError("the join form needs row_key, a unique column of df")
-    items = df.select(row_key, F.posexplode(items_col).alias("_pos", "_item")).withColumn(
-        "_salt", F.col("_pos") % salts
+    items = df.select(row_key, F.explode(F.array_distinct(items_col)).alias("_item")).withColumn(
+        "_salt", F.pmod(F.xxhash64(row_key), F.lit(salts)).cast("int")
     )
     copies = table.select(
         F.col(key_col).alias("_item"),
         F.col(value_col).alias("_value"),
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
     )
-    values = (
-        items.join(copies, ["_item", "_salt"], "left")
+    entries = (
+        items.join(copies, ["_item", "_salt"])
         .groupBy(row_key)
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct("_pos", F.coalesce("_value", F.lit(default)).alias("_value"))
-                )
-            ).alias("_values")
-        )
-        .select(row_key, F.col("_values._value").alias("_values"))
+        .agg(F.collect_list(F.struct("_item", "_value")).alias("_entries"))
     )
-    empty = F.array().cast(values.schema["_values"].dataType)
+    out_type = table.schema[value_col].dataType
+
+    @F.arrow_udf(ArrayType(out_type))
+    def apply_entries(all_items: pa.Array, all_entries: pa.Array) -> pa.Array:
+        # Rows agree on the value of an item, so one table serves the whole batch.
+        found = all_entries.flatten()
+        keys, values = found.field("_item"), found.field("_value")
+        _, first = np.unique(keys.dictionary_encode().indices.to_numpy(), return_index=True)
+        return _replaced(all_items, keys.take(first), values.take(first), default)
+
     return (
-        df.join(values, row_key, "left")
-        .withColumn(
-            out_col,
-            F.when(F.col(items_col).isNotNull(), F.coalesce("_values", empty)),
-        )
-        .drop("_values")
+        df.join(entries, row_key, "left")
+        .withColumn(out_col, apply_entries(F.col(items_col), F.col("_entries")))
+        .drop("_entries")
     )

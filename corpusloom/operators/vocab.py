@@ -137,10 +137,12 @@ def invert_map(m: Column | str) -> Column:
 
 
 def as_map(vocab: DataFrame) -> DataFrame:
-    """One row with the vocabulary as a map ordered by id. For tables within MAX_LOCAL_ENTRIES."""
+    """One row with the vocabulary as a map ordered by id; fails above MAX_LOCAL_ENTRIES."""
     entries = F.array_sort(F.collect_list(F.struct("id", "token")))
-    return vocab.agg(
-        F.map_from_entries(F.transform(entries, lambda e: F.struct(e["token"], e["id"]))).alias("vocab")
+    by_token = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["token"], e["id"])))
+    too_large = F.raise_error(F.lit(f"vocabulary has more than {MAX_LOCAL_ENTRIES} entries"))
+    return vocab.limit(MAX_LOCAL_ENTRIES + 1).agg(
+        F.when(F.count("*") <= MAX_LOCAL_ENTRIES, by_token).otherwise(too_large).alias("vocab")
     )
 
 

@@ -130,7 +130,7 @@ closed AS (
 
 def id_digest(keys: str, ids: str, source: str) -> str:
     return (
-        f"SELECT {keys}, len({ids}) AS n_ids, CAST(list_sum({ids}) AS BIGINT) AS sum_ids, "
+        f"SELECT {keys}, CAST(len({ids}) AS INTEGER) AS n_ids, CAST(list_sum({ids}) AS BIGINT) AS sum_ids, "
         f"{digest(ids)} AS digest FROM {source}"
     )
 
@@ -146,7 +146,8 @@ def input_digests(keys: str, source: str) -> str:
 
 
 LENGTHS = (
-    "count(*) AS examples, min({0}) AS min_length, max({0}) AS max_length, avg({0}) AS avg_length"
+    "count(*) AS examples, CAST(min({0}) AS INTEGER) AS min_length, "
+    "CAST(max({0}) AS INTEGER) AS max_length, avg({0}) AS avg_length"
 )
 REAL_STATS = (
     LENGTHS.format("len(ids)")
@@ -166,8 +167,9 @@ ordered AS (
   FROM {source}, total, (SELECT unnest(range(0, {epochs})) AS epoch FROM total)),
 plan AS (
   SELECT * FROM (
-    SELECT {id_col}, epoch, epoch * steps + (pos // 4 // 8) // 8 AS step,
-           (pos // 4 // 8) % 8 AS accum, (pos // 4) % 8 AS rank, pos % 4 AS slot
+    SELECT {id_col}, CAST(epoch AS INTEGER) AS epoch, epoch * steps + (pos // 4 // 8) // 8 AS step,
+           CAST((pos // 4 // 8) % 8 AS INTEGER) AS accum, CAST((pos // 4) % 8 AS INTEGER) AS rank,
+           CAST(pos % 4 AS INTEGER) AS slot
     FROM ordered) {bound})"""
 
 
@@ -233,10 +235,10 @@ ORACLE_SQL = {
     "message_assembly": _MESSAGES,
     "last_message": f"""SELECT conv_id, turn // {BLOCK} AS part, arg_max(text, turn) AS content
   FROM conversations GROUP BY conv_id, turn // {BLOCK}""",
-    "nfc_text": """SELECT doc_id, length(t) AS chars, md5(t) AS digest
+    "nfc_text": """SELECT doc_id, CAST(length(t) AS INTEGER) AS chars, md5(t) AS digest
   FROM (SELECT doc_id, nfc_normalize(replace(text, 'e', 'e' || chr(769))) AS t FROM documents)""",
     "char_tokens": with_(MARKED)
-    + f"SELECT doc_id, len(tokens) AS n_tokens, {digest('tokens')} AS digest "
+    + f"SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n_tokens, {digest('tokens')} AS digest "
     + f"FROM (SELECT doc_id, {chars('text')} AS tokens FROM marked)",
     "token_counts": with_(MARKED, counts("marked")) + "SELECT * FROM counts",
     "token_counts_native": with_(MARKED, counts("marked")) + "SELECT * FROM counts",
@@ -266,6 +268,11 @@ ORACLE_SQL = {
         "(SELECT a.conv_id, a.turn, a.ids AS a_ids, b.ids AS b_ids FROM first_ids a JOIN second_ids b "
         "ON b.conv_id = a.conv_id AND b.turn = a.turn)",
     ),
+    "encode_with_tokenizer": id_digest(
+        "doc_id",
+        "ids",
+        "(SELECT doc_id, list_transform(string_split(text, ' '), lambda w: length(w)) AS ids FROM documents)",
+    ),
     "token_id_join": with_(_KEYED_TURNS, vocabulary("conversations"), encoded("keyed", "key"))
     + id_digest("key", "ids", "encoded"),
     "id_token_join": with_(_KEYED_TURNS, vocabulary("conversations"))
@@ -278,11 +285,11 @@ ORACLE_SQL = {
     regexp_replace(source || chr(10) || nfc_normalize(text), '<\\|endoftext\\|>|<\\|im_start\\|>', '', 'g') || '<|im_end|>' || lang) AS digest
   FROM documents""",
     "pad_truncate": with_(MARKED, compat_encoded("marked", "doc_id"))
-    + """SELECT doc_id, 2048 AS size, least(n_tokens, 2047) + 1 AS n_real,
-  2047 - least(n_tokens, 2047) AS n_pad, n_tokens >= 2048 AS truncated FROM closed""",
+    + """SELECT doc_id, 2048 AS size, CAST(least(n_tokens, 2047) + 1 AS INTEGER) AS n_real,
+  CAST(2047 - least(n_tokens, 2047) AS INTEGER) AS n_pad, n_tokens >= 2048 AS truncated FROM closed""",
     "label_mask": with_(MARKED, compat_encoded("marked", "doc_id"))
-    + f"""SELECT doc_id, len(list_filter(ids, lambda i: i <> 0)) AS supervised,
-  2048 - len(list_filter(ids, lambda i: i <> 0)) AS masked,
+    + f"""SELECT doc_id, CAST(len(list_filter(ids, lambda i: i <> 0)) AS INTEGER) AS supervised,
+  CAST(2048 - len(list_filter(ids, lambda i: i <> 0)) AS INTEGER) AS masked,
   {digest("list_concat(list_resize([]::INTEGER[], 2048 - len(ids), -100), list_transform(ids, lambda i: CASE WHEN i = 0 THEN -100 ELSE i END))")} AS digest
   FROM closed""",
     "model_inputs": with_(

@@ -70,15 +70,16 @@ def bucket_count(examples: int, epochs: int, rows_per_bucket: int) -> int:
 
 def _shuffled_keys(df: DataFrame, id_col: str, seed: int, epochs: int, buckets: int) -> DataFrame:
     """One row per epoch and example with its order key and its partition number `_part`."""
-    key = F.md5(
+    digest = F.md5(
         F.concat_ws("-", F.lit(str(seed)), F.col("epoch").cast("string"), F.col(id_col).cast("string"))
     )
-    leading = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
+    leading = F.conv(F.substring("_hex", 1, 8), 16, 10).cast("long")
     bucket = F.floor(leading * buckets / _HASH_RANGE) if buckets > 1 else F.lit(0)
     return (
         df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-        .withColumn("_key", key)
-        .withColumn("_part", (F.col("epoch") * buckets + bucket).cast("int"))
+        .withColumn("_hex", digest)
+        .withColumns({"_key": F.unhex("_hex"), "_part": (F.col("epoch") * buckets + bucket).cast("int")})
+        .drop("_hex")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
@@ -26,7 +27,7 @@ def number_rows(
     number_col: str = "test_case",
     *,
     start: int = 1,
-    buckets: int = 256,
+    buckets: int = 1024,
 ) -> DataFrame:
     """Consecutive int numbers in the order of a unique key whose first column is numeric.
 
@@ -39,7 +40,9 @@ def number_rows(
     quantiles = [i / buckets for i in range(1, buckets)] or [0.5]
     cuts = sorted(set(df.agg(F.percentile_approx(keys[0], quantiles, 10_000)).first()[0] or []))
     if cuts:
-        bucket = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(keys[0])))
+        kind = df.schema[keys[0]].dataType.simpleString()
+        edges = F.from_json(F.lit(json.dumps(cuts)), f"array<{kind}>")
+        bucket = F.size(F.filter(edges, lambda edge: edge <= F.col(keys[0])))
     else:
         bucket = F.lit(0)
     bucketed = df.withColumn("_bucket", bucket)

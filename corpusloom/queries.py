@@ -258,14 +258,14 @@ def q_encode_pair(spark, sf_dir):
     return _encoded_digest(encode_pair(corpus, made, "prompt", "response"), *KEY)
 
 
-def _utf8_bytes(texts: list[str]) -> list[list[int]]:
-    return [list(t.encode("utf-8")) for t in texts]
+def _word_lengths(texts: list[str]) -> list[list[int]]:
+    return [[len(word) for word in t.split(" ")] for t in texts]
 
 
 def q_encode_with_tokenizer(spark, sf_dir):
-    """A user tokenizer: one id per UTF-8 byte."""
+    """A user tokenizer: one id per word, its length."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return _encoded_digest(encode_with(docs, _utf8_bytes), "doc_id")
+    return _encoded_digest(encode_with(docs, _word_lengths), "doc_id")
 
 
 def q_token_id_join(spark, sf_dir):

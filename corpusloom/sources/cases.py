@@ -37,7 +37,7 @@ def read_cases(spark: SparkSession, path: str, layout: str = "lines") -> DataFra
     file is one record, so it is meant for hand-written suites.
     """
     if layout == "lines":
-        return spark.read.schema(CASE).json(path)
+        return spark.read.schema(CASE).json(path, mode="FAILFAST")
     if layout != "array":
         raise ValueError(f"layout must be 'lines' or 'array', not {layout!r}")
     suite = spark.read.text(path, wholetext=True).select(

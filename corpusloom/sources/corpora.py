@@ -24,13 +24,15 @@ def read_corpus(
     """A corpus with its `split` column.
 
     Splits are partition directories (`split=train/`); files without them count as
-    `default_split`. With `split` only that directory is listed and read.
+    `default_split`. With `split` only that directory is listed and read. Broken JSON fails.
     """
     if format not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {format!r}")
     schema = CORPUS_SCHEMAS[layout] if isinstance(layout, str) else layout
     if format == "csv":
         options = {"header": "true", "multiLine": "true", "escape": '"', **options}
+    elif format == "json":
+        options = {"mode": "FAILFAST", **options}
     reader = spark.read.format(format).options(**options)
     with_split = StructType([*schema.fields]).add("split", StringType())
     df = reader.schema(with_split).load(path)
