@@ -68,17 +68,22 @@ def bucket_count(examples: int, epochs: int, rows_per_bucket: int) -> int:
     return max(1, min(wanted, MAX_BUCKETS // max(epochs, 1)))
 
 
-def _shuffled_keys(df: DataFrame, id_col: str, seed: int, epochs: int, buckets: int) -> DataFrame:
+def _shuffled_keys(
+    df: DataFrame, id_col: str, seed: int, epochs: int, buckets: int, epochs_per_part: int
+) -> DataFrame:
     """One row per epoch and example with its order key and its partition number `_part`."""
     digest = F.md5(
         F.concat_ws("-", F.lit(str(seed)), F.col("epoch").cast("string"), F.col(id_col).cast("string"))
     )
-    leading = F.conv(F.substring("_hex", 1, 8), 16, 10).cast("long")
-    bucket = F.floor(leading * buckets / _HASH_RANGE) if buckets > 1 else F.lit(0)
+    if buckets == 1:
+        part = F.floor(F.col("epoch") / epochs_per_part)
+    else:
+        leading = F.conv(F.substring("_hex", 1, 8), 16, 10).cast("long")
+        part = F.col("epoch") * buckets + F.floor(leading * buckets / _HASH_RANGE)
     return (
         df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
         .withColumn("_hex", digest)
-        .withColumns({"_key": F.unhex("_hex"), "_part": (F.col("epoch") * buckets + bucket).cast("int")})
+        .withColumns({"_key": F.unhex("_hex"), "_part": part.cast("int")})
         .drop("_hex")
     )
 
@@ -95,22 +100,25 @@ def epoch_positions(
     """All columns of df, plus `epoch` and the 0-based `position` in it.
 
     One shuffle of the rows. Examples behind max_steps are left out before it, bucket by
-    bucket, and exactly after it. Each output partition is one bucket, sorted by position, and
-    partitions follow each other in order. `examples` saves the count when it is known.
+    bucket, and exactly after it. Output partitions follow each other in order, each sorted by
+    epoch and position. `examples` saves the count when it is known.
     """
     n = df.count() if examples is None else examples
     epochs = shape.epochs_needed(n)
     if epochs == 0:
         return df.limit(0).select("*", F.lit(0).alias("epoch"), F.lit(0).cast("long").alias("position"))
     buckets = bucket_count(n, epochs, rows_per_bucket)
+    # A short epoch is one bucket, and several of them share a task.
+    epochs_per_part = max(1, rows_per_bucket // n) if buckets == 1 else 1
+    parts = epochs * buckets if buckets > 1 else math.ceil(epochs / epochs_per_part)
     last, last_examples = epochs - 1, shape.last_epoch_examples(n)
+    layout = (id_col, seed, epochs, buckets, epochs_per_part)
 
-    rows = _shuffled_keys(df, id_col, seed, epochs, buckets)
-    parts = epochs * buckets
+    rows = _shuffled_keys(df, *layout)
     firsts = None
     if buckets > 1:
         counts = (
-            _shuffled_keys(df.select(id_col), id_col, seed, epochs, buckets)
+            _shuffled_keys(df.select(id_col), *layout)
             .groupBy("epoch", "_part")
             .agg(F.count("*").alias("_n"))
         )
@@ -123,7 +131,7 @@ def epoch_positions(
             needed = firsts.where((F.col("epoch") == last) & (F.col("_first") < last_examples))
             parts = needed.agg(F.max("_part")).first()[0] + 1
             rows = rows.where(F.col("_part") < parts)
-    in_bucket = W.partitionBy("_part").orderBy("_key", id_col)
+    in_bucket = W.partitionBy("_part", "epoch").orderBy("_key", id_col)
     placed = rows.repartitionById(parts, "_part").withColumn(
         "_number", strict_row_number(in_bucket, [id_col]).cast("long")
     )

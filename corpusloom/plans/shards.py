@@ -16,13 +16,14 @@ def planned_sequences(
     shape: BatchShape,
     *,
     seed: int = 0,
+    examples: int | None = None,
     rows_per_partition: int = 32_768,
 ) -> DataFrame:
     """Closed, unpadded sequences with their place in the training run.
 
     The sequences travel once, in the shuffle that also sorts them; the plan is not joined.
     """
-    n = sequences.select(id_col).count()
+    n = sequences.select(id_col).count() if examples is None else examples
     placed = epoch_positions(
         sequences, id_col, shape, seed=seed, examples=n, rows_per_bucket=rows_per_partition
     )
@@ -40,18 +41,21 @@ def export_shards(
     max_length: int = DEFAULT_MAX_LENGTH,
     eos_id: int = 0,
     pad_id: int | None = None,
+    examples: int | None = None,
     rows_per_partition: int = 32_768,
 ) -> None:
     """Write model inputs under rank=<r>/, padded on the way out.
 
     Each task writes one file per rank and holds a run of consecutive positions, so the files
     of a rank read in name order give its examples by step, accumulation round and slot.
+    `examples` saves counting the sequences when their number is known.
     """
     planned = planned_sequences(
         sequences.select(id_col, ids_col),
         id_col,
         shape,
         seed=seed,
+        examples=examples,
         rows_per_partition=rows_per_partition,
     ).sortWithinPartitions("rank", "step", "accum", "slot")
     pad_and_label(

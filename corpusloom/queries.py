@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from corpusloom.functions import sequences as seq
 from corpusloom.functions.metrics import FLOAT_METRICS
 from corpusloom.functions.text import (
+    FRAME_HEAD,
+    FRAME_MIDDLE,
+    FRAME_TAIL,
     is_blank,
     is_non_empty,
     nfc,
@@ -472,12 +475,8 @@ def q_case_json_roundtrip(spark, sf_dir):
 
 
 def _frame_batch(batch: dict[str, list]) -> dict[str, list]:
-    return {
-        "text": [
-            f"<|im_start|>user\n{p}<|im_end|>\n<|im_start|>assistant\n{r}<|im_end|>"
-            for p, r in zip(batch["prompt"], batch["response"], strict=True)
-        ]
-    }
+    pairs = zip(batch["prompt"], batch["response"], strict=True)
+    return {"text": ["".join((FRAME_HEAD, p, FRAME_MIDDLE, r, FRAME_TAIL)) for p, r in pairs]}
 
 
 def q_map_batches(spark, sf_dir):

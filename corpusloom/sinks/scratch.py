@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one only for a local master without it."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):

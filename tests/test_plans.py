@@ -77,6 +77,14 @@ def test_each_example_once_per_epoch_and_batches_not_overfull(spark):
     assert {r["examples"] for r in summary if r["step"] < 41} == {8}
 
 
+def test_many_short_epochs_share_tasks(spark):
+    shape = BatchShape(2, 1, 1, max_steps=500)
+    df = spark.range(10)
+    placed = epoch_positions(df, "id", shape, rows_per_bucket=200)
+    assert placed.rdd.getNumPartitions() == 5
+    assert rows_of(batch_plan(df, "id", shape, rows_per_bucket=200)) == planned(range(10), shape, 0)
+
+
 def test_string_ids(spark):
     ids = [f"1-{i}" for i in range(50)]
     df = spark.createDataFrame([(i,) for i in ids], "id string")

@@ -16,7 +16,8 @@ SLOW = settings(max_examples=15, deadline=None, suppress_health_check=list(Healt
 
 
 def framed(prompt, answer):
-    return f"<|im_start|>user\n{prompt}<|im_end|>\n<|im_start|>assistant\n{answer}<|im_end|>"
+    turns = [f"<|im_start|>{role}\n{text}<|im_end|>" for role, text in (("user", prompt), ("assistant", answer))]
+    return "\n".join(turns)
 
 
 def column(df, c):
