@@ -23,6 +23,9 @@ from corpusloom.operators.vocab import (
 )
 from corpusloom.schemas import DECLARED_SPECIALS, END_OF_TEXT
 
+# Characters looked up at a time, which bounds the working memory of a very long text.
+_CHUNK = 1 << 20
+
 _ENCODED = "struct<ids:array<int>,n_tokens:int>"
 
 
@@ -39,10 +42,11 @@ def _list_array(rows: Sequence[np.ndarray | None]) -> pa.ListArray:
     )
 
 
-def _encoded_array(rows: Sequence[np.ndarray | None], max_tokens: int | None) -> pa.StructArray:
-    kept = [None if r is None else r[:max_tokens] for r in rows]
-    counts = pa.array([None if r is None else len(r) for r in rows], pa.int32())
-    return pa.StructArray.from_arrays([_list_array(kept), counts], names=["ids", "n_tokens"])
+def _encoded_array(rows: Sequence[tuple[np.ndarray, int] | None]) -> pa.StructArray:
+    """Arrow column of (ids, n_tokens) rows."""
+    counts = pa.array([None if r is None else r[1] for r in rows], pa.int32())
+    ids = _list_array([None if r is None else r[0] for r in rows])
+    return pa.StructArray.from_arrays([ids, counts], names=["ids", "n_tokens"])
 
 
 def _arrow_encoder(
@@ -61,19 +65,28 @@ def _arrow_encoder(
         table = np.full(top + 1, unk_id, np.int32)
         table[known] = known_ids
 
-        def ids_of(text: str) -> np.ndarray:
+        def encoded(text: str) -> tuple[np.ndarray, int]:
             text = unicodedata.normalize("NFC", text)
-            ids = table[np.minimum(code_points(text), top)]
-            found = [(m.start(), m.end(), m.group()) for m in pattern.finditer(text)]
-            if found:
-                keep = np.ones(len(ids), bool)
-                for start, end, special in found:
-                    ids[start] = special_ids[special]
-                    keep[start + 1 : end] = False
-                ids = ids[keep]
-            return ids
-
-        return _encoded_array([None if t is None else ids_of(t) for t in decoded(texts)], max_tokens)
+            found = list(pattern.finditer(text)) if any(s in text for s in special_ids) else []
+            n_tokens = len(text) - sum(m.end() - m.start() - 1 for m in found)
+            room = n_tokens if max_tokens is None else min(n_tokens, max_tokens)
+            ids = np.empty(room, np.int32)
+            read = written = 0
+            for m in [*found, None]:
+                stop = len(text) if m is None else m.start()
+                while read < stop and written < room:
+                    piece = text[read : min(stop, read + _CHUNK, read + room - written)]
+                    ids[written : written + len(piece)] = table[np.minimum(code_points(piece), top)]
+                    read += len(piece)
+                    written += len(piece)
+                if m is None or written == room:
+                    break
+                ids[written] = special_ids[m.group()]
+                written += 1
+                read = m.end()
+            return ids, n_tokens
+
+        return _encoded_array([None if t is None else encoded(t) for t in decoded(texts)])
 
     return encode_texts
 
@@ -157,10 +170,10 @@ def encode_with(
             loaded.append(tokenizer if tokenizer is not None else setup())
         strings = decoded(texts)
         present = [i for i, t in enumerate(strings) if t is not None]
-        rows: list[np.ndarray | None] = [None] * len(strings)
+        rows: list[tuple[np.ndarray, int] | None] = [None] * len(strings)
         for i, ids in zip(present, loaded[0]([strings[i] for i in present]), strict=True):
-            rows[i] = np.asarray(ids, np.int32)
-        return _encoded_array(rows, max_tokens)
+            rows[i] = (np.asarray(ids[:max_tokens], np.int32), len(ids))
+        return _encoded_array(rows)
 
     return _with_encoded(df, encode_texts(F.col(text_col)), ids_col, count_col)
 

@@ -9,6 +9,7 @@ from pyspark.sql.types import StringType, StructType
 from corpusloom.schemas import CORPUS_SCHEMAS
 
 FORMATS = ("parquet", "json", "csv", "orc")
+SPLIT_NAMES = ("train", "validation", "test")
 
 
 def read_corpus(
@@ -19,12 +20,14 @@ def read_corpus(
     *,
     split: str | None = None,
     default_split: str = "train",
+    splits: str = "directory",
     **options: str,
 ) -> DataFrame:
-    """A corpus with its `split` column.
+    """A corpus with its `split` column; with `split`, only that part of it, without the column.
 
-    Splits are partition directories (`split=train/`); files without them count as
-    `default_split`. With `split` only that directory is listed and read. Broken JSON fails.
+    Splits are partition directories (`split=train/`) or, with splits="file", file names that
+    start with a split name (`test-00000-of-00002.parquet`). Everything else counts as
+    `default_split`. Files of other splits are not read. Broken JSON fails.
     """
     if format not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {format!r}")
@@ -34,9 +37,18 @@ def read_corpus(
     elif format == "json":
         options = {"mode": "FAILFAST", **options}
     reader = spark.read.format(format).options(**options)
-    with_split = StructType([*schema.fields]).add("split", StringType())
-    df = reader.schema(with_split).load(path)
-    df = df.withColumn("split", F.coalesce("split", F.lit(default_split)))
+    if splits == "directory":
+        df = reader.schema(StructType([*schema.fields]).add("split", StringType())).load(path)
+        found = F.col("split")
+    elif splits == "file":
+        df = reader.schema(schema).load(path)
+        names = "|".join(SPLIT_NAMES)
+        found = F.nullif(
+            F.regexp_extract(F.col("_metadata.file_name"), rf"^({names})\b", 1), F.lit("")
+        )
+    else:
+        raise ValueError(f"splits must be 'directory' or 'file', not {splits!r}")
+    df = df.withColumn("split", F.coalesce(found, F.lit(default_split)))
     return df if split is None else select_split(df, split)
 
 

@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from corpusloom.operators import encode as encode_module
 from corpusloom.operators import vocab as vo
 from corpusloom.operators.encode import decode, encode, encode_with
 from corpusloom.operators.lookup import ids_to_tokens, joined_lookup, tokens_to_ids
@@ -86,6 +87,18 @@ def test_char_tokens(spark, values):
     assert by_id(got, "tokens") == [tokens_of(t) for t in composed]
 
 
+def test_long_texts_are_looked_up_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(encode_module, "_CHUNK", 3)
+    monkeypatch.setattr(vo, "_CHUNK", 3)
+    values = ["abcab" * 5, "ab<|im_start|>ba<|endoftext|>" * 4, "<|im_start|>" * 3, "a" * 7]
+    for cut in (None, 0, 1, 4, 9):
+        got = encode(texts(spark, values), VOCAB, count_col="n", max_tokens=cut)
+        assert by_id(got, "ids") == [ids_of(t)[:cut] for t in values]
+        assert by_id(got, "n") == [len(ids_of(t)) for t in values]
+    counted = {r["token"]: r["n"] for r in vo.token_counts(texts(spark, values)).collect()}
+    assert counted == {"a": 25, "b": 18, "c": 5}
+
+
 def test_null_empty_and_unknown(spark):
     got = encode(texts(spark, [None, "", "zz"]), VOCAB, unk_id=3, count_col="n")
     assert by_id(got, "ids") == [None, [], [3, 3]]

@@ -59,6 +59,26 @@ def test_corpus_without_split_directories(spark, tmp_path, format):
         read_corpus(spark, path, "instruction_input", "xml")
 
 
+def test_splits_by_file_name(spark, tmp_path, plan_text):
+    for name, text in (("train-0", "a"), ("test-0", "b"), ("validation", "c"), ("trainees", "d"), ("other", "e")):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"prompt": text, "response": "r"}) + "\n")
+    whole = read_corpus(spark, str(tmp_path), "prompt_response", "json", splits="file")
+    got = {r["prompt"]: r["split"] for r in whole.collect()}
+    assert got == {"a": "train", "b": "test", "c": "validation", "d": "train", "e": "train"}
+    test = read_corpus(spark, str(tmp_path), "prompt_response", "json", splits="file", split="test")
+    assert [tuple(r) for r in test.collect()] == [("b", "r")]
+    with pytest.raises(ValueError):
+        read_corpus(spark, str(tmp_path), "prompt_response", "json", splits="column")
+
+
+def test_broken_json_lines_fail(spark, tmp_path):
+    (tmp_path / "train.json").write_text('{"prompt": \n')
+    with pytest.raises(Exception):
+        read_corpus(spark, str(tmp_path), "prompt_response", "json").collect()
+    with pytest.raises(Exception):
+        read_cases(spark, str(tmp_path)).collect()
+
+
 def test_json_array_cases(spark, tmp_path):
     suite = [*SMOKE_CONVERSATIONS, [], [{"role": "assistant", "content": 'q"\n'}]]
     file = tmp_path / "cases.json"
