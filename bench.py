@@ -13,8 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
+from corpusloom.functions.text import render_prompt_response  # noqa: E402
 from corpusloom.operators import vocab  # noqa: E402
-from corpusloom.queries import QUERIES, table  # noqa: E402
+from corpusloom.operators.encode import encode  # noqa: E402
+from corpusloom.operators.model_inputs import close_sequences, pad_and_label, prepare  # noqa: E402
+from corpusloom.plans.batch_plan import batch_plan  # noqa: E402
+from corpusloom.queries import EPOCH_SHAPE, QUERIES, table  # noqa: E402
+from corpusloom.schemas import DEFAULT_MAX_LENGTH  # noqa: E402
+from corpusloom.sinks.scratch import scratch_path  # noqa: E402
+from corpusloom.sources.spread import spread  # noqa: E402
 
 HEADLINE = [
     "render_instruction_input",
@@ -47,6 +54,32 @@ def run(make: Callable[[], DataFrame]) -> float:
     return time.perf_counter() - start
 
 
+def stages(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, int]]:
+    """Rows and characters per second of the steps on the way from documents to model inputs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    path = scratch_path(spark, "bench")
+    spread(docs).write.parquet(f"{path}/documents")
+    docs = spark.read.parquet(f"{path}/documents")
+    rows, chars = docs.agg(F.count("*"), F.sum(F.length("text"))).first()
+    entries = vocab.reachable_entries(vocab.corpus_vocab(docs))
+    encode(docs, entries, max_tokens=DEFAULT_MAX_LENGTH - 1).select("doc_id", "ids").write.parquet(f"{path}/ids")
+    closed = close_sequences(spark.read.parquet(f"{path}/ids"))
+    steps = {
+        "render": lambda: docs.select("doc_id", render_prompt_response("source", "text")),
+        "count_characters": lambda: vocab.token_counts(docs),
+        "encode": lambda: encode(docs, entries, max_tokens=DEFAULT_MAX_LENGTH - 1).select("doc_id", "ids"),
+        "pad_and_label": lambda: pad_and_label(closed, keep=["doc_id"]),
+        "length_stats": lambda: closed.agg(F.min(F.size("ids")), F.max(F.size("ids")), F.avg(F.size("ids"))),
+        "prepare": lambda: prepare(docs, lambda: F.col("text"), entries, keep=["doc_id"]),
+        "batch_plan": lambda: batch_plan(docs, "doc_id", EPOCH_SHAPE),
+    }
+    out = {}
+    for name, make in steps.items():
+        best = min(run(make) for _ in range(3))
+        out[name] = {"rows_per_sec": round(rows / best), "chars_per_sec": round(chars / best)}
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
@@ -67,8 +100,7 @@ def main() -> None:
 
     seconds = {name: round(run(lambda: QUERIES[name](spark, sf_dir)), 3) for name in HEADLINE}
 
-    size = table(spark, sf_dir, "documents").agg(F.count("*"), F.sum(F.length("text"))).first()
-    encode_s = seconds["encode_corpus_vocab"]
+    throughput = stages(spark, sf_dir)
     print(
         json.dumps(
             {
@@ -77,8 +109,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
-                "encode_rows_per_sec": round(size[0] / encode_s),
-                "encode_chars_per_sec": round(size[1] / encode_s),
+                "throughput": throughput,
             }
         )
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from corpusloom.operators.model_inputs import pad_and_label
 from corpusloom.plans.batch_plan import PLAN_COLUMNS, BatchShape, epoch_positions, plan_columns
 from corpusloom.schemas import DEFAULT_MAX_LENGTH
 
+MIN_ROWS_PER_PARTITION = 512
+
 
 def planned_sequences(
     sequences: DataFrame,
@@ -24,6 +28,10 @@ def planned_sequences(
     The sequences travel once, in the shuffle that also sorts them; the plan is not joined.
     """
     n = sequences.select(id_col).count() if examples is None else examples
+    # A small export still uses all cores.
+    cores = sequences.sparkSession.sparkContext.defaultParallelism
+    per_core = math.ceil(n * shape.epochs_needed(n) / cores)
+    rows_per_partition = min(rows_per_partition, max(per_core, MIN_ROWS_PER_PARTITION))
     placed = epoch_positions(
         sequences, id_col, shape, seed=seed, examples=n, rows_per_bucket=rows_per_partition
     )

@@ -8,11 +8,20 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.operators.responses import as_results
+from corpusloom.schemas import RESULT
+from corpusloom.sinks.scratch import scratch_path
 
 
 def write_results(responses: DataFrame, path: str) -> None:
-    """JSON Lines of test_case, input and response in case order; null responses keep their key."""
-    as_results(responses).orderBy("test_case").write.mode("overwrite").option(
+    """JSON Lines of test_case, input and response in case order; null responses keep their key.
+
+    A sort reads its input twice, to sample and to sort. The responses are therefore written to
+    the scratch folder first, so that the user function answers each case once.
+    """
+    spark = responses.sparkSession
+    staged = scratch_path(spark, "responses")
+    as_results(responses).write.parquet(staged)
+    spark.read.schema(RESULT).parquet(staged).orderBy("test_case").write.mode("overwrite").option(
         "ignoreNullFields", "false"
     ).json(path)
 

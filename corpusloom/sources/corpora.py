@@ -27,7 +27,8 @@ def read_corpus(
 
     Splits are partition directories (`split=train/`) or, with splits="file", file names that
     start with a split name (`test-00000-of-00002.parquet`). Everything else counts as
-    `default_split`. Files of other splits are not read. Broken JSON fails.
+    `default_split`. Files of other splits are not read. Broken JSON fails. CSV texts may hold
+    line breaks, so a CSV file is one task; pass multiLine="false" where they do not.
     """
     if format not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {format!r}")

@@ -132,6 +132,21 @@ def test_responses_survive_failures(spark, tmp_path):
     assert as_results(responses).columns == RESULT.fieldNames()
 
 
+def test_each_case_is_answered_once(spark, tmp_path):
+    calls = str(tmp_path / "calls")
+
+    def respond(messages):
+        with open(calls, "a") as f:
+            f.write("x\n")
+        return messages[-1]["content"]
+
+    cases = spark.range(1, 101).selectExpr("CAST(id AS INT) AS test_case", "array(struct('user' AS role, string(id) AS content)) AS messages")
+    write_results(batch_responses(cases.repartition(4), respond), str(tmp_path / "results"))
+    assert len(Path(calls).read_text().splitlines()) == 100
+    written = [json.loads(line)["test_case"] for line in lines_of(tmp_path / "results")]
+    assert written == list(range(1, 101))
+
+
 def test_responder_is_set_up_in_the_task(spark):
     def load():
         seen = []
