@@ -96,7 +96,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     # Start the JVM code paths and the Python workers outside the measured time.
-    run(lambda: vocab.token_counts(table(spark, sf_dir, "benchmark")))
+    run(lambda: vocab.token_counts(table(spark, sf_dir, "benchmark").repartition(int(cpus))))
 
     seconds = {name: round(run(lambda: QUERIES[name](spark, sf_dir)), 3) for name in HEADLINE}
 

@@ -61,24 +61,31 @@ def _system_turns(turns: DataFrame, long_turns: DataFrame) -> DataFrame:
 
 
 def pair_turns(
-    turns: DataFrame, *, with_system: bool = True, block_turns: int = BLOCK_TURNS
+    turns: DataFrame,
+    *,
+    with_system: bool = True,
+    block_turns: int = BLOCK_TURNS,
+    long_conversations: bool | None = None,
 ) -> DataFrame:
     """A user turn directly followed by an assistant turn gives one row:
     (conv_id, turn, prompt, response[, system_prompt]), turn being that of the prompt.
 
     system_prompt is the first system turn of the conversation, null when there is none.
 
-    One shuffle by (conv_id, block), then windows over one sort. Helper rows make each block of
-    a long conversation complete in itself; the scan for them asks for turn >= block_turns and
-    skips all row groups of ordinary tables.
+    One shuffle by (conv_id, block), then windows over one sort. Where a conversation goes
+    beyond block 0, helper rows make each of its blocks complete in itself. Whether there is one
+    is looked up first, unless `long_conversations` says so: the scan asks for
+    turn >= block_turns and skips every row group of an ordinary table.
     """
     turns = turns.select("conv_id", "turn", "role", "text")
+    rows = turns.withColumns({"block": _block(block_turns), "edge": F.lit(0)})
     long_turns = turns.where(F.col("turn") >= block_turns).withColumn("block", _block(block_turns))
-    rows = turns.withColumns({"block": _block(block_turns), "edge": F.lit(0)}).unionByName(
-        _next_turns(long_turns)
-    )
-    if with_system:
-        rows = rows.unionByName(_system_turns(turns, long_turns))
+    if long_conversations is None:
+        long_conversations = not long_turns.isEmpty()
+    if long_conversations:
+        rows = rows.unionByName(_next_turns(long_turns))
+        if with_system:
+            rows = rows.unionByName(_system_turns(turns, long_turns))
     in_block = W.partitionBy("conv_id", "block").orderBy("edge", "turn")
     whole_block = in_block.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     system_turn = F.when(F.col("role") == "system", F.struct("text"))

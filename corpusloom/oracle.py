@@ -28,8 +28,8 @@ def chars(text: str) -> str:
     return f"regexp_extract_all({text}, '{SPECIAL_OR_CHAR}')"
 
 
-def digest(items: str) -> str:
-    return f"md5(array_to_string({items}, ','))"
+def digest(ids: str) -> str:
+    return f"md5(CAST(to_json({ids}) AS VARCHAR))"
 
 
 def with_(*ctes: str) -> str:
@@ -238,7 +238,7 @@ ORACLE_SQL = {
     "nfc_text": """SELECT doc_id, CAST(length(t) AS INTEGER) AS chars, md5(t) AS digest
   FROM (SELECT doc_id, nfc_normalize(replace(text, 'e', 'e' || chr(769))) AS t FROM documents)""",
     "char_tokens": with_(MARKED)
-    + f"SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n_tokens, {digest('tokens')} AS digest "
+    + "SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n_tokens, md5(array_to_string(tokens, ',')) AS digest "
     + f"FROM (SELECT doc_id, {chars('text')} AS tokens FROM marked)",
     "token_counts": with_(MARKED, counts("marked")) + "SELECT * FROM counts",
     "token_counts_native": with_(MARKED, counts("marked")) + "SELECT * FROM counts",

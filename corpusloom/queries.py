@@ -71,10 +71,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents"))
 
 
-def digest(items: Column | str) -> Column:
-    """md5 of an array's items joined with commas."""
-    c = F.col(items) if isinstance(items, str) else items
-    return F.md5(F.array_join(c.cast("array<string>"), ","))
+def digest(ids: str) -> Column:
+    """md5 of an id array written as JSON."""
+    return F.md5(F.to_json(ids))
 
 
 # Corpora of the three layouts, made from the conversations table.
@@ -201,7 +200,7 @@ def q_nfc_text(spark, sf_dir):
 
 def q_char_tokens(spark, sf_dir):
     tokens = marked_documents(spark, sf_dir).select("doc_id", vocab.char_tokens("text").alias("tokens"))
-    return tokens.select("doc_id", F.size("tokens").alias("n_tokens"), digest("tokens").alias("digest"))
+    return tokens.select("doc_id", F.size("tokens").alias("n_tokens"), F.md5(F.array_join("tokens", ",")).alias("digest"))
 
 
 def q_token_counts(spark, sf_dir):

@@ -63,11 +63,14 @@ def test_one_conversation_holding_most_turns_is_spread_over_blocks(spark):
     assert sum(sizes.values()) == len(rows)
 
 
-def test_pairs_use_one_shuffle_of_the_text_for_ordinary_tables(spark, plan_text, tmp_path):
+def test_ordinary_tables_are_shuffled_once(spark, plan_text, tmp_path):
     rows = [(c, t, ["user", "assistant"][t % 2], "x") for c in range(5) for t in range(4)]
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "turns"))
-    plan = plan_text(pair_turns(spark.read.parquet(str(tmp_path / "turns"))))
-    assert "GreaterThanOrEqual(turn,65536)" in plan
+    turns = spark.read.parquet(str(tmp_path / "turns"))
+    assert plan_text(pair_turns(turns)).count("hashpartitioning") == 1
+    checked = plan_text(pair_turns(turns, long_conversations=True))
+    assert "GreaterThanOrEqual(turn,65536)" in checked
+    assert collected(pair_turns(turns)) == collected(pair_turns(turns, long_conversations=True))
 
 
 def test_messages_are_in_turn_order(spark):
