@@ -12,17 +12,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from corpusloom.operators.vocab import MAX_LOCAL_ENTRIES, local_entries
+from corpusloom.operators.vocab import MAX_LOCAL_ENTRIES
 from corpusloom.schemas import END_OF_TEXT
 
-_SALTS = 16
+MAX_LOCAL_BYTES = 64 << 20
+MIN_SALTS = 16
 
 
 def _entries(vocab: DataFrame | Mapping[str, int], max_local: int) -> dict[str, int] | None:
+    """The vocabulary as a dict if it is small in rows and bytes, which is looked up first."""
     if isinstance(vocab, Mapping):
         return dict(vocab)
-    rows = local_entries(vocab.select("token", "id"), max_local)
-    return None if rows is None else {r["token"]: r["id"] for r in rows}
+    if max_local == 0:
+        return None
+    n, n_bytes = vocab.agg(F.count("*"), F.sum(F.octet_length("token"))).first()
+    if n > max_local or (n_bytes or 0) > MAX_LOCAL_BYTES:
+        return None
+    return {r["token"]: r["id"] for r in vocab.select("token", "id").collect()}
 
 
 def _replaced(items: pa.ListArray, keys: pa.Array, values: pa.Array, default: int | str) -> pa.ListArray:
@@ -44,7 +50,10 @@ def tokens_to_ids(
     row_key: str | None = None,
     max_local: int = MAX_LOCAL_ENTRIES,
 ) -> DataFrame:
-    """Replace each token by its id. A vocabulary over `max_local` rows is joined, see `joined_lookup`."""
+    """Replace each token by its id.
+
+    A vocabulary of more than `max_local` rows or MAX_LOCAL_BYTES is joined, which needs `row_key`.
+    """
     entries = _entries(vocab, max_local)
     if entries is None:
         return joined_lookup(df, vocab, tokens_col, ids_col, "token", "id", unk_id, row_key)
@@ -70,7 +79,7 @@ def ids_to_tokens(
 ) -> DataFrame:
     """Replace each id by its token, all in the JVM: tokens sit in a constant array indexed by id.
 
-    Takes the join form when the vocabulary has more than `max_local` rows or ids above that.
+    Takes the join form for a larger vocabulary, as `tokens_to_ids`, or ids above `max_local`.
     """
     entries = _entries(vocab, max_local)
     if entries is not None and min(entries.values(), default=0) < 0:
@@ -102,16 +111,19 @@ def joined_lookup(
     value_col: str,
     default: int | str,
     row_key: str | None,
-    salts: int = _SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Lookup as a join, for tables of any size. Needs a unique `row_key`.
 
     Only the distinct items of each row are shuffled. A token that occurs in every row is
-    spread over `salts` copies of its table row. The entries a row needs come back to it and
-    are applied there; no group is larger than one row's own items.
+    spread over `salts` copies of its table row, by default one for eight shuffle partitions.
+    The entries a row needs come back to it and are applied there; no group is larger than one
+    row's own items.
     """
     if row_key is None:
         raise ValueError("the join form needs row_key, a unique column of df")
+    if salts is None:
+        salts = max(MIN_SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
     items = df.select(row_key, F.explode(F.array_distinct(items_col)).alias("_item")).withColumn(
         "_salt", F.pmod(F.xxhash64(row_key), F.lit(salts)).cast("int")
     )

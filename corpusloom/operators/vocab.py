@@ -146,12 +146,6 @@ def as_map(vocab: DataFrame) -> DataFrame:
     )
 
 
-def local_entries(table: DataFrame, limit: int = MAX_LOCAL_ENTRIES) -> list | None:
-    """All rows of a table of at most `limit` rows, None for a larger one."""
-    rows = table.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
-
-
 def reachable_entries(
     vocab: DataFrame | Mapping[str, int], specials: Iterable[str] = DECLARED_SPECIALS
 ) -> dict[str, int]:
@@ -165,8 +159,8 @@ def reachable_entries(
     wanted = F.length("token") == 1
     if specials:
         wanted = wanted | F.col("token").isin(*specials)
-    rows = local_entries(vocab.where(wanted).select("token", "id"))
-    if rows is None:
+    rows = vocab.where(wanted).select("token", "id").limit(MAX_LOCAL_ENTRIES + 1).collect()
+    if len(rows) > MAX_LOCAL_ENTRIES:
         raise ValueError("vocabulary has more single-character rows than code points: tokens repeat")
     return {r["token"]: r["id"] for r in rows}
 

@@ -62,6 +62,14 @@ class BatchShape:
         return min(examples, steps_left * self.examples_per_step)
 
 
+# The batch shapes of the three training stages.
+STAGE_SHAPES = {
+    "prompt_response": BatchShape(micro_batch=4, accumulation=8, world_size=8, epochs=3, max_steps=100),
+    "instruction_input": BatchShape(micro_batch=4, accumulation=8, world_size=8, epochs=3, max_steps=100),
+    "system_user": BatchShape(micro_batch=4, accumulation=8, world_size=8, epochs=3, max_steps=1000),
+}
+
+
 def bucket_count(examples: int, epochs: int, rows_per_bucket: int) -> int:
     """Buckets per epoch, such that all epochs together stay within MAX_BUCKETS."""
     wanted = math.ceil(examples / rows_per_bucket)

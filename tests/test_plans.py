@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 
 from corpusloom.plans.batch_plan import (
     MAX_BUCKETS,
+    STAGE_SHAPES,
     BatchShape,
     batch_plan,
     bucket_count,
@@ -115,6 +116,13 @@ def test_shape_rules():
         BatchShape(micro_batch=0)
 
 
+def test_stage_shapes_draw_the_configured_volume(spark):
+    assert STAGE_SHAPES["prompt_response"].max_steps * STAGE_SHAPES["prompt_response"].examples_per_step == 25_600
+    assert STAGE_SHAPES["system_user"].max_steps * STAGE_SHAPES["system_user"].examples_per_step == 256_000
+    plan = batch_plan(spark.range(25_700), "id", STAGE_SHAPES["instruction_input"], rows_per_bucket=4000)
+    assert plan.count() == 25_600
+
+
 def test_first_positions_stay_within_the_broadcast_bound():
     assert bucket_count(10**12, 3, 500_000) * 3 <= MAX_BUCKETS
     assert bucket_count(10, 10**9, 500_000) == 1
