@@ -42,34 +42,33 @@ def left_pad(ids: Column | str, max_length: int, pad_id: int) -> Column:
 
 def attention_mask(ids: Column | str, max_length: int) -> Column:
     """0 on the padding of an unpadded sequence, 1 on its own positions."""
-    n = F.size(_col(ids))
-    return F.concat(_repeated(0, F.lit(max_length) - n), _repeated(1, n))
+    both = F.concat(_repeated(0, F.lit(max_length)), _repeated(1, F.lit(max_length)))
+    return F.slice(both, F.size(_col(ids)) + 1, F.lit(max_length))
 
 
 def mask_labels(ids: Column | str, pad_id: int) -> Column:
-    """Copy of the ids, ignored wherever the id is the pad id, genuine EOS included.
+    """Copy of the ids, ignored wherever the id is the pad id, genuine EOS included."""
+    return F.transform(_col(ids), lambda i: F.when(i == pad_id, F.lit(IGNORE_LABEL)).otherwise(i))
+
+
+def left_padded_labels(ids: Column | str, max_length: int, pad_id: int) -> Column:
+    """Labels of the padded sequence.
 
     Most sequences hold the pad id only as their closing EOS, or not at all; those are copied by
     compiled code. Only the others need a look at every id, which Spark interprets.
     """
     c = _col(ids)
     n = F.size(c)
+    padding = _repeated(IGNORE_LABEL, F.lit(max_length) - n)
     first_pad = F.array_position(c, F.lit(pad_id))
+    closing = F.array(F.lit(IGNORE_LABEL))
     return (
-        F.when(first_pad == 0, c)
-        .when(first_pad == n, F.concat(F.slice(c, F.lit(1), n - 1), F.array(F.lit(IGNORE_LABEL))))
-        .otherwise(
-            F.transform(c, lambda i: F.when(i == pad_id, F.lit(IGNORE_LABEL)).otherwise(i))
-        )
+        F.when(first_pad == 0, F.concat(padding, c))
+        .when(first_pad == n, F.concat(padding, F.slice(c, F.lit(1), n - 1), closing))
+        .otherwise(F.concat(padding, mask_labels(c, pad_id)))
     )
 
 
-def left_padded_labels(ids: Column | str, max_length: int, pad_id: int) -> Column:
-    """Labels of the padded sequence; the padding itself need not be compared with the pad id."""
-    c = _col(ids)
-    return F.concat(_repeated(IGNORE_LABEL, F.lit(max_length) - F.size(c)), mask_labels(c, pad_id))
-
-
 def supervised_count(ids: Column | str, pad_id: int) -> Column:
     """Labels left after masking; counted on the ids so that no label array is built."""
     return F.size(F.array_remove(_col(ids), F.lit(pad_id)))

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
-import unicodedata
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 import numpy as np
@@ -16,77 +14,59 @@ from corpusloom.functions.sequences import append_eos_pair
 from corpusloom.functions.text import decoded
 from corpusloom.operators.lookup import ids_to_tokens
 from corpusloom.operators.vocab import (
+    CHUNK,
+    SPECIAL_MARKS,
     char_tokens,
     code_points,
+    marker,
     reachable_entries,
-    special_pattern,
 )
 from corpusloom.schemas import DECLARED_SPECIALS, END_OF_TEXT
 
-# Characters looked up at a time, which bounds the working memory of a very long text.
-_CHUNK = 1 << 20
-
 _ENCODED = "struct<ids:array<int>,n_tokens:int>"
 
 
-def _list_array(rows: Sequence[np.ndarray | None]) -> pa.ListArray:
-    """One Arrow list per row from per-row id arrays, without a Python object per id."""
-    present = [r for r in rows if r is not None]
-    offsets = np.zeros(len(rows) + 1, np.int32)
-    np.cumsum([0 if r is None else len(r) for r in rows], out=offsets[1:])
-    values = np.concatenate(present) if present else np.empty(0, np.int32)
-    return pa.ListArray.from_arrays(
-        pa.array(offsets, pa.int32()),
-        pa.array(values, pa.int32()),
-        mask=pa.array([r is None for r in rows], pa.bool_()),
+def _encoded_array(
+    ids: np.ndarray, lengths: Sequence[int], counts: Sequence[int | None]
+) -> pa.StructArray:
+    """Arrow column of (ids, n_tokens) rows from all ids in a row; a null count is a null row."""
+    offsets = np.zeros(len(lengths) + 1, np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    n_tokens = pa.array(counts, pa.int32())
+    lists = pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()), mask=n_tokens.is_null()
     )
-
-
-def _encoded_array(rows: Sequence[tuple[np.ndarray, int] | None]) -> pa.StructArray:
-    """Arrow column of (ids, n_tokens) rows."""
-    counts = pa.array([None if r is None else r[1] for r in rows], pa.int32())
-    ids = _list_array([None if r is None else r[0] for r in rows])
-    return pa.StructArray.from_arrays([ids, counts], names=["ids", "n_tokens"])
+    return pa.StructArray.from_arrays([lists, n_tokens], names=["ids", "n_tokens"])
 
 
 def _arrow_encoder(
     entries: Mapping[str, int], specials: Sequence[str], unk_id: int, max_tokens: int | None
 ) -> Callable:
-    """Arrow UDF: NFC, special split, id lookup. The lookup is one table read per code point."""
-    chars = {ord(t): i for t, i in entries.items() if len(t) == 1}
-    known = np.fromiter(chars.keys(), np.int64, len(chars))
-    known_ids = np.fromiter(chars.values(), np.int32, len(chars))
+    """Arrow UDF: NFC, special split, id lookup.
+
+    With each special marked as one code point, tokens are code points, so all texts of a batch
+    are looked up together in one table.
+    """
+    by_code = {ord(t): i for t, i in entries.items() if len(t) == 1}
+    by_code |= {SPECIAL_MARKS + i: entries.get(s, unk_id) for i, s in enumerate(specials)}
+    known = np.fromiter(by_code.keys(), np.int64, len(by_code))
+    known_ids = np.fromiter(by_code.values(), np.int32, len(by_code))
     top = int(known.max()) + 1 if len(known) else 0
-    special_ids = {s: entries.get(s, unk_id) for s in specials}
-    pattern = re.compile(special_pattern(specials))
+    mark = marker(specials)
 
     @F.arrow_udf(_ENCODED)
     def encode_texts(texts: pa.Array) -> pa.Array:
         table = np.full(top + 1, unk_id, np.int32)
         table[known] = known_ids
-
-        def encoded(text: str) -> tuple[np.ndarray, int]:
-            text = unicodedata.normalize("NFC", text)
-            found = list(pattern.finditer(text)) if any(s in text for s in special_ids) else []
-            n_tokens = len(text) - sum(m.end() - m.start() - 1 for m in found)
-            room = n_tokens if max_tokens is None else min(n_tokens, max_tokens)
-            ids = np.empty(room, np.int32)
-            read = written = 0
-            for m in [*found, None]:
-                stop = len(text) if m is None else m.start()
-                while read < stop and written < room:
-                    piece = text[read : min(stop, read + _CHUNK, read + room - written)]
-                    ids[written : written + len(piece)] = table[np.minimum(code_points(piece), top)]
-                    read += len(piece)
-                    written += len(piece)
-                if m is None or written == room:
-                    break
-                ids[written] = special_ids[m.group()]
-                written += 1
-                read = m.end()
-            return ids, n_tokens
-
-        return _encoded_array([None if t is None else encoded(t) for t in decoded(texts)])
+        marked = [None if t is None else mark(t) for t in decoded(texts)]
+        kept = ["" if t is None else t[:max_tokens] for t in marked]
+        lengths = [len(t) for t in kept]
+        joined = "".join(kept)
+        ids = np.empty(len(joined), np.int32)
+        for start in range(0, len(joined), CHUNK):
+            codes = code_points(joined[start : start + CHUNK])
+            ids[start : start + len(codes)] = table[np.minimum(codes, top)]
+        return _encoded_array(ids, lengths, [None if t is None else len(t) for t in marked])
 
     return encode_texts
 
@@ -170,10 +150,12 @@ def encode_with(
             loaded.append(tokenizer if tokenizer is not None else setup())
         strings = decoded(texts)
         present = [i for i, t in enumerate(strings) if t is not None]
-        rows: list[tuple[np.ndarray, int] | None] = [None] * len(strings)
+        kept = [np.empty(0, np.int32)] * len(strings)
+        counts: list[int | None] = [None] * len(strings)
         for i, ids in zip(present, loaded[0]([strings[i] for i in present]), strict=True):
-            rows[i] = (np.asarray(ids[:max_tokens], np.int32), len(ids))
-        return _encoded_array(rows)
+            kept[i], counts[i] = np.asarray(ids[:max_tokens], np.int32), len(ids)
+        all_ids = np.concatenate(kept) if kept else np.empty(0, np.int32)
+        return _encoded_array(all_ids, [len(k) for k in kept], counts)
 
     return _with_encoded(df, encode_texts(F.col(text_col)), ids_col, count_col)
 

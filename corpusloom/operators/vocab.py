@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -20,17 +20,46 @@ from corpusloom.schemas import COMPAT_VOCAB, DECLARED_SPECIALS, VOCABULARY
 CODE_SPACE = 0x110000
 MAX_LOCAL_ENTRIES = CODE_SPACE + 1024
 
-_CHUNK = 1 << 20
+# Surrogate code points, one for each special token of a text in work.
+SPECIAL_MARKS = 0xD800
+N_MARKS = 0x800
+
+# Characters handled at a time, which bounds the working memory of long texts.
+CHUNK = 1 << 20
 
 
 def compat_vocab(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(COMPAT_VOCAB.items()), VOCABULARY)
 
 
-def special_pattern(specials: Iterable[str]) -> str:
-    """Alternation of the specials, longest first; matches nothing when there are none."""
-    ordered = sorted(specials, key=len, reverse=True)
-    return "|".join(re.escape(s) for s in ordered) if ordered else r"(?!)"
+def marker(specials: Iterable[str]) -> Callable[[str], str]:
+    """Function giving the NFC text with each special as one code point, SPECIAL_MARKS + its index.
+
+    The marks are surrogates, which no text read from UTF-8 can hold.
+    """
+    specials = list(specials)
+    if len(specials) > N_MARKS:
+        raise ValueError(f"more than {N_MARKS} specials")
+    marks = {s: chr(SPECIAL_MARKS + i) for i, s in enumerate(specials)}
+    longest_first = sorted(marks, key=len, reverse=True)
+    if any(_overlap(a, b) for a in specials for b in specials if a != b):
+        pattern = re.compile("|".join(map(re.escape, longest_first)))
+        return lambda text: pattern.sub(
+            lambda m: marks[m.group()], unicodedata.normalize("NFC", text)
+        )
+
+    def mark(text: str) -> str:
+        text = unicodedata.normalize("NFC", text)
+        for special in longest_first:
+            text = text.replace(special, marks[special])
+        return text
+
+    return mark
+
+
+def _overlap(first: str, second: str) -> bool:
+    """Whether an occurrence of one can share characters with an occurrence of the other."""
+    return second in first or any(first.endswith(second[:n]) for n in range(1, len(second)))
 
 
 def char_tokens(text: Column | str, specials: Iterable[str] = DECLARED_SPECIALS) -> Column:
@@ -42,7 +71,7 @@ def char_tokens(text: Column | str, specials: Iterable[str] = DECLARED_SPECIALS)
 
 
 def code_points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def token_counts(
@@ -67,18 +96,16 @@ def token_counts(
     if form != "arrow":
         raise ValueError(f"form must be 'arrow' or 'native', not {form!r}")
 
-    whole = re.compile(special_pattern(specials))
+    mark = marker(specials)
 
     def count_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(CODE_SPACE, np.int64)
         for batch in batches:
-            for text in decoded(batch.column(0)):
-                if not text:
-                    continue
-                text = whole.sub("", unicodedata.normalize("NFC", text))
-                for start in range(0, len(text), _CHUNK):
-                    found = np.bincount(code_points(text[start : start + _CHUNK]))
-                    totals[: len(found)] += found
+            text = "".join(mark(t) for t in decoded(batch.column(0)) if t)
+            for start in range(0, len(text), CHUNK):
+                found = np.bincount(code_points(text[start : start + CHUNK]))
+                totals[: len(found)] += found
+        totals[SPECIAL_MARKS : SPECIAL_MARKS + N_MARKS] = 0
         seen = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays(
             [pa.array([chr(c) for c in seen], pa.string()), pa.array(totals[seen], pa.int64())],

@@ -88,8 +88,8 @@ def test_char_tokens(spark, values):
 
 
 def test_long_texts_are_looked_up_in_pieces(spark, monkeypatch):
-    monkeypatch.setattr(encode_module, "_CHUNK", 3)
-    monkeypatch.setattr(vo, "_CHUNK", 3)
+    monkeypatch.setattr(encode_module, "CHUNK", 3)
+    monkeypatch.setattr(vo, "CHUNK", 3)
     values = ["abcab" * 5, "ab<|im_start|>ba<|endoftext|>" * 4, "<|im_start|>" * 3, "a" * 7]
     for cut in (None, 0, 1, 4, 9):
         got = encode(texts(spark, values), VOCAB, count_col="n", max_tokens=cut)
@@ -99,6 +99,30 @@ def test_long_texts_are_looked_up_in_pieces(spark, monkeypatch):
     assert counted == {"a": 25, "b": 18, "c": 5}
 
 
+def test_overlapping_and_neighbouring_specials(spark):
+    specials = ("<|x|>", "|><|", "<|x|>y")
+    values = ["<|x|>y", "<|x|><|x|>", "a|><|x|>", "|><|x|>", "x|>" * 3]
+    ids = {s: 20 + i for i, s in enumerate(specials)}
+
+    def want(text):
+        longest_first = sorted(specials, key=len, reverse=True)
+        return [ids.get(t, VOCAB.get(t, 0)) for t in tokens_of(text, longest_first)]
+
+    for form in ("arrow", "native"):
+        got = encode(texts(spark, values), {**VOCAB, **ids}, specials=specials, form=form)
+        assert by_id(got, "ids") == [want(t) for t in values]
+
+
+def test_specials_do_not_span_rows(spark):
+    df = spark.createDataFrame([(0, "a<|im_"), (1, "start|>a")], "id int, text string").coalesce(1)
+    assert by_id(encode(df, VOCAB), "ids") == [ids_of("a<|im_"), ids_of("start|>a")]
+
+
+def test_too_many_specials(spark):
+    with pytest.raises(ValueError, match="specials"):
+        encode(texts(spark, ["a"]), VOCAB, specials=[f"<{i}>" for i in range(3000)])
+
+
 def test_null_empty_and_unknown(spark):
     got = encode(texts(spark, [None, "", "zz"]), VOCAB, unk_id=3, count_col="n")
     assert by_id(got, "ids") == [None, [], [3, 3]]
