@@ -14,11 +14,11 @@ from corpusloom.functions.sequences import append_eos_pair
 from corpusloom.functions.text import decoded
 from corpusloom.operators.lookup import ids_to_tokens
 from corpusloom.operators.vocab import (
-    CHUNK,
     SPECIAL_MARKS,
     char_tokens,
     code_points,
     marker,
+    pieces,
     reachable_entries,
 )
 from corpusloom.schemas import DECLARED_SPECIALS, END_OF_TEXT
@@ -61,11 +61,11 @@ def _arrow_encoder(
         marked = [None if t is None else mark(t) for t in decoded(texts)]
         kept = ["" if t is None else t[:max_tokens] for t in marked]
         lengths = [len(t) for t in kept]
-        joined = "".join(kept)
-        ids = np.empty(len(joined), np.int32)
-        for start in range(0, len(joined), CHUNK):
-            codes = code_points(joined[start : start + CHUNK])
-            ids[start : start + len(codes)] = table[np.minimum(codes, top)]
+        ids = np.empty(sum(lengths), np.int32)
+        done = 0
+        for piece in pieces(kept):
+            ids[done : done + len(piece)] = table[np.minimum(code_points(piece), top)]
+            done += len(piece)
         return _encoded_array(ids, lengths, [None if t is None else len(t) for t in marked])
 
     return encode_texts

@@ -24,8 +24,8 @@ MAX_LOCAL_ENTRIES = CODE_SPACE + 1024
 SPECIAL_MARKS = 0xD800
 N_MARKS = 0x800
 
-# Characters handled at a time, which bounds the working memory of long texts.
-CHUNK = 1 << 20
+# Characters handled at a time, which bounds the working memory of a batch.
+CHUNK = 1 << 17
 
 
 def compat_vocab(spark: SparkSession) -> DataFrame:
@@ -74,6 +74,21 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def pieces(texts: Iterable[str]) -> Iterator[str]:
+    """The texts one after the other in pieces of about CHUNK characters."""
+    group: list[str] = []
+    size = 0
+    for text in texts:
+        for start in range(0, len(text), CHUNK):
+            group.append(text[start : start + CHUNK])
+            size += len(group[-1])
+            if size >= CHUNK:
+                yield "".join(group)
+                group, size = [], 0
+    if group:
+        yield "".join(group)
+
+
 def token_counts(
     df: DataFrame,
     text_col: str = "text",
@@ -101,9 +116,8 @@ def token_counts(
     def count_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(CODE_SPACE, np.int64)
         for batch in batches:
-            text = "".join(mark(t) for t in decoded(batch.column(0)) if t)
-            for start in range(0, len(text), CHUNK):
-                found = np.bincount(code_points(text[start : start + CHUNK]))
+            for piece in pieces(mark(t) for t in decoded(batch.column(0)) if t):
+                found = np.bincount(code_points(piece))
                 totals[: len(found)] += found
         totals[SPECIAL_MARKS : SPECIAL_MARKS + N_MARKS] = 0
         seen = np.flatnonzero(totals)

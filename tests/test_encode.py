@@ -9,7 +9,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from corpusloom.operators import encode as encode_module
 from corpusloom.operators import vocab as vo
 from corpusloom.operators.encode import decode, encode, encode_with
 from corpusloom.operators.lookup import ids_to_tokens, joined_lookup, tokens_to_ids
@@ -88,7 +87,6 @@ def test_char_tokens(spark, values):
 
 
 def test_long_texts_are_looked_up_in_pieces(spark, monkeypatch):
-    monkeypatch.setattr(encode_module, "CHUNK", 3)
     monkeypatch.setattr(vo, "CHUNK", 3)
     values = ["abcab" * 5, "ab<|im_start|>ba<|endoftext|>" * 4, "<|im_start|>" * 3, "a" * 7]
     for cut in (None, 0, 1, 4, 9):
