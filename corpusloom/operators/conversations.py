@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK_TURNS = 65536
+BLOCK_TURNS = 16384
 
 
 def _block(block_turns: int) -> Column:

@@ -10,7 +10,7 @@ from corpusloom.functions.text import UNICODE_SPACE
 
 SPECIAL_OR_CHAR = r"(?s)<\|endoftext\|>|<\|im_start\|>|."
 COMPAT_ID = "CASE WHEN t = '<|im_start|>' THEN 1 ELSE 0 END"
-BLOCK = 65536
+BLOCK = 16384
 
 
 def frame(prompt: str, answer: str) -> str:

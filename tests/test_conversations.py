@@ -38,7 +38,7 @@ def collected(df):
 
 
 @SLOW
-@given(TURNS, st.sampled_from([1, 2, 3, 7, 65536]))
+@given(TURNS, st.sampled_from([1, 2, 3, 7, 16384]))
 def test_pairs_match_plain_python_for_any_block_size(spark, turns, block):
     rows = [(c, t, r, x) for (c, t), (r, x) in turns.items()]
     df = spark.createDataFrame(rows, SCHEMA)
@@ -69,7 +69,7 @@ def test_ordinary_tables_are_shuffled_once(spark, plan_text, tmp_path):
     turns = spark.read.parquet(str(tmp_path / "turns"))
     assert plan_text(pair_turns(turns)).count("hashpartitioning") == 1
     checked = plan_text(pair_turns(turns, long_conversations=True))
-    assert "GreaterThanOrEqual(turn,65536)" in checked
+    assert "GreaterThanOrEqual(turn,16384)" in checked
     assert collected(pair_turns(turns)) == collected(pair_turns(turns, long_conversations=True))
 
 
@@ -104,7 +104,7 @@ def test_empty_table(spark):
     assert assemble_messages(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-@pytest.mark.parametrize("block", [2, 65536])
+@pytest.mark.parametrize("block", [2, 16384])
 def test_gap_over_a_whole_block_still_pairs(spark, block):
     rows = [(1, 0, "user", "q"), (1, 11, "assistant", "a"), (1, 12, "user", "q2"), (1, 90, "assistant", "a2")]
     got = collected(pair_turns(spark.createDataFrame(rows, SCHEMA), with_system=False, block_turns=block))
