@@ -88,10 +88,12 @@ def _shuffled_keys(
     else:
         leading = F.conv(F.substring("_hex", 1, 8), 16, 10).cast("long")
         part = F.col("epoch") * buckets + F.floor(leading * buckets / _HASH_RANGE)
+    # Never null, which spares a filter on it, and with that a second md5 per row.
+    part = F.coalesce(part.cast("int"), F.lit(0))
     return (
         df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
         .withColumn("_hex", digest)
-        .withColumns({"_key": F.unhex("_hex"), "_part": part.cast("int")})
+        .withColumns({"_key": F.unhex("_hex"), "_part": part})
         .drop("_hex")
     )
 
@@ -139,6 +141,7 @@ def epoch_positions(
             needed = firsts.where((F.col("epoch") == last) & (F.col("_first") < last_examples))
             parts = needed.agg(F.max("_part")).first()[0] + 1
             rows = rows.where(F.col("_part") < parts)
+            firsts = firsts.where(F.col("_part") < parts)
     in_bucket = W.partitionBy("_part", "epoch").orderBy("_key", id_col)
     placed = rows.repartitionById(parts, "_part").withColumn(
         "_number", strict_row_number(in_bucket, [id_col]).cast("long")
@@ -147,8 +150,7 @@ def epoch_positions(
         placed = placed.withColumn("position", F.col("_number") - 1)
     else:
         # At most MAX_BUCKETS rows by construction of `buckets`.
-        first_positions = F.broadcast(firsts.select("_part", "_first").where(F.col("_part") < parts))
-        placed = placed.join(first_positions, "_part").withColumn(
+        placed = placed.join(F.broadcast(firsts.select("_part", "_first")), "_part").withColumn(
             "position", F.col("_first") + F.col("_number") - 1
         )
     if last_examples < n:
