@@ -36,7 +36,7 @@ def assemble_messages(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataF
 def _next_turns(long_turns: DataFrame) -> DataFrame:
     """The first turn of each block, as a helper row behind the turns of the block before it."""
     firsts = long_turns.groupBy("conv_id", "block").agg(
-        F.min_by(F.struct("turn", "role", "text"), "turn").alias("first")
+        F.min(F.struct("turn", "role", "text")).alias("first")
     )
     previous = F.lag("block", 1, 0).over(W.partitionBy("conv_id").orderBy("block"))
     return firsts.select(
@@ -50,7 +50,7 @@ def _system_turns(turns: DataFrame, long_turns: DataFrame) -> DataFrame:
         turns.where(F.col("role") == "system")
         .join(long_turns.select("conv_id").distinct(), "conv_id", "left_semi")
         .groupBy("conv_id")
-        .agg(F.min_by(F.struct("turn", "role", "text"), "turn").alias("first"))
+        .agg(F.min(F.struct("turn", "role", "text")).alias("first"))
     )
     blocks = long_turns.select(
         "conv_id", F.explode(F.array(F.lit(0).cast("long"), "block")).alias("block")
@@ -86,7 +86,7 @@ def pair_turns(
         rows = rows.unionByName(_next_turns(long_turns))
         if with_system:
             rows = rows.unionByName(_system_turns(turns, long_turns))
-    in_block = W.partitionBy("conv_id", "block").orderBy("edge", "turn")
+    in_block = W.partitionBy("conv_id", "block").orderBy("edge", "turn", "role", "text")
     whole_block = in_block.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     system_turn = F.when(F.col("role") == "system", F.struct("text"))
     # The text keeps its name up to the end: renamed here, it would be shuffled twice.

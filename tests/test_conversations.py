@@ -99,6 +99,14 @@ def test_staged_corpus_keeps_every_row(spark):
     assert "user\nU<" in got["first"] and "user\nS\nU<" in got["second"]
 
 
+def test_repeated_turns_are_ordered_by_their_content(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "b"), (1, 1, "assistant", "a"), (1, 2, "user", "z")]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        assert collected(pair_turns(df, with_system=False)) == [(1, 0, "q", "a")]
+        assert collected(pair_turns(df, with_system=False, block_turns=1)) == [(1, 0, "q", "a")]
+
+
 def test_empty_table(spark):
     assert pair_turns(spark.createDataFrame([], SCHEMA)).collect() == []
     assert assemble_messages(spark.createDataFrame([], SCHEMA)).collect() == []
