@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from corpusloom.llm.bpe import op8_bpe
+from corpusloom.llm.language import op5_language_id
 from corpusloom.llm.line_dedup import OP4_SQL, op4_line_dedup
+from corpusloom.llm.packing import op6_packing
 from corpusloom.llm.quality import OP1_SQL, op1_quality_rules
 from corpusloom.llm.sharding import op2_sharding
 
@@ -10,6 +13,9 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
     "op4_line_dedup": op4_line_dedup,
+    "op5_language_id": op5_language_id,
+    "op6_packing": op6_packing,
+    "op8_bpe": op8_bpe,
 }
 ORACLE_SQL = {
     "op1_quality_rules": OP1_SQL,
