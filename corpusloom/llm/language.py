@@ -22,11 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import in_pieces, table
+from corpusloom.llm.common import in_pieces, staged, table
 from corpusloom.llm.words import mix
 
 #: Bounds of the training sample: texts for each language, and characters of a text to be in it.
@@ -143,13 +143,12 @@ def fit(df: DataFrame, texts: int = TRAIN_TEXTS, chars: int = TRAIN_CHARS) -> Fi
     drawn = usable.where(F.length("text") <= chars).join(F.broadcast(rates), "lang")
     drawn = drawn.where(F.pmod(F.xxhash64(F.lit("language"), "id"), F.lit(scale)) < F.col("most")).select("lang", "text")
     counts = drawn.mapInArrow(_gram_counts, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = staged(counts, "gram_counts")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     weights = df.sparkSession.createDataFrame([(x, float(n)) for x, n in totals.items()], "lang string, total double")
     rated = counts.where(F.col("n") >= MIN_COUNT).join(F.broadcast(weights), "lang").withColumn("rate", F.col("n") / F.col("total"))
     tops = rated.groupBy("gram").agg(F.max("rate").alias("top"))
     own = rated.join(tops, "gram").where(F.col("rate") >= SHARE * F.col("top"))
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
     kept = own.withColumn("rank", rank).where(F.col("rank") <= MAX_GRAMS).select("lang", "gram").toPandas()
     return build(languages, [kept.loc[kept["lang"] == x, "gram"].to_numpy().astype(np.uint64) for x in languages])

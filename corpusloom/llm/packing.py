@@ -171,7 +171,7 @@ def pack(found: DataFrame, size: int = SIZE, partition_pieces: int = PARTITION_P
         rows = rows.sort_values(["length", "_place"], ascending=[False, True])
         bins, offsets = place(rows["length"].to_numpy(), size)
         # Odd numbers, so that none is that of a full piece.
-        rows["sequence_id"] = ((rows["_part"] << 40) + bins) * 2 + 1
+        rows["sequence_id"] = (rows["_part"] * (1 << 40) + bins) * 2 + 1
         rows["offset"] = offsets
         return rows
 
