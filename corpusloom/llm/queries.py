@@ -8,6 +8,7 @@ from corpusloom.llm.line_dedup import OP4_SQL, op4_line_dedup
 from corpusloom.llm.packing import op6_packing
 from corpusloom.llm.quality import OP1_SQL, op1_quality_rules
 from corpusloom.llm.sharding import op2_sharding
+from corpusloom.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,
 }
 ORACLE_SQL = {
