@@ -5,6 +5,7 @@ from __future__ import annotations
 from corpusloom.llm.bpe import op8_bpe
 from corpusloom.llm.language import op5_language_id
 from corpusloom.llm.line_dedup import OP4_SQL, op4_line_dedup
+from corpusloom.llm.near_dedup import OP3_SQL, op3_near_dedup
 from corpusloom.llm.packing import op6_packing
 from corpusloom.llm.quality import OP1_SQL, op1_quality_rules
 from corpusloom.llm.sharding import op2_sharding
@@ -13,6 +14,7 @@ from corpusloom.llm.toxicity import op7_toxicity
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
+    "op3_near_dedup": op3_near_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
@@ -21,5 +23,6 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op1_quality_rules": OP1_SQL,
+    "op3_near_dedup": OP3_SQL,
     "op4_line_dedup": OP4_SQL,
 }
