@@ -195,6 +195,11 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out.filter(pa.array(same))
 
 
+def sized(ids: DataFrame) -> DataFrame:
+    """A table of ids for a join: sent to all tasks if it has at most ``BROADCAST_IDS`` rows, else shuffled."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def near_duplicates(df: DataFrame, percent: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): documents whose sets have a Jaccard similarity of ``percent`` or more are linked."""
     docs = df.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -221,7 +226,7 @@ def near_duplicates(df: DataFrame, percent: int, doc_id: str = "doc_id", text: s
     # The full sets of the classes in groups, and the links that they confirm.
     inside = staged(groups.join(reps.select("node", "key", "n"), "node"), "groups")
     ids = inside.withColumnRenamed("node", "doc_id")
-    found = docs.join(F.broadcast(ids) if inside.count() <= BROADCAST_IDS else ids, "doc_id")
+    found = docs.join(sized(ids), "doc_id")
     sets = found.select("doc_id", "group", "n", "key", "text").mapInArrow(_sets, "node bigint, group bigint, n bigint, shingles binary")
     weights = inside.groupBy("group").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
     blocks = F.greatest(F.ceil(F.col("m") / SET_BLOCK), F.ceil(F.col("w") / SET_BLOCK_SHINGLES)).cast("bigint")

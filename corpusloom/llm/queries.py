@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from corpusloom.llm.bpe import op8_bpe
+from corpusloom.llm.html_text import op10_html_text
 from corpusloom.llm.language import op5_language_id
 from corpusloom.llm.line_dedup import OP4_SQL, op4_line_dedup
 from corpusloom.llm.near_dedup import OP3_SQL, op3_near_dedup
 from corpusloom.llm.packing import op6_packing
 from corpusloom.llm.quality import OP1_SQL, op1_quality_rules
 from corpusloom.llm.sharding import op2_sharding
+from corpusloom.llm.topk import OP9_SQL, op9_top_k
 from corpusloom.llm.toxicity import op7_toxicity
 
 QUERIES = {
@@ -20,9 +22,12 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,
+    "op9_top_k": op9_top_k,
+    "op10_html_text": op10_html_text,
 }
 ORACLE_SQL = {
     "op1_quality_rules": OP1_SQL,
     "op3_near_dedup": OP3_SQL,
     "op4_line_dedup": OP4_SQL,
+    "op9_top_k": OP9_SQL,
 }
