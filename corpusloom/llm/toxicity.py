@@ -2,14 +2,14 @@
 
 Training, on bounded samples of labelled texts:
 
-1. Character 5-grams that far more toxic than ordinary texts contain mark the toxic passages.
+1. Character n-grams that far more toxic than ordinary texts contain mark the toxic passages.
 2. One dictionary is trained on ordinary texts, a second one on the toxic passages. The toxic side
    compresses with both, the ordinary side with the ordinary one and filler in place of the other, so
    a difference in length comes from toxic passages alone.
 3. On labelled texts that the dictionaries have not seen, a logistic rule over the largest difference
    of a window and the sum of the clear ones gives calibrated scores.
 
-Prediction: both sides compress every window, which is a word with its blanks, and the differences
+Prediction: both sides compress every window, which is a word between marks for its limits, and the differences
 give the score. Differences of recent windows are kept in a dictionary of bounded size.
 
 An empty or null text has no window and gets the score of no difference; texts of any length are read
@@ -26,7 +26,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +48,12 @@ LEVEL = 19
 CACHE_ENTRIES = 400_000
 #: Stands before each window, so that a block is always worth compressing.
 LEAD = b" " * 24
-GRAM = 5
+#: Stands for the blanks between words on both sides: bytes that no window has, and enough of them to tell where words begin.
+MARK = b"\x01\x02\x03"
+#: Lengths of the character n-grams that mark toxic passages, blanks at word limits included, and the evidence that
+#: one needs: the negative logarithm of the chance that all its texts are toxic ones if labels don't matter.
+GRAMS = (4, 5, 6, 7, 8)
+EVIDENCE = 12.0
 
 
 @dataclass(frozen=True)
@@ -102,7 +106,7 @@ class Scorer:
         """By how many bytes the toxic side is shorter, window by window."""
         sizes = []
         for at in range(0, len(words), 8192):
-            own = [LEAD + w + b" " for w in words[at : at + 8192]]
+            own = [LEAD + MARK + w + MARK for w in words[at : at + 8192]]
             ends = np.cumsum([len(w) for w in own])
             spans = np.stack([np.r_[0, ends[:-1]], np.diff(ends, prepend=0)], axis=1).astype(np.uint64)
             joined = self.zstandard.BufferWithSegments(b"".join(own), spans.tobytes())
@@ -133,36 +137,32 @@ class Scorer:
         return [1.0 / (1.0 + math.exp(-min(40.0, max(-40.0, x)))) for x in raw]
 
 
-def toxic_passages(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    """The parts of words of toxic texts, with the blanks around them, that 5-grams typical of toxic texts cover."""
+def toxic_passages(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """The parts of words of toxic texts, with the marks around them, that n-grams typical of toxic texts cover."""
 
-    def words(text: str) -> list[str]:
-        return regex.findall(r"[\p{L}\p{M}]+", text.lower())
-
-    def grams(word: str) -> list[str]:
+    def grams(word: str) -> list[tuple[int, str]]:
         padded = f" {word} "
-        return [padded[i : i + GRAM] for i in range(max(1, len(padded) - GRAM + 1))]
+        return [(i, padded[i : i + n]) for n in GRAMS for i in range(len(padded) - n + 1)]
+
+    def words(text: bytes) -> list[str]:
+        return [w.decode("utf-8", "ignore") for w in windows(text)]
 
-    def counted(rows: list[str]) -> Counter:
+    def counted(rows: list[bytes]) -> Counter:
         out: Counter = Counter()
         for row in rows:
-            out.update({g for w in set(words(row)) for g in grams(w)})
+            out.update({g for w in set(words(row)) for _, g in grams(w)})
         return out
 
     in_toxic, in_ordinary = counted(toxic), counted(ordinary)
-    ratio = 30 * len(toxic) / len(ordinary)
-    least = max(3, len(toxic) // 100)
-    typical = {g for g, n in in_toxic.items() if n >= least and n > ratio * in_ordinary[g] and in_ordinary[g] * 50 <= n}
+    surprise = math.log((len(toxic) + len(ordinary)) / len(toxic))
+    typical = {g for g, n in in_toxic.items() if n * surprise >= EVIDENCE and in_ordinary[g] * 50 <= n}
     out = []
     for row in toxic:
         for w in words(row):
-            padded, first, end = f" {w} ", len(w), 0
-            for i, g in enumerate(grams(w)):
-                if g in typical:
-                    first, end = min(first, i), i + len(g)
-            if end:
-                out.append(padded[first:end].encode())
-    return out
+            spans = [(i, i + len(g)) for i, g in grams(w) if g in typical]
+            if spans:
+                out.append(f" {w} "[min(i for i, _ in spans) : max(end for _, end in spans)])
+    return [x.encode().replace(b" ", MARK) for x in out]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 0.01) -> np.ndarray:
@@ -199,15 +199,16 @@ def without_copies(rows: list[tuple[str, int, int]]) -> list[tuple[str, int, int
 def train(rows: list[tuple[str, int, int]]) -> Model:
     """From (text, toxic, fold): dictionaries from fold 0, weights from fold 1."""
     rows = without_copies(rows)
-    toxic = [t for t, y, k in rows if y == 1 and k == 0]
-    ordinary = [t for t, y, k in rows if y == 0 and k == 0]
+    toxic = [t.encode() for t, y, k in rows if y == 1 and k == 0]
+    ordinary = [t.encode() for t, y, k in rows if y == 0 and k == 0]
     check = [(t, y) for t, y, k in rows if k == 1]
     if not toxic or not ordinary or len({y for _, y in check}) < 2:
         return Model(b"", b"", ())
-    samples = [t.lower().encode()[at : at + 512] for t in ordinary for at in range(0, len(t), 512)]
+    marked = [MARK + MARK.join(windows(t)) + MARK for t in ordinary]
+    samples = [t[at : at + 512] for t in marked for at in range(0, len(t), 512)]
     common = _content(samples, DICT_BYTES)
     counted = Counter(toxic_passages(toxic, ordinary))
-    often = [w for w, n in sorted(counted.items(), key=lambda e: (e[1], e[0])) if n >= max(2, len(toxic) // 100)]
+    often = [w for w, n in sorted(counted.items(), key=lambda e: (e[1], e[0]))]
     # The trainer needs far more text than a dictionary holds; few passages are the dictionary themselves.
     joined = b"".join(often)
     special = joined if len(joined) <= TOXIC_BYTES else _content([w for w in often for _ in range(min(counted[w], 50))], TOXIC_BYTES)
