@@ -24,7 +24,7 @@ FLOAT_METRICS = (
 def captured(line: Column | str, pattern: str) -> Column:
     """First capture group of the first match, null when the line does not match."""
     c = F.col(line) if isinstance(line, str) else line
-    return F.get(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), F.lit(0))
+    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
 
 
 def metric_entries(line: Column | str, definitions: Sequence[tuple[str, str]] = COMPAT_METRICS) -> Column:

@@ -24,7 +24,8 @@ def assemble_messages(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataF
     """(conv_id, part, messages) with messages as role and content structs in turn order.
 
     A conversation of up to `block_turns` turns is one row with part 0; a longer one goes on
-    in parts 1, 2, ...
+    in parts 1, 2, ... Parts are how a long conversation is stored; all work on cases takes the
+    parts of a conversation together.
     """
     ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
     messages = F.transform(
@@ -33,6 +34,16 @@ def assemble_messages(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataF
     return turns.groupBy("conv_id", _block(block_turns).alias("part")).agg(messages.alias("messages"))
 
 
+def last_messages(turns: DataFrame) -> DataFrame:
+    """(conv_id, content) of the last turn of each conversation, whatever its role."""
+    last = F.max(F.struct("turn", "role", "text"))
+    return turns.groupBy("conv_id").agg(last.alias("last")).select("conv_id", F.col("last.text").alias("content"))
+
+
+def count_conversations(turns: DataFrame) -> DataFrame:
+    return turns.select("conv_id").distinct().agg(F.count("*").alias("cases"))
+
+
 def _next_turns(long_turns: DataFrame) -> DataFrame:
     """The first turn of each block, as a helper row behind the turns of the block before it."""
     firsts = long_turns.groupBy("conv_id", "block").agg(
@@ -46,9 +57,9 @@ def _next_turns(long_turns: DataFrame) -> DataFrame:
 
 def _system_turns(turns: DataFrame, long_turns: DataFrame) -> DataFrame:
     """The first system turn of a long conversation, as a helper row in front of each block."""
+    # One row per conversation before the join, however many system turns there are.
     systems = (
         turns.where(F.col("role") == "system")
-        .join(long_turns.select("conv_id").distinct(), "conv_id", "left_semi")
         .groupBy("conv_id")
         .agg(F.min(F.struct("turn", "role", "text")).alias("first"))
     )
@@ -60,32 +71,22 @@ def _system_turns(turns: DataFrame, long_turns: DataFrame) -> DataFrame:
     )
 
 
-def pair_turns(
-    turns: DataFrame,
-    *,
-    with_system: bool = True,
-    block_turns: int = BLOCK_TURNS,
-    long_conversations: bool | None = None,
-) -> DataFrame:
+def pair_turns(turns: DataFrame, *, with_system: bool = True, block_turns: int = BLOCK_TURNS) -> DataFrame:
     """A user turn directly followed by an assistant turn gives one row:
     (conv_id, turn, prompt, response[, system_prompt]), turn being that of the prompt.
 
     system_prompt is the first system turn of the conversation, null when there is none.
 
-    One shuffle by (conv_id, block), then windows over one sort. Where a conversation goes
-    beyond block 0, helper rows make each of its blocks complete in itself. Whether there is one
-    is looked up first, unless `long_conversations` says so: the scan asks for
-    turn >= block_turns and skips every row group of an ordinary table.
+    One shuffle of the turns by (conv_id, block), then windows over one sort. Helper rows make
+    each block of a conversation that goes beyond block 0 complete in itself; they come from a
+    scan for turn >= block_turns, which skips every row group of an ordinary table.
     """
     turns = turns.select("conv_id", "turn", "role", "text")
     rows = turns.withColumns({"block": _block(block_turns), "edge": F.lit(0)})
     long_turns = turns.where(F.col("turn") >= block_turns).withColumn("block", _block(block_turns))
-    if long_conversations is None:
-        long_conversations = not long_turns.isEmpty()
-    if long_conversations:
-        rows = rows.unionByName(_next_turns(long_turns))
-        if with_system:
-            rows = rows.unionByName(_system_turns(turns, long_turns))
+    rows = rows.unionByName(_next_turns(long_turns))
+    if with_system:
+        rows = rows.unionByName(_system_turns(turns, long_turns))
     in_block = W.partitionBy("conv_id", "block").orderBy("edge", "turn", "role", "text")
     whole_block = in_block.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     system_turn = F.when(F.col("role") == "system", F.struct("text"))

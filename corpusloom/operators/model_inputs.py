@@ -19,6 +19,8 @@ from corpusloom.functions.text import TEMPLATES
 from corpusloom.operators.encode import encode, encode_with
 from corpusloom.schemas import DECLARED_SPECIALS, DEFAULT_MAX_LENGTH
 
+Tokenizer = Callable[[list[str]], Sequence[Sequence[int]]]
+
 
 def render(
     df: DataFrame,
@@ -73,7 +75,8 @@ def sequences(
     template: str | Callable[[], Column],
     vocab: DataFrame | Mapping[str, int] | None = None,
     *,
-    tokenizer: Callable[[list[str]], Sequence[Sequence[int]]] | None = None,
+    tokenizer: Tokenizer | None = None,
+    setup: Callable[[], Tokenizer] | None = None,
     max_length: int = DEFAULT_MAX_LENGTH,
     eos_id: int = 0,
     unk_id: int = 0,
@@ -84,14 +87,14 @@ def sequences(
 ) -> DataFrame:
     """Render, encode, truncate, append EOS: the `keep` columns, `ids` and `n_tokens`.
 
-    `n_tokens` counts the whole text, so `n_tokens >= max_length` marks truncated rows.
+    `setup` builds a tokenizer inside the task. `n_tokens` counts the whole text, so `n_tokens >= max_length` marks truncated rows.
     """
-    if (vocab is None) == (tokenizer is None):
-        raise ValueError("give either vocab or tokenizer")
+    if sum(x is not None for x in (vocab, tokenizer, setup)) != 1:
+        raise ValueError("give one of vocab, tokenizer and setup")
     rendered = render(df, template, "_text", null_policy=null_policy, keep=keep)
     room = max(max_length - 1, 0)
-    if tokenizer is not None:
-        encoded = encode_with(rendered, tokenizer, "_text", count_col="n_tokens", max_tokens=room)
+    if vocab is None:
+        encoded = encode_with(rendered, tokenizer, "_text", setup=setup, count_col="n_tokens", max_tokens=room)
     else:
         encoded = encode(
             rendered,
@@ -111,7 +114,8 @@ def prepare(
     template: str | Callable[[], Column],
     vocab: DataFrame | Mapping[str, int] | None = None,
     *,
-    tokenizer: Callable[[list[str]], Sequence[Sequence[int]]] | None = None,
+    tokenizer: Tokenizer | None = None,
+    setup: Callable[[], Tokenizer] | None = None,
     max_length: int = DEFAULT_MAX_LENGTH,
     eos_id: int = 0,
     pad_id: int | None = None,
@@ -127,6 +131,7 @@ def prepare(
         template,
         vocab,
         tokenizer=tokenizer,
+        setup=setup,
         max_length=max_length,
         eos_id=eos_id,
         unk_id=unk_id,

@@ -5,12 +5,17 @@ Every statement reads whole tables and whole texts.
 
 from __future__ import annotations
 
-from corpusloom.functions.metrics import COMPAT_METRICS, FLOAT_METRICS
-from corpusloom.functions.text import UNICODE_SPACE
+# Fixed values, spelled out here once more: white space that makes a text blank, and the metric patterns.
+UNICODE_SPACE = r"\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+NUMBER = "([-+]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][-+]?[0-9]+)?)"
+COMPAT_METRICS = (("train:loss", "train_loss: ([0-9.]+)"), ("eval:loss", "eval_loss: ([0-9.]+)"))
+FLOAT_METRICS = (
+    ("train:loss", f"""['"]?train_loss['"]?: {NUMBER}"""),
+    ("eval:loss", f"""['"]?eval_loss['"]?: {NUMBER}"""),
+)
 
 SPECIAL_OR_CHAR = r"(?s)<\|endoftext\|>|<\|im_start\|>|."
 COMPAT_ID = "CASE WHEN t = '<|im_start|>' THEN 1 ELSE 0 END"
-BLOCK = 16384
 
 
 def frame(prompt: str, answer: str) -> str:
@@ -135,8 +140,8 @@ def id_digest(keys: str, ids: str, source: str) -> str:
     )
 
 
-def input_digests(keys: str, source: str) -> str:
-    pad = "list_resize([]::INTEGER[], 2048 - len(ids), {})"
+def input_digests(keys: str, source: str, size: int = 2048) -> str:
+    pad = f"list_resize([]::INTEGER[], {size} - len(ids), {{}})"
     labels = "list_transform(ids, lambda i: CASE WHEN i = 0 THEN -100 ELSE i END)"
     return (
         f"SELECT {keys}, {digest('list_concat(' + pad.format(0) + ', ids)')} AS input_ids, "
@@ -175,12 +180,9 @@ plan AS (
 
 STEP_PLAN = plan("documents", "doc_id", 0, "CAST(ceil(10 / steps) AS BIGINT)", 10)
 
-CASES = f"""cases AS (
-  SELECT CAST(row_number() OVER (ORDER BY conv_id, part) AS INTEGER) AS test_case, *
-  FROM (SELECT conv_id, turn // {BLOCK} AS part, count(*) AS n,
-               arg_max(text, turn) AS input,
-               string_agg(role || ':' || text, chr(10) ORDER BY turn) AS messages
-        FROM conversations GROUP BY conv_id, turn // {BLOCK}))"""
+CASES = """cases AS (
+  SELECT CAST(row_number() OVER (ORDER BY conv_id) AS INTEGER) AS test_case, *
+  FROM (SELECT conv_id, count(*) AS n, arg_max(text, turn) AS input FROM conversations GROUP BY conv_id))"""
 RESPONSE = (
     "CASE WHEN length(input) % 5 <> 0 THEN n || ' messages, ' || length(input) || ' characters' END"
 )
@@ -209,11 +211,20 @@ def metrics(definitions) -> str:
 
 
 _DOC_VOCAB = vocabulary("documents")
-_MESSAGES = f"""SELECT conv_id, turn // {BLOCK} AS part, CAST(count(*) AS INTEGER) AS turns,
-  string_agg(role || ':' || text, chr(10) ORDER BY turn) AS messages
-  FROM conversations GROUP BY conv_id, turn // {BLOCK}"""
+_MESSAGES = """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position, role, text AS content
+  FROM conversations"""
 _KEYED_TURNS = "keyed AS (SELECT conv_id || '-' || turn AS key, text FROM conversations)"
 _SPLIT = "SELECT lang AS split, source AS prompt, md5(text) AS response FROM documents"
+_ANSWERED = f"""SELECT test_case, input, {RESPONSE} AS response,
+  CASE WHEN length(input) % 5 = 0 THEN 'ValueError: ' || length(input) || ' characters' END AS error
+  FROM cases"""
+_PADDED = """padded AS (
+  SELECT conv_id || '-' || turn AS output, instruction, CASE WHEN conv_id % 2 = 0 THEN 'train' ELSE 'test' END AS split,
+    CASE turn % 6 WHEN 1 THEN NULL WHEN 3 THEN '  ' || input || ' ' || chr(10) || '"q", ' ELSE input END AS input
+  FROM inputs)"""
+_PADDED_PROMPT = f"CASE WHEN input IS NULL OR {blank('input')} THEN instruction ELSE instruction || chr(10) || input END"
+_INSTRUCTION = f"""SELECT split, output, md5(instruction) AS instruction, input,
+  md5({frame('(' + _PADDED_PROMPT + ')', 'output')}) AS text FROM padded"""
 _RESULTS = with_(CASES) + f"SELECT test_case, input, {RESPONSE} AS response FROM cases"
 
 ORACLE_SQL = {
@@ -233,8 +244,8 @@ ORACLE_SQL = {
     "stage_union": with_(PAIRS, INPUTS, STAGED) + "SELECT * FROM staged",
     "turn_pairs": with_(PAIRS) + "SELECT conv_id, turn, prompt, response, system_prompt FROM pairs",
     "message_assembly": _MESSAGES,
-    "last_message": f"""SELECT conv_id, turn // {BLOCK} AS part, arg_max(text, turn) AS content
-  FROM conversations GROUP BY conv_id, turn // {BLOCK}""",
+    "last_message": "SELECT conv_id, arg_max(text, turn) AS content FROM conversations GROUP BY conv_id",
+    "conversation_count": "SELECT count(DISTINCT conv_id) AS cases FROM conversations",
     "nfc_text": """SELECT doc_id, CAST(length(t) AS INTEGER) AS chars, md5(t) AS digest
   FROM (SELECT doc_id, nfc_normalize(replace(text, 'e', 'e' || chr(769))) AS t FROM documents)""",
     "char_tokens": with_(MARKED)
@@ -280,7 +291,7 @@ ORACLE_SQL = {
   FROM (SELECT key, unnest(tokens) AS token, unnest(range(1, len(tokens) + 1)) AS pos
         FROM (SELECT key, {chars('nfc_normalize(text)')} AS tokens FROM keyed)) i
   LEFT JOIN vocab v ON v.token = i.token GROUP BY key""",
-    "decode_roundtrip": "SELECT doc_id, left(nfc_normalize(text), 2047) AS text FROM documents",
+    "decode_roundtrip": "SELECT doc_id, nfc_normalize(text) AS text FROM documents",
     "decode_skip_special": """SELECT doc_id, md5(
     regexp_replace(source || chr(10) || nfc_normalize(text), '<\\|endoftext\\|>|<\\|im_start\\|>', '', 'g') || '<|im_end|>' || lang) AS digest
   FROM documents""",
@@ -328,13 +339,26 @@ ORACLE_SQL = {
     )
     + input_digests("example, epoch, step, accum, rank, slot", "planned"),
     "test_case_inputs": with_(CASES) + "SELECT test_case, input FROM cases",
-    "case_count": f"SELECT count(DISTINCT (conv_id, turn // {BLOCK})) AS cases FROM conversations",
-    "batch_responses": with_(CASES)
-    + f"""SELECT test_case, input, {RESPONSE} AS response,
-  CASE WHEN length(input) % 5 = 0 THEN 'ValueError: ' || length(input) || ' characters' END AS error
-  FROM cases""",
+    "case_count": "SELECT count(DISTINCT conv_id) AS cases FROM conversations",
+    "batch_responses": with_(CASES) + _ANSWERED,
+    "batch_responses_batched": with_(CASES) + _ANSWERED,
     "result_json_roundtrip": _RESULTS,
-    "case_json_roundtrip": with_(CASES) + "SELECT test_case, messages FROM cases",
+    "case_json_roundtrip": """SELECT CAST(dense_rank() OVER (ORDER BY conv_id) AS INTEGER) AS test_case,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position, role, text AS content FROM conversations""",
+    "case_array_files": """SELECT CAST(row_number() OVER (ORDER BY item_id % 2, item_id) AS INTEGER) AS test_case,
+  CAST(2 AS INTEGER) AS turns, text AS input, 'item ' || item_id AS first FROM benchmark""",
+    "model_inputs_tokenizer": with_(
+        PAIRS,
+        f"rendered AS ({R1})",
+        "closed AS (SELECT conv_id, turn, list_append(list_transform(string_split(text, ' ')[1:127], "
+        "lambda w: CAST(length(w) AS INTEGER)), 0) AS ids FROM rendered)",
+    )
+    + input_digests("conv_id, turn", "closed", 128),
+    "corpus_csv_instruction": with_(PAIRS, INPUTS, _PADDED) + _INSTRUCTION,
+    "corpus_json_instruction": with_(PAIRS, INPUTS, _PADDED) + _INSTRUCTION,
+    "corpus_system_user": with_(PAIRS)
+    + f"SELECT CASE WHEN conv_id % 2 = 0 THEN 'train' ELSE 'validation' END AS split, text FROM ({R3})",
+    "split_by_file_name": "SELECT 'train' AS split, source AS prompt, md5(text) AS response FROM documents",
     "map_batches": with_(PAIRS) + R1,
     "corpus_parquet": _SPLIT,
     "corpus_json": _SPLIT,

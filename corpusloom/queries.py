@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import sequences as seq
@@ -40,7 +40,7 @@ from corpusloom.operators.responses import (
     last_content,
 )
 from corpusloom.plans.batch_plan import BatchShape, batch_plan, plan_summary
-from corpusloom.plans.numbering import number_rows
+from corpusloom.plans.numbering import number_keys
 from corpusloom.plans.shards import export_shards, read_shard
 from corpusloom.schemas import COMPAT_VOCAB, DEFAULT_MAX_LENGTH, RESULT
 from corpusloom.sinks.scratch import scratch_path
@@ -54,7 +54,6 @@ from corpusloom.sinks.writers import (
 from corpusloom.sources.cases import read_cases
 from corpusloom.sources.corpora import read_corpus
 from corpusloom.sources.logs import read_logs
-from corpusloom.sources.spread import spread
 from corpusloom.streaming.loss_metrics import extract_metrics, start_metric_stream
 
 STEP_SHAPE = BatchShape(micro_batch=4, accumulation=8, world_size=8, max_steps=10)
@@ -67,8 +66,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents table for work on every character of its texts."""
-    return spread(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 def digest(ids: str) -> Column:
@@ -130,9 +128,22 @@ def staged_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as test cases, numbered in the order of conv_id."""
-    messages = conversations.assemble_messages(table(spark, sf_dir, "conversations"))
-    return number_rows(messages, ["conv_id", "part"]).select("test_case", "messages")
+    """Conversations as test cases, numbered in the order of conv_id; the parts of one share its number."""
+    turns = table(spark, sf_dir, "conversations")
+    numbers = number_keys(turns.select("conv_id").distinct(), ["conv_id"], "test_case")
+    numbers = numbers.select("conv_id", F.col("test_case").cast("int").alias("test_case"))
+    return conversations.assemble_messages(turns).join(numbers, "conv_id").select("test_case", "part", "messages")
+
+
+def message_rows(parts: DataFrame, key: str) -> DataFrame:
+    """One row per message with its position in the whole conversation, from the sizes of the parts before."""
+    before = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum(F.size("messages")).over(before), F.lit(0))
+    placed = parts.withColumn("first", first)
+    rows = placed.select(key, "first", F.posexplode("messages").alias("at", "message"))
+    return rows.select(
+        key, (F.col("first") + F.col("at") + 1).cast("long").alias("position"), "message.role", "message.content"
+    )
 
 
 # Rendering
@@ -176,16 +187,15 @@ def q_turn_pairs(spark, sf_dir):
 
 
 def q_message_assembly(spark, sf_dir):
-    messages = conversations.assemble_messages(table(spark, sf_dir, "conversations"))
-    joined = F.array_join(
-        F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n"
-    )
-    return messages.select("conv_id", "part", F.size("messages").alias("turns"), joined.alias("messages"))
+    return message_rows(conversations.assemble_messages(table(spark, sf_dir, "conversations")), "conv_id")
 
 
 def q_last_message(spark, sf_dir):
-    messages = conversations.assemble_messages(table(spark, sf_dir, "conversations"))
-    return messages.select("conv_id", "part", last_content().alias("content"))
+    return conversations.last_messages(table(spark, sf_dir, "conversations"))
+
+
+def q_conversation_count(spark, sf_dir):
+    return conversations.count_conversations(table(spark, sf_dir, "conversations"))
 
 
 # Tokens and vocabularies
@@ -220,8 +230,7 @@ def q_corpus_vocab_bounded(spark, sf_dir):
 
 
 def q_vocab_inversion(spark, sf_dir):
-    whole = vocab.as_map(vocab.corpus_vocab(documents(spark, sf_dir)))
-    return whole.select(F.explode(vocab.invert_map("vocab")).alias("id", "token"))
+    return vocab.invert(vocab.corpus_vocab(documents(spark, sf_dir)))
 
 
 def q_vocab_export(spark, sf_dir):
@@ -288,10 +297,10 @@ def q_id_token_join(spark, sf_dir):
 
 
 def q_decode_roundtrip(spark, sf_dir):
-    """Encode, cut to the default length, decode: the text again as far as it fits."""
+    """Encode and decode whole texts."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     made = vocab.reachable_entries(vocab.corpus_vocab(docs))
-    encoded = encode(docs, made, max_tokens=DEFAULT_MAX_LENGTH - 1).drop("text")
+    encoded = encode(docs, made).drop("text")
     return decode(encoded, made).select("doc_id", "text")
 
 
@@ -467,10 +476,52 @@ def q_result_json_roundtrip(spark, sf_dir):
 
 def q_case_json_roundtrip(spark, sf_dir):
     path = write_cases(conversation_cases(spark, sf_dir), scratch_path(spark, "cases"))
-    joined = F.array_join(
-        F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n"
+    return message_rows(read_cases(spark, path), "test_case")
+
+
+def q_case_array_files(spark, sf_dir):
+    """Benchmark items as two files with a JSON array of conversations each, numbered over both."""
+    path = scratch_path(spark, "case-arrays")
+    items = table(spark, sf_dir, "benchmark")
+    talk = F.array(
+        F.struct(F.lit("system").alias("role"), F.concat(F.lit("item "), F.col("item_id")).alias("content")),
+        F.struct(F.lit("user").alias("role"), F.col("text").alias("content")),
+    )
+    suites = items.groupBy((F.col("item_id") % 2).alias("file")).agg(
+        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("item_id", talk.alias("talk")))), lambda r: r["talk"])).alias("value")
+    )
+    suites.write.partitionBy("file").text(path)
+    cases = read_cases(spark, path, "array")
+    return cases.select(
+        "test_case", F.size("messages").alias("turns"), last_content().alias("input"), F.get("messages", 0)["content"].alias("first")
+    )
+
+
+def _sizes_of_talks(talks: list[list[dict[str, str]]]) -> list[str | Exception]:
+    """A model that takes several conversations at a time; failures stand in the list."""
+    out = []
+    for messages in talks:
+        try:
+            out.append(_size_of_talk(messages))
+        except ValueError as e:
+            out.append(e)
+    return out
+
+
+def q_batch_responses_batched(spark, sf_dir):
+    return batch_responses(conversation_cases(spark, sf_dir), _sizes_of_talks, batch_size=16)
+
+
+def _load_word_tokenizer():
+    return _word_lengths
+
+
+def q_model_inputs_tokenizer(spark, sf_dir):
+    """A tokenizer that is loaded in the task, through the whole way to model inputs."""
+    inputs = prepare(
+        prompt_response_corpus(spark, sf_dir), "prompt_response", setup=_load_word_tokenizer, max_length=128, keep=KEY
     )
-    return read_cases(spark, path).select("test_case", joined.alias("messages"))
+    return _input_digests(assert_rectangular(inputs, 128), *KEY)
 
 
 def _frame_batch(batch: dict[str, list]) -> dict[str, list]:
@@ -520,6 +571,55 @@ def q_corpus_csv(spark, sf_dir):
     return _split_digest(read_corpus(spark, path, "prompt_response", "csv"))
 
 
+def _padded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instruction rows whose inputs are empty, blank, padded or null, with a key in the output."""
+    made = instruction_input_corpus(spark, sf_dir)
+    form = F.col("turn") % 6
+    padded = F.when(form == 1, F.lit(None).cast("string")).when(form == 3, F.concat(F.lit("  "), "input", F.lit(" \n\"q\", ")))
+    return made.select(
+        "instruction",
+        F.when(form.isin(1, 3), padded).otherwise(F.col("input")).alias("input"),
+        F.concat_ws("-", *KEY).alias("output"),
+        F.when(F.col("conv_id") % 2 == 0, F.lit("train")).otherwise(F.lit("test")).alias("split"),
+    )
+
+
+def _instruction_digest(corpus: DataFrame) -> DataFrame:
+    rendered = render_instruction_input()
+    return corpus.select("split", "output", F.md5("instruction").alias("instruction"), "input", F.md5(rendered).alias("text"))
+
+
+def q_corpus_csv_instruction(spark, sf_dir):
+    """Three columns through CSV: empty, blank, padded and null inputs come back as they were."""
+    path = scratch_path(spark, "corpus-csv")
+    write_corpus(_padded_texts(spark, sf_dir), path, "csv")
+    return _instruction_digest(read_corpus(spark, path, "instruction_input", "csv"))
+
+
+def q_corpus_json_instruction(spark, sf_dir):
+    path = scratch_path(spark, "corpus-json")
+    write_corpus(_padded_texts(spark, sf_dir), path, "json")
+    return _instruction_digest(read_corpus(spark, path, "instruction_input", "json"))
+
+
+def q_corpus_system_user(spark, sf_dir):
+    """System, user and answer from Parquet files, a directory for each split."""
+    path = scratch_path(spark, "corpus-system-user")
+    split = F.when(F.col("conv_id") % 2 == 0, F.lit("train")).otherwise(F.lit("validation"))
+    corpus = system_user_corpus(spark, sf_dir).select("system_prompt", "user_prompt", "answer", split.alias("split"))
+    write_corpus(corpus, path)
+    back = read_corpus(spark, path, "system_user")
+    return back.select("split", render_system_user().alias("text"))
+
+
+def q_split_by_file_name(spark, sf_dir):
+    """Splits named by files: the Parquet files of the tables folder that start with a split name, else train."""
+    path = scratch_path(spark, "corpus-files")
+    corpus = table(spark, sf_dir, "documents").select(F.col("source").alias("prompt"), F.md5("text").alias("response"))
+    corpus.write.parquet(path)
+    return read_corpus(spark, path, "prompt_response", splits="file").select("split", "prompt", "response")
+
+
 def q_split_selection(spark, sf_dir):
     path = _document_corpus(spark, sf_dir, "parquet")
     chosen = read_corpus(spark, path, "prompt_response", split="en")

@@ -18,9 +18,6 @@ DEFAULT_MAX_LENGTH = 2048
 # <|im_end|> has an id but is not declared, so text containing it is split.
 DECLARED_SPECIALS = (END_OF_TEXT, IM_START)
 
-# Ids that the corpus vocabulary leaves to the compatibility entries.
-FIRST_CORPUS_ID = len(COMPAT_VOCAB)
-
 PROMPT_RESPONSE = T.StructType(
     [
         T.StructField("prompt", T.StringType()),
@@ -44,8 +41,6 @@ SYSTEM_USER = T.StructType(
     ]
 )
 
-RENDERED = T.StructType([T.StructField("text", T.StringType())])
-
 MODEL_INPUT = T.StructType(
     [
         T.StructField("input_ids", T.ArrayType(T.IntegerType(), False), False),
@@ -69,6 +64,15 @@ CASE = T.StructType(
     ]
 )
 
+# A case of several parts has one line for each; the number of a part may be left out for a single one.
+CASE_PART = T.StructType(
+    [
+        T.StructField("test_case", T.IntegerType()),
+        T.StructField("part", T.LongType()),
+        T.StructField("messages", MESSAGES),
+    ]
+)
+
 RESULT = T.StructType(
     [
         T.StructField("test_case", T.IntegerType()),
@@ -84,13 +88,6 @@ VOCABULARY = T.StructType(
     ]
 )
 
-METRIC_DEFINITION = T.StructType(
-    [
-        T.StructField("name", T.StringType(), False),
-        T.StructField("regex", T.StringType(), False),
-    ]
-)
-
 CORPUS_SCHEMAS = {
     "prompt_response": PROMPT_RESPONSE,
     "instruction_input": INSTRUCTION_INPUT,

@@ -6,10 +6,12 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.operators.responses import as_results
 from corpusloom.schemas import RESULT
 from corpusloom.sinks.scratch import scratch_path
+from corpusloom.sources.corpora import CSV_NULL, CSV_OPTIONS
 
 
 def write_results(responses: DataFrame, path: str) -> None:
@@ -26,24 +28,37 @@ def write_results(responses: DataFrame, path: str) -> None:
     ).json(path)
 
 
-def message_key(base: str, at: datetime | None = None, name: str = "test_messages.json") -> str:
+# The file name of a message list and the pattern of its time stamp.
+MESSAGE_FILE = "test_messages.json"
+STAMP = "%Y%m%d-%H%M%S"
+
+
+def message_key(base: str, at: datetime | None = None, name: str = MESSAGE_FILE) -> str:
     """`<base>/<yyyyMMdd-HHmmss>/<name>`."""
-    return f"{base.rstrip('/')}/{at or datetime.now():%Y%m%d-%H%M%S}/{name}"
+    return f"{base.rstrip('/')}/{(at or datetime.now()).strftime(STAMP)}/{name}"
 
 
 def write_cases(cases: DataFrame, base: str, at: datetime | None = None) -> str:
-    """Cases as JSON Lines under a time-stamped key; returns the path, which may be any Hadoop URI."""
+    """Cases as JSON Lines under a time-stamped key, a line for each part; returns the path, which may be any Hadoop URI."""
     path = message_key(base, at)
-    cases.select("test_case", "messages").write.mode("overwrite").option(
+    cases.select(*[c for c in ("test_case", "part", "messages") if c in cases.columns]).write.mode("overwrite").option(
         "ignoreNullFields", "false"
     ).json(path)
     return path
 
 
 def write_corpus(df: DataFrame, path: str, format: str = "parquet", **options: str) -> None:
-    """A corpus with its `split` column as one directory per split."""
+    """A corpus with its `split` column as one directory per split.
+
+    CSV keeps every text as it is: texts are quoted, blanks stay, and a null is a mark of its own;
+    a text that equals the mark fails the job.
+    """
     if format == "csv":
-        options = {"header": "true", "escape": '"', **options}
+        options = {**CSV_OPTIONS, "quoteAll": "true", **options}
+        marked = F.raise_error(F.lit("a text equals the mark of a null")).cast("string")
+        df = df.withColumns(
+            {c: F.when(F.col(c) == CSV_NULL, marked).otherwise(F.col(c)) for c, kind in df.dtypes if kind == "string" and c != "split"}
+        )
     df.write.mode("overwrite").format(format).options(**options).partitionBy("split").save(path)
 
 

@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusloom.schemas import CASE, MESSAGES
+from corpusloom.schemas import CASE, CASE_PART, MESSAGES
 
-# The smoke-test conversations.
-_SYSTEM = "You are a helpful assistant."
-SMOKE_PROMPTS = ("간단한 자기소개 해주세요.", "What is quantum computing?", "Write a short poem about AI.")
+SMOKE_PROMPTS = ("Say hello.", "사과는 무슨 색인가요?", "Write a poem of two lines.")
 SMOKE_CONVERSATIONS = [
-    [{"role": "system", "content": _SYSTEM}, {"role": "user", "content": prompt}]
+    [{"role": "system", "content": "Answer in one sentence."}, {"role": "user", "content": prompt}]
     for prompt in SMOKE_PROMPTS
 ]
 
@@ -30,19 +29,25 @@ def inline_cases(
 
 
 def read_cases(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
-    """(test_case, messages).
+    """(test_case, part, messages) from lines, (test_case, messages) from arrays.
 
-    'lines': JSON Lines of {"test_case": n, "messages": [...]}, split like any text file.
-    'array': one JSON array of message arrays per file, numbered from 1 in file order. Such a
-    file is one record, so it is meant for hand-written suites.
+    'lines': JSON Lines of {"test_case": n, "part": k, "messages": [...]}, split like any text
+    file; a line without a part is a whole case.
+    'array': one JSON array of message arrays per file, numbered from 1 over the files in the
+    order of their names. Such a file is one record, so it is meant for hand-written suites.
     """
     if layout == "lines":
-        return spark.read.schema(CASE).json(path, mode="FAILFAST")
+        lines = spark.read.schema(CASE_PART).json(path, mode="FAILFAST")
+        return lines.withColumn("part", F.coalesce("part", F.lit(0).cast("bigint")))
     if layout != "array":
         raise ValueError(f"layout must be 'lines' or 'array', not {layout!r}")
-    suite = spark.read.text(path, wholetext=True).select(
-        F.from_json("value", f"array<{MESSAGES.simpleString()}>", {"mode": "FAILFAST"}).alias("suite")
-    )
-    return suite.select(F.posexplode("suite").alias("_pos", "messages")).select(
-        (F.col("_pos") + 1).alias("test_case"), "messages"
+    files = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.from_json("value", f"array<{MESSAGES.simpleString()}>", {"mode": "FAILFAST"}).alias("_suite"),
     )
+    # One row per file: the sizes of the files before give the first number of each.
+    before = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
+    sizes = files.select("_file", F.size("_suite").alias("_size"))
+    firsts = sizes.select("_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_first"))
+    cases = files.select("_file", F.posexplode("_suite").alias("_pos", "messages")).join(firsts, "_file")
+    return cases.select((F.col("_first") + F.col("_pos") + 1).cast("int").alias("test_case"), "messages")

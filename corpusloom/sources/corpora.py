@@ -9,6 +9,15 @@ from pyspark.sql.types import StringType, StructType
 from corpusloom.schemas import CORPUS_SCHEMAS
 
 FORMATS = ("parquet", "json", "csv", "orc")
+# How CSV files are written and read: quotes are doubled, blanks stay, and a null is a mark of private characters.
+CSV_NULL = "\ue000null\ue000"
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": CSV_NULL,
+}
 SPLIT_NAMES = ("train", "validation", "test")
 
 
@@ -27,20 +36,25 @@ def read_corpus(
 
     Splits are partition directories (`split=train/`) or, with splits="file", file names that
     start with a split name (`test-00000-of-00002.parquet`). Everything else counts as
-    `default_split`. Files of other splits are not read. Broken JSON fails. CSV texts may hold
-    line breaks, so a CSV file is one task; pass multiLine="false" where they do not.
+    `default_split`. Files of other splits are not read. Broken JSON and CSV rows with too few or
+    too many fields fail. CSV texts may hold line breaks, so a CSV file is one task: JSON and
+    Parquet split, and multiLine="false" does where texts hold none.
     """
     if format not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {format!r}")
     schema = CORPUS_SCHEMAS[layout] if isinstance(layout, str) else layout
     if format == "csv":
-        options = {"header": "true", "multiLine": "true", "escape": '"', **options}
+        options = {**CSV_OPTIONS, "multiLine": "true", "mode": "FAILFAST", **options}
     elif format == "json":
         options = {"mode": "FAILFAST", **options}
     reader = spark.read.format(format).options(**options)
     if splits == "directory":
-        df = reader.schema(StructType([*schema.fields]).add("split", StringType())).load(path)
-        found = F.col("split")
+        # Only a partitioned folder has the column: a CSV row of a flat one must not miss a field.
+        df = reader.schema(schema).load(path)
+        found = F.lit(None).cast("string")
+        if "split" in df.columns:
+            df = reader.schema(StructType([*schema.fields]).add("split", StringType())).load(path)
+            found = F.col("split")
     elif splits == "file":
         df = reader.schema(schema).load(path)
         names = "|".join(SPLIT_NAMES)

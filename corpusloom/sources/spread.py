@@ -2,33 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 
-# A source above this is left as it is: it has splits enough, and moving it would cost.
-SMALL_SOURCE_BYTES = 256 << 20
-BYTES_PER_TASK = 1 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, None where the session does not offer it."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Rows over `partitions` tasks; by default only a small source is spread, over all cores.
+    """Rows over `partitions` tasks, or as the source is split.
 
     A small Parquet file is often one row group, hence one task, however many cores wait.
     """
-    if partitions is not None:
-        return df.repartition(partitions)
-    size = estimated_bytes(df)
-    if size is None or size > SMALL_SOURCE_BYTES:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = min(cores, math.ceil(size / BYTES_PER_TASK))
-    return df.repartition(tasks) if tasks > 1 else df
+    return df if partitions is None else df.repartition(partitions)

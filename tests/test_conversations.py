@@ -5,9 +5,17 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from corpusloom.functions.text import render_prompt_response, render_system_user
-from corpusloom.operators.conversations import assemble_messages, pair_turns, staged_corpus
+from corpusloom.operators.conversations import (
+    assemble_messages,
+    count_conversations,
+    last_messages,
+    pair_turns,
+    staged_corpus,
+)
+from corpusloom.operators.responses import batch_responses, case_inputs, count_cases
 
 SLOW = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -63,14 +71,27 @@ def test_one_conversation_holding_most_turns_is_spread_over_blocks(spark):
     assert sum(sizes.values()) == len(rows)
 
 
-def test_ordinary_tables_are_shuffled_once(spark, plan_text, tmp_path):
+def test_a_long_conversation_is_one_case(spark):
+    rows = [(7, t, "user", f"t{t}") for t in range(40_000)] + [(8, 0, "user", "short")]
+    turns = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert {r["conv_id"]: r["content"] for r in last_messages(turns).collect()} == {7: "t39999", 8: "short"}
+    assert count_conversations(turns).first()["cases"] == 2
+    parts = assemble_messages(turns).withColumn("test_case", F.col("conv_id").cast("int"))
+    assert parts.count() == 4 and count_cases(parts).first()["cases"] == 2
+    assert {r["test_case"]: r["input"] for r in case_inputs(parts).collect()} == {7: "t39999", 8: "short"}
+    answers = batch_responses(parts, lambda m: f"{len(m)} {m[0]['content']} {m[-1]['content']}").collect()
+    assert {r["test_case"]: (r["input"], r["response"]) for r in answers} == {
+        7: ("t39999", "40000 t0 t39999"),
+        8: ("short", "1 short short"),
+    }
+
+
+def test_ordinary_tables_skip_the_helper_scan(spark, plan_text, tmp_path):
     rows = [(c, t, ["user", "assistant"][t % 2], "x") for c in range(5) for t in range(4)]
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "turns"))
     turns = spark.read.parquet(str(tmp_path / "turns"))
-    assert plan_text(pair_turns(turns)).count("hashpartitioning") == 1
-    checked = plan_text(pair_turns(turns, long_conversations=True))
-    assert "GreaterThanOrEqual(turn,16384)" in checked
-    assert collected(pair_turns(turns)) == collected(pair_turns(turns, long_conversations=True))
+    assert "GreaterThanOrEqual(turn,16384)" in plan_text(pair_turns(turns))
+    assert collected(pair_turns(turns)) == pairs_of(rows)
 
 
 def test_messages_are_in_turn_order(spark):

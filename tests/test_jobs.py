@@ -23,7 +23,7 @@ from corpusloom.sinks.writers import (
     write_summary,
 )
 from corpusloom.sources.cases import SMOKE_CONVERSATIONS, inline_cases, read_cases
-from corpusloom.sources.corpora import corpus_columns, read_corpus, select_split
+from corpusloom.sources.corpora import CSV_NULL, corpus_columns, read_corpus, select_split
 from corpusloom.sources.logs import read_logs
 from corpusloom.streaming.loss_metrics import extract_metrics, start_metric_stream
 
@@ -46,6 +46,32 @@ def test_corpus_splits(spark, tmp_path, format, plan_text):
     assert partition_filter and "train" in partition_filter[0]
 
 
+TEXTS = ["  lead", "trail  ", "   ", "", None, 'say "hi"', '"', "a\nb\r\nc", ",", "\\N", "\\", "null", "\u3000", "# x", " \t", "한글"]
+
+
+@pytest.mark.parametrize("format", ["parquet", "json", "csv"])
+def test_texts_come_back_as_they_were(spark, tmp_path, format):
+    path = str(tmp_path / "corpus")
+    rows = [(f"{i}", t, t, "train") for i, t in enumerate(TEXTS)]
+    schema = "instruction string, input string, output string, split string"
+    write_corpus(spark.createDataFrame(rows, schema), path, format)
+    back = read_corpus(spark, path, "instruction_input", format)
+    assert sorted((tuple(r) for r in back.collect()), key=str) == sorted(rows, key=str)
+
+
+@pytest.mark.parametrize("line", ['"a"', '"a","b","c"'])
+def test_broken_csv_rows_fail(spark, tmp_path, line):
+    (tmp_path / "corpus.csv").write_text(f'"prompt","response"\n"x","y"\n{line}\n')
+    with pytest.raises(Exception):
+        read_corpus(spark, str(tmp_path), "prompt_response", "csv").collect()
+
+
+def test_a_text_like_the_csv_null_fails(spark, tmp_path):
+    df = spark.createDataFrame([(CSV_NULL, "x", "train")], "prompt string, response string, split string")
+    with pytest.raises(Exception, match="mark of a null"):
+        write_corpus(df, str(tmp_path / "corpus"), "csv")
+
+
 @pytest.mark.parametrize("format", ["parquet", "json", "csv"])
 def test_corpus_without_split_directories(spark, tmp_path, format):
     path = str(tmp_path / "flat")
@@ -94,6 +120,14 @@ def test_json_array_cases(spark, tmp_path):
         read_cases(spark, str(file), "xml")
 
 
+def test_array_files_are_numbered_together(spark, tmp_path):
+    talks = [[{"role": "user", "content": c}] for c in "abcd"]
+    (tmp_path / "2.json").write_text(json.dumps(talks[2:]))
+    (tmp_path / "1.json").write_text(json.dumps(talks[:2]))
+    got = {r["test_case"]: r["messages"][0]["content"] for r in read_cases(spark, str(tmp_path), "array").collect()}
+    assert got == {1: "a", 2: "b", 3: "c", 4: "d"}
+
+
 def test_broken_json_array_fails(spark, tmp_path):
     file = tmp_path / "cases.json"
     file.write_text('[[{"role": ', "utf-8")
@@ -106,7 +140,9 @@ def test_cases_written_under_a_time_stamp(spark, tmp_path):
     cases = inline_cases(spark)
     path = write_cases(cases, str(tmp_path), at)
     assert path == message_key(str(tmp_path) + "/", at) == f"{tmp_path}/20240305-070809/test_messages.json"
-    assert sorted(map(str, read_cases(spark, path).collect())) == sorted(map(str, cases.collect()))
+    back = read_cases(spark, path)
+    assert {r["part"] for r in back.collect()} == {0}
+    assert sorted(map(str, back.drop("part").collect())) == sorted(map(str, cases.collect()))
     assert SMOKE_CONVERSATIONS[0][1]["content"] in "".join(lines_of(path))
 
 
@@ -118,7 +154,7 @@ def test_responses_survive_failures(spark, tmp_path):
 
     responses = batch_responses(inline_cases(spark), respond, partitions=2)
     got = {r["test_case"]: r for r in responses.collect()}
-    assert got[2]["response"] == "system: What is quantum computing?"
+    assert got[2]["response"] == "system: 사과는 무슨 색인가요?"
     assert (got[3]["response"], got[3]["error"]) == (None, "RuntimeError: no poems")
     assert got[1]["error"] is None
 
@@ -164,6 +200,27 @@ def test_responder_is_set_up_in_the_task(spark):
         batch_responses(cases)
 
 
+def test_batches_of_cases_keep_errors_apart(spark):
+    sizes = []
+
+    def respond(talks):
+        sizes.append(len(talks))
+        if any(m and m[-1]["content"] == "crash" for m in talks):
+            raise RuntimeError("whole batch")
+        return [ValueError("empty") if not m else m[-1]["content"].upper() for m in talks]
+
+    rows = [(1, [("user", "a")]), (2, []), (3, [("user", "b")]), (4, [("user", "crash")]), (5, None)]
+    cases = spark.createDataFrame(rows, CASE).coalesce(1)
+    got = {r["test_case"]: (r["response"], r["error"]) for r in batch_responses(cases, respond, batch_size=2).collect()}
+    assert got == {
+        1: ("A", None),
+        2: (None, "ValueError: empty"),
+        3: ("B", None),
+        4: (None, "RuntimeError: whole batch"),
+        5: (None, "ValueError: empty"),
+    }
+
+
 def test_failing_setup_fails_the_job(spark):
     def load():
         raise RuntimeError("no model")

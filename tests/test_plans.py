@@ -171,10 +171,10 @@ def test_shards_read_in_name_order_follow_the_plan(spark, tmp_path):
 
 
 @SLOW
-@given(st.sets(st.integers(-1000, 1000), max_size=60), st.sampled_from([1, 4, 256]))
-def test_numbers_follow_the_key(spark, keys, buckets):
+@given(st.sets(st.integers(-1000, 1000), max_size=60), st.sampled_from([None, 1, 4, 32]))
+def test_numbers_follow_the_key(spark, keys, ranges):
     df = spark.createDataFrame([(k, str(k)) for k in keys], "k long, v string").repartition(3)
-    got = number_rows(df, "k", "n", buckets=buckets, start=1)
+    got = number_rows(df, "k", "n", ranges=ranges, start=1)
     assert sorted((r["k"], r["n"]) for r in got.collect()) == [(k, i) for i, k in enumerate(sorted(keys), 1)]
 
 
@@ -184,3 +184,20 @@ def test_numbers_with_two_keys_and_repeats(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(0, 0, 5), (1, 1, 0), (2, 1, 1), (3, 1, 2)]
     with pytest.raises(Exception, match="k not unique: 1"):
         number_rows(df, "k", "n").collect()
+
+
+def test_numbers_of_equal_first_keys_are_spread(spark):
+    df = spark.range(2000).selectExpr("1 AS k", "id AS part", "concat('payload ', id) AS v").repartition(4)
+    got = number_rows(df, ["k", "part"], "n", ranges=8)
+    assert sorted((r["n"], r["part"], r["v"]) for r in got.collect()) == [(i + 1, i, f"payload {i}") for i in range(2000)]
+
+
+def test_numbers_with_null_keys_and_no_rows(spark):
+    df = spark.createDataFrame([(None, "a"), (2, "b"), (1, "c")], "k long, v string")
+    assert sorted((r["n"], r["v"]) for r in number_rows(df, "k", "n").collect()) == [(1, "a"), (2, "c"), (3, "b")]
+    assert number_rows(df.limit(0), "k", "n").collect() == []
+
+
+def test_payload_stays_out_of_the_numbering_window(spark, plan_text):
+    df = spark.createDataFrame([(1, "a")], "k long, v string")
+    assert "Window" not in plan_text(number_rows(df, "k", "n").select("v"))
