@@ -199,10 +199,9 @@ def decode(
     *,
     unk_token: str = END_OF_TEXT,
     skip_ids: Iterable[int] = (),
-    row_key: str | None = None,
 ) -> DataFrame:
     """Add the text of an id column; ids in `skip_ids` are left out before the lookup."""
     skip = sorted(set(skip_ids))
     kept = F.filter(F.col(ids_col), lambda i: ~i.isin(*skip)) if skip else F.col(ids_col)
-    tokens = ids_to_tokens(df.withColumn("_kept_ids", kept), vocab, "_kept_ids", "_tokens", unk_token=unk_token, row_key=row_key)
+    tokens = ids_to_tokens(df.withColumn("_kept_ids", kept), vocab, "_kept_ids", "_tokens", unk_token=unk_token)
     return tokens.withColumn(text_col, F.array_join("_tokens", "")).drop("_kept_ids", "_tokens")

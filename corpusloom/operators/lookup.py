@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from corpusloom.operators.vocab import MAX_LOCAL_ENTRIES
 from corpusloom.schemas import END_OF_TEXT
+from corpusloom.sinks.scratch import scratch_path
 
 MAX_LOCAL_BYTES = 64 << 20
-MIN_SALTS = 16
+_PLACE_BITS = 33  # of monotonically_increasing_id: the place in the partition
 
 
 def _entries(vocab: DataFrame | Mapping[str, int], max_local: int) -> dict[str, int] | None:
@@ -47,16 +49,15 @@ def tokens_to_ids(
     ids_col: str = "ids",
     *,
     unk_id: int = 0,
-    row_key: str | None = None,
     max_local: int = MAX_LOCAL_ENTRIES,
 ) -> DataFrame:
     """Replace each token by its id.
 
-    A vocabulary of more than `max_local` rows or MAX_LOCAL_BYTES is joined, which needs `row_key`.
+    A vocabulary of more than `max_local` rows or MAX_LOCAL_BYTES is joined; the ids are the same.
     """
     entries = _entries(vocab, max_local)
     if entries is None:
-        return joined_lookup(df, vocab, tokens_col, ids_col, "token", "id", unk_id, row_key)
+        return joined_lookup(df, vocab, tokens_col, ids_col, "token", "id", unk_id)
 
     keys, values = pa.array(list(entries), pa.string()), pa.array(list(entries.values()), pa.int32())
 
@@ -74,7 +75,6 @@ def ids_to_tokens(
     tokens_col: str = "tokens",
     *,
     unk_token: str = END_OF_TEXT,
-    row_key: str | None = None,
     max_local: int = MAX_LOCAL_ENTRIES,
 ) -> DataFrame:
     """Replace each id by its token, all in the JVM: tokens sit in a constant array indexed by id.
@@ -88,7 +88,7 @@ def ids_to_tokens(
         table = vocab if isinstance(vocab, DataFrame) else df.sparkSession.createDataFrame(
             list(vocab.items()), "token string, id int"
         )
-        return joined_lookup(df, table, ids_col, tokens_col, "id", "token", unk_token, row_key)
+        return joined_lookup(df, table, ids_col, tokens_col, "id", "token", unk_token)
     size = max(entries.values(), default=-1) + 1
     by_id = [unk_token] * size
     for token, token_id in entries.items():
@@ -110,45 +110,49 @@ def joined_lookup(
     key_col: str,
     value_col: str,
     default: int | str,
-    row_key: str | None,
-    salts: int | None = None,
 ) -> DataFrame:
-    """Lookup as a join, for tables of any size. Needs a unique `row_key`.
+    """Lookup as a join, for tables of any size.
 
-    Only the distinct items of each row are shuffled. A token that occurs in every row is
-    spread over `salts` copies of its table row, by default one for eight shuffle partitions.
-    The entries a row needs come back to it and are applied there; no group is larger than one
-    row's own items.
+    The rows are written once to the scratch folder, so that their partitions stay what they are
+    and nothing before is computed twice. A partition sends each of its distinct items once: an
+    item that all rows hold meets the table as many times as there are partitions. The values go
+    back to the partition, in front of its rows, and are applied as the rows stream by.
     """
-    if row_key is None:
-        raise ValueError("the join form needs row_key, a unique column of df")
-    if salts is None:
-        salts = max(MIN_SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
-    items = df.select(row_key, F.explode(F.array_distinct(items_col)).alias("_item")).withColumn(
-        "_salt", F.pmod(F.xxhash64(row_key), F.lit(salts)).cast("int")
-    )
-    copies = table.select(
-        F.col(key_col).alias("_item"),
-        F.col(value_col).alias("_value"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-    )
-    entries = (
-        items.join(copies, ["_item", "_salt"])
-        .groupBy(row_key)
-        .agg(F.collect_list(F.struct("_item", "_value")).alias("_entries"))
-    )
-    out_type = table.schema[value_col].dataType
-
-    @F.arrow_udf(ArrayType(out_type))
-    def apply_entries(all_items: pa.Array, all_entries: pa.Array) -> pa.Array:
-        # Rows agree on the value of an item, so one table serves the whole batch.
-        found = all_entries.flatten()
-        keys, values = found.field("_item"), found.field("_value")
-        _, first = np.unique(keys.dictionary_encode().indices.to_numpy(), return_index=True)
-        return _replaced(all_items, keys.take(first), values.take(first), default)
-
-    return (
-        df.join(entries, row_key, "left")
-        .withColumn(out_col, apply_entries(F.col(items_col), F.col("_entries")))
-        .drop("_entries")
+    spark = df.sparkSession
+    path = scratch_path(spark, "lookup")
+    columns = [c for c in df.columns if c != out_col]
+    df.select(*columns).write.parquet(path)
+    rows = spark.read.schema(df.select(*columns).schema).parquet(path)
+    rows = rows.withColumn("_part", F.shiftright(F.monotonically_increasing_id(), _PLACE_BITS))
+    item_type, value_type = table.schema[key_col].dataType, table.schema[value_col].dataType
+    items = rows.select("_part", F.explode(items_col).alias("_item")).distinct()
+    values = table.select(F.col(key_col).alias("_item"), F.col(value_col).alias("_value"))
+    found = items.join(values, "_item").select("_part", F.lit(0).alias("_kind"), "_item", "_value")
+    rows = rows.withColumns(
+        {"_kind": F.lit(1), "_item": F.lit(None).cast(item_type), "_value": F.lit(None).cast(value_type)}
     )
+    dealt = rows.unionByName(found, allowMissingColumns=True).repartition("_part").sortWithinPartitions("_part", "_kind")
+    fields = [df.schema[c] for c in columns]
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, kept = None, []
+        for batch in batches:
+            place = np.stack([batch.column("_part").to_numpy(), batch.column("_kind").to_numpy()], axis=1)
+            cuts = [0, *(np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1).tolist(), len(place)]
+            for start, end in zip(cuts, cuts[1:]):
+                if end == start:
+                    continue
+                run = batch.slice(start, end - start)
+                if place[start, 0] != part:
+                    part, kept = place[start, 0], []
+                if place[start, 1] == 0:
+                    kept.append((run.column("_item"), run.column("_value")))
+                    continue
+                keys, looked_up = (
+                    (pa.concat_arrays(x) for x in zip(*kept)) if kept else (pa.array([], to_arrow_type(t)) for t in (item_type, value_type))
+                )
+                out = {c: run.column(c) for c in columns}
+                out[out_col] = _replaced(run.column(items_col), keys, looked_up, default)
+                yield pa.RecordBatch.from_pydict(out)
+
+    return dealt.mapInArrow(apply, StructType([*fields, StructField(out_col, ArrayType(value_type))]))

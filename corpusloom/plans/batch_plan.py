@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.plans.numbering import strict_row_number
+from corpusloom.sinks.scratch import scratch_path
 
 PLAN_COLUMNS = ("epoch", "step", "accum", "rank", "slot")
 
@@ -71,9 +72,11 @@ STAGE_SHAPES = {
 
 
 def bucket_count(examples: int, epochs: int, rows_per_bucket: int) -> int:
-    """Buckets per epoch, such that all epochs together stay within MAX_BUCKETS."""
-    wanted = math.ceil(examples / rows_per_bucket)
-    return max(1, min(wanted, MAX_BUCKETS // max(epochs, 1)))
+    """Buckets per epoch; more than MAX_BUCKETS of all epochs together fail, as larger ones are asked for."""
+    wanted = max(1, math.ceil(examples / rows_per_bucket))
+    if wanted > 1 and wanted * epochs > MAX_BUCKETS:
+        raise ValueError(f"{wanted * epochs} buckets, more than {MAX_BUCKETS}: use a larger rows_per_bucket")
+    return wanted
 
 
 def _shuffled_keys(
@@ -136,6 +139,10 @@ def epoch_positions(
         firsts = counts.select(
             "epoch", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")
         )
+        # Written once: looked at here, and sent to all tasks below.
+        path = scratch_path(df.sparkSession, "first-positions")
+        firsts.write.parquet(path)
+        firsts = df.sparkSession.read.schema(firsts.schema).parquet(path)
         if last_examples < n:
             # Highest bucket of the last epoch that still has examples before max_steps.
             needed = firsts.where((F.col("epoch") == last) & (F.col("_first") < last_examples))

@@ -8,34 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.model_inputs import pad_and_label
-from corpusloom.plans.batch_plan import PLAN_COLUMNS, BatchShape, epoch_positions, plan_columns
+from corpusloom.plans.batch_plan import PLAN_COLUMNS, BatchShape, batch_plan
 from corpusloom.schemas import DEFAULT_MAX_LENGTH
+from corpusloom.sinks.scratch import scratch_path
 
-MIN_ROWS_PER_PARTITION = 512
+ROWS_PER_FILE = 4096
 
 
 def planned_sequences(
-    sequences: DataFrame,
-    id_col: str,
-    shape: BatchShape,
-    *,
-    seed: int = 0,
-    examples: int | None = None,
-    rows_per_partition: int = 32_768,
+    sequences: DataFrame, id_col: str, shape: BatchShape, *, seed: int = 0, rows_per_bucket: int = 500_000
 ) -> DataFrame:
     """Closed, unpadded sequences with their place in the training run.
 
-    The sequences travel once, in the shuffle that also sorts them; the plan is not joined.
+    The plan is made of the ids alone. The sequences travel once to meet it, however many epochs
+    there are, and are repeated by epoch behind that.
     """
-    n = sequences.select(id_col).count() if examples is None else examples
-    # A small export still uses all cores.
-    cores = sequences.sparkSession.sparkContext.defaultParallelism
-    per_core = math.ceil(n * shape.epochs_needed(n) / cores)
-    rows_per_partition = min(rows_per_partition, max(per_core, MIN_ROWS_PER_PARTITION))
-    placed = epoch_positions(
-        sequences, id_col, shape, seed=seed, examples=n, rows_per_bucket=rows_per_partition
-    )
-    return placed.withColumns(plan_columns(shape, max(n, 1))).drop("position")
+    plan = batch_plan(sequences, id_col, shape, seed=seed, rows_per_bucket=rows_per_bucket)
+    return sequences.join(plan, id_col)
 
 
 def export_shards(
@@ -49,34 +38,36 @@ def export_shards(
     max_length: int = DEFAULT_MAX_LENGTH,
     eos_id: int = 0,
     pad_id: int | None = None,
-    examples: int | None = None,
-    rows_per_partition: int = 32_768,
+    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_bucket: int = 500_000,
 ) -> None:
-    """Write model inputs under rank=<r>/, padded on the way out.
+    """Write model inputs under rank=<r>/block=<steps>/, padded on the way out.
 
-    Each task writes one file per rank and holds a run of consecutive positions, so the files
-    of a rank read in name order give its examples by step, accumulation round and slot.
-    `examples` saves counting the sequences when their number is known.
+    A block is a run of steps of which a rank has about `rows_per_file` examples, and one file. Its
+    number has ten digits, so the blocks of a rank in name order give its examples by step,
+    accumulation round and slot, and their number depends on the steps alone. The sequences are
+    written to the scratch folder first and computed once.
     """
-    planned = planned_sequences(
-        sequences.select(id_col, ids_col),
-        id_col,
-        shape,
-        seed=seed,
-        examples=examples,
-        rows_per_partition=rows_per_partition,
-    ).sortWithinPartitions("rank", "step", "accum", "slot")
+    spark = sequences.sparkSession
+    staged = scratch_path(spark, "sequences")
+    sequences = sequences.select(id_col, ids_col)
+    sequences.write.parquet(staged)
+    fixed = spark.read.schema(sequences.schema).parquet(staged)
+    steps = max(1, math.ceil(rows_per_file / (shape.micro_batch * shape.accumulation)))
+    planned = planned_sequences(fixed, id_col, shape, seed=seed, rows_per_bucket=rows_per_bucket)
+    block = F.lpad(F.floor(F.col("step") / steps).cast("string"), 10, "0")
+    dealt = planned.withColumn("block", block).repartition("rank", "block")
     pad_and_label(
-        planned,
+        dealt.sortWithinPartitions("rank", "block", "step", "accum", "slot"),
         ids_col,
         max_length=max_length,
         eos_id=eos_id,
         pad_id=pad_id,
-        keep=[id_col, *PLAN_COLUMNS],
-    ).write.mode("overwrite").partitionBy("rank").parquet(path)
+        keep=[id_col, *PLAN_COLUMNS, "block"],
+    ).write.mode("overwrite").partitionBy("rank", "block").parquet(path)
 
 
 def read_shard(spark: SparkSession, path: str, rank: int | None = None) -> DataFrame:
     """An export read back; with a rank, only that directory is read."""
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(path).drop("block")
     return df if rank is None else df.where(F.col("rank") == rank)

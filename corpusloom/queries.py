@@ -283,7 +283,7 @@ def q_token_id_join(spark, sf_dir):
     """Token lookup in its join form, for vocabularies of any size."""
     turns = table(spark, sf_dir, "conversations")
     tokens = turns.select(F.concat_ws("-", *KEY).alias("key"), vocab.char_tokens("text").alias("tokens"))
-    ids = tokens_to_ids(tokens, vocab.corpus_vocab(turns), row_key="key", max_local=0)
+    ids = tokens_to_ids(tokens, vocab.corpus_vocab(turns), max_local=0)
     return _encoded_digest(ids, "key")
 
 
@@ -292,7 +292,7 @@ def q_id_token_join(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     encoded = encode(turns.select(F.concat_ws("-", *KEY).alias("key"), "text"), vocab.corpus_vocab(turns))
     bounded = vocab.corpus_vocab(turns, max_size=40)
-    tokens = ids_to_tokens(encoded, bounded, row_key="key", max_local=0)
+    tokens = ids_to_tokens(encoded, bounded, max_local=0)
     return tokens.select("key", F.md5(F.array_join("tokens", "")).alias("digest"))
 
 

@@ -169,18 +169,27 @@ def test_join_form_equals_local_form(spark):
     df = spark.createDataFrame(rows, "id int, tokens array<string>")
     table = spark.createDataFrame(list(VOCAB.items()), "token string, id int")
     local = tokens_to_ids(df, table)
-    joined = tokens_to_ids(df, table, row_key="id", max_local=0)
+    joined = tokens_to_ids(df, table, max_local=0)
     assert by_id(local, "ids") == by_id(joined, "ids") == [[5] * 50 + [0, 6], [], None, [1, 0]]
     back_local = ids_to_tokens(joined.drop("tokens"), table)
-    back_joined = ids_to_tokens(joined.drop("tokens"), table, row_key="id", max_local=0)
+    back_joined = ids_to_tokens(joined.drop("tokens"), table, max_local=0)
     assert by_id(back_local, "tokens") == by_id(back_joined, "tokens")
-    with pytest.raises(ValueError, match="row_key"):
-        joined_lookup(df, table, "tokens", "ids", "token", "id", 0, None)
+
+
+def test_join_form_with_hot_and_unknown_items(spark, plan_text):
+    rows = [(i, ["hot"] * 20 + [f"t{i % 50}", f"unknown{i}"], "x") for i in range(400)] + [(400, [], "y"), (401, None, "z"), (402, [None], "w")]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>, ids string").repartition(7)
+    table = spark.createDataFrame([("hot", 7)] + [(f"t{i}", 100 + i) for i in range(50)], "token string, id int")
+    out = joined_lookup(df, table, "tokens", "ids", "token", "id", 0)
+    got = {r["id"]: r["ids"] for r in out.collect()}
+    assert got == {i: [7] * 20 + [100 + i % 50, 0] for i in range(400)} | {400: [], 401: None, 402: [0]}
+    assert joined_lookup(df.limit(0), table, "tokens", "ids", "token", "id", 0).collect() == []
+    assert joined_lookup(df, table.limit(0), "tokens", "ids", "token", "id", 0).count() == 403
 
 
 def test_sparse_ids_take_the_join_form(spark):
     df = spark.createDataFrame([(0, [5, 2_000_000_000])], "id int, ids array<int>")
-    got = ids_to_tokens(df, {"a": 5, "far": 2_000_000_000}, row_key="id")
+    got = ids_to_tokens(df, {"a": 5, "far": 2_000_000_000})
     assert by_id(got, "tokens") == [["a", "far"]]
 
 

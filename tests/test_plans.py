@@ -124,7 +124,9 @@ def test_stage_shapes_draw_the_configured_volume(spark):
 
 
 def test_first_positions_stay_within_the_broadcast_bound():
-    assert bucket_count(10**12, 3, 500_000) * 3 <= MAX_BUCKETS
+    with pytest.raises(ValueError, match="rows_per_bucket"):
+        bucket_count(10**12, 3, 500_000)
+    assert bucket_count(10**12, 3, 5_000_000) * 3 <= MAX_BUCKETS
     assert bucket_count(10, 10**9, 500_000) == 1
     assert bucket_count(1_000_000, 3, 500_000) == 2
 
@@ -138,31 +140,30 @@ def test_max_steps_leaves_rows_out_before_the_shuffle(spark, plan_text):
     assert int(partitions.group(1)) < 12
 
 
-def test_sequences_are_shuffled_once(spark, plan_text):
+def test_sequences_travel_before_they_are_repeated(spark, plan_text):
     df = spark.createDataFrame([(i, [i]) for i in range(100)], "id long, ids array<int>")
-    plan = plan_text(planned_sequences(df, "id", BatchShape(epochs=2), rows_per_partition=10))
-    carrying = [
-        block
-        for block in plan.split("\n\n")
-        if "Exchange" in block.split("\n")[0] and "ids#" in block and "Broadcast" not in block.split("\n")[0]
-    ]
-    assert len(carrying) == 1
+    plan = plan_text(planned_sequences(df, "id", BatchShape(epochs=3)))
+    generates = [b for b in plan.split("\n\n") if "Generate" in b.split("\n")[0]]
+    assert generates and all("ids#" not in b for b in generates)
 
 
-def test_shards_read_in_name_order_follow_the_plan(spark, tmp_path):
+@pytest.mark.parametrize("rows_per_file", [8, 50])
+def test_shards_read_in_name_order_follow_the_plan(spark, tmp_path, rows_per_file):
     path = str(tmp_path / "shards")
     n, shape = 600, BatchShape(micro_batch=2, accumulation=2, world_size=3, epochs=2, max_steps=80)
     df = spark.createDataFrame([(i, [5 + i % 3] * (1 + i % 4) + [0]) for i in range(n)], "id long, ids array<int>")
-    export_shards(df, path, "id", shape, max_length=8, rows_per_partition=50, seed=3)
+    export_shards(df, path, "id", shape, max_length=8, rows_per_file=rows_per_file, rows_per_bucket=100, seed=3)
 
     back = read_shard(spark, path).select("id", "epoch", "step", "accum", "rank", "slot")
     assert rows_of(back) == planned(range(n), shape, 3)
     assert read_shard(spark, path, rank=1).where("rank <> 1").count() == 0
+    steps = math.ceil(rows_per_file / 4)
     for rank in range(3):
-        files = sorted(Path(path, f"rank={rank}").glob("*.parquet"))
-        assert len(files) > 3
+        blocks = sorted(Path(path, f"rank={rank}").glob("block=*"))
+        assert len(blocks) == math.ceil(80 / steps) and {len(b.name) for b in blocks} == {16}
         order = []
-        for f in files:
+        for block in blocks:
+            (f,) = block.glob("*.parquet")  # one file, whatever the number of the task that wrote it
             t = pq.ParquetFile(f).read().to_pydict()
             order += list(zip(t["step"], t["accum"], t["slot"]))
             assert {len(x) for c in ("input_ids", "attention_mask", "labels") for x in t[c]} == {8}
