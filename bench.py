@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from collections.abc import Callable
 from pathlib import Path
@@ -91,6 +92,7 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="corpusloom-"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -107,9 +107,9 @@ def test_rendering_matches_plain_python(spark, rows):
     assert column(system, tx.render_system_user()) == want
 
     filled = [tuple(v or "" for v in r) for r in rows]
-    alpaca = spark.createDataFrame(filled, INSTRUCTION_INPUT)
+    instructions = spark.createDataFrame(filled, INSTRUCTION_INPUT)
     want = [framed(f"{i}\n{x}" if x.strip() else i, o) for i, x, o in filled]
-    assert column(alpaca, tx.render_instruction_input()) == want
+    assert column(instructions, tx.render_instruction_input()) == want
 
 
 def test_uri_parts(spark):
