@@ -37,9 +37,15 @@ CACHE_WORD = 64  # longer words are encoded anew each time
 
 
 def worker_cache(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, which Spark reuses for many tasks."""
+    """A dictionary that outlives a task in its Python worker, until a step asks for one of another name.
+
+    Spark reuses workers for many tasks and steps; only one step's dictionary is held at a time.
+    """
     holder = sys.modules.setdefault("_corpusloom_worker_cache", types.ModuleType("_corpusloom_worker_cache"))
-    return holder.__dict__.setdefault(name, {})
+    kept = holder.__dict__.setdefault("kept", {})
+    for other in [k for k in kept if k != name]:
+        del kept[other]
+    return kept.setdefault(name, {})
 
 
 class Recent:

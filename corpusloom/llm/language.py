@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm.bpe import worker_cache
 from corpusloom.llm.common import in_pieces, staged, table
 from corpusloom.llm.words import mix
 
@@ -161,6 +162,7 @@ def identify(df: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
     fields = [f for f in df.schema if f.name not in ("lang_pred", "score")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("language")  # lets those of earlier steps go
         letters, own = _letter_table(), Filters(*sent.value)
         for batch in in_pieces(batches):
             found = [own.predict(x.as_py(), letters) for x in batch.column(text)]

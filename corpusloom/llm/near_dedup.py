@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.bpe import worker_cache
 from corpusloom.llm.common import in_pieces, runs, staged, table, texts
 from corpusloom.llm.components import components
 from corpusloom.llm.words import mix, shingle_set, word_hashes
@@ -63,6 +64,7 @@ def band_rows(percent: int) -> int:
 
 
 def _sign(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    worker_cache("near_dedup")  # lets those of earlier steps go
     bands = HASHES // rows
     for batch in in_pieces(batches, 1024):
         keys, sizes, signatures, band_keys = [], [], [], []

@@ -27,7 +27,8 @@ from corpusloom.llm.common import in_pieces, staged, table
 SIZE = 2048
 END_ID = 0
 PARTITION_PIECES = 16_384
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 350_000
+GROUP_CHARS = 1_000_000
 CACHE_WORD = 48
 WORD_END = "</w>"  # how the vocabulary marks the last token of a word
 
@@ -98,7 +99,7 @@ def piece_batches(batches: Iterable[pa.RecordBatch], path: str, size: int) -> It
     words = WordIds(path)
     end = np.uint32(END_ID).tobytes()
     for batch in in_pieces(batches, 2048):
-        for part, texts in text_groups(batch, "text"):
+        for part, texts in text_groups(batch, "text", GROUP_CHARS):
             row, piece, start, length, crc = [], [], [], [], []
             for at, ids in enumerate(words.encode_batch(texts)):
                 ids += end

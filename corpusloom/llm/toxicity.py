@@ -45,7 +45,7 @@ CLEAR = 3  # bytes; a smaller difference of a window is not counted in the sum
 DICT_BYTES = 112_640
 TOXIC_BYTES = 8192
 LEVEL = 19
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 #: Stands before each window, so that a block is always worth compressing.
 LEAD = b" " * 24
 #: Stands for the blanks between words on both sides: bytes that no window has, and enough of them to tell where words begin.
