@@ -59,19 +59,22 @@ class Recent:
         if len(self.now) > self.entries:
             self.old, self.now = self.now, {}
 
-    def missing(self, keys: Iterable[str]) -> list[str]:
+    def missing(self, keys: set) -> list:
         """Those of the keys that have no value; all others are in ``now`` afterwards."""
         now, old = self.now, self.old
         out = []
-        for k in set(keys).difference(now):
+        for k in keys.difference(now):
             if k in old:
                 now[k] = old[k]
             else:
                 out.append(k)
         return out
 
-    def keep(self, values: dict[str, bytes], longest: int) -> None:
-        self.now.update((k, x) for k, x in values.items() if len(k) <= longest)
+    def forget(self, keys: Iterable, longest: int) -> None:
+        """Lets keys go that are too long to keep; for the end of a batch."""
+        for k in keys:
+            if len(k) > longest:
+                self.now.pop(k, None)
 
 
 def byte_letters() -> dict[str, int]:
@@ -224,25 +227,23 @@ class Encoder:
         self.parts.turn()
         self.words.turn()
         spans = [[(*self._cut(t), special) for t, special in self._spans(text)] for text in texts]
-        new = self.parts.missing(p for row in spans for _, parts, _ in row for p in parts)
+        new = self.parts.missing(set().union(*(parts for row in spans for _, parts, _ in row)))
         cut = {p: model.word.findall(" " + p) for p in new}
-        fresh = self.words.missing(
-            [w for row in spans for words, _, _ in row for w in words] + [w for ws in cut.values() for w in ws]
-        )
-        got = dict(zip(fresh, model.encode([w.encode() for w in fresh])))
-        known, parts_known = self.words.now, self.parts.now
-        own = {p: b"".join([got[w] if w in got else known[w] for w in ws]) for p, ws in cut.items()}
+        fresh = self.words.missing(set().union(*(words for row in spans for words, _, _ in row), *cut.values()))
+        self.words.now.update(zip(fresh, model.encode([w.encode() for w in fresh])))
+        of_word, of_part = self.words.now.__getitem__, self.parts.now.__getitem__
+        self.parts.now.update((p, b"".join(map(of_word, words))) for p, words in cut.items())
         out = []
         for row in spans:
             ids = []
             for words, parts, special in row:
-                ids += [got[w] if w in got else known[w] for w in words]
-                ids += [parts_known[p] if p in parts_known else own[p] for p in parts]
+                ids += map(of_word, words)
+                ids += map(of_part, parts)
                 if special:
                     ids.append(np.uint32(model.special[special]).tobytes())
             out.append(b"".join(ids))
-        self.words.keep(got, CACHE_WORD)
-        self.parts.keep(own, CACHE_WORD)
+        self.words.forget(fresh, CACHE_WORD)
+        self.parts.forget(new, CACHE_WORD)
         return out
 
 

@@ -83,15 +83,15 @@ class WordIds:
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         self.ids.turn()
         rows = [t.replace("\n", " ").split(" ") for t in texts]
-        new = self.ids.missing(p for row in rows for p in row)
+        new = self.ids.missing(set().union(*rows))
         bases = {p: self._base(p) if p else ("", "") for p in new}
-        fresh = self.ids.missing(x for pair in bases.values() for x in pair)
-        got = self._tokenized(fresh)
-        known = self.ids.now
-        own = {p: b"".join([got[x] if x in got else known[x] for x in pair]) for p, pair in bases.items()}
-        out = [b"".join([known[p] if p in known else own[p] for p in row]) for row in rows]
-        self.ids.keep(got, CACHE_WORD)
-        self.ids.keep(own, CACHE_WORD)
+        fresh = self.ids.missing(set().union(*bases.values()))
+        self.ids.now.update(self._tokenized(fresh))
+        of = self.ids.now.__getitem__
+        self.ids.now.update([(p, of(base) + of(mark)) for p, (base, mark) in bases.items()])
+        out = [b"".join(map(of, row)) for row in rows]
+        self.ids.forget(fresh, CACHE_WORD)
+        self.ids.forget(new, CACHE_WORD)
         return out
 
 

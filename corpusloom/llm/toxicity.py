@@ -118,11 +118,11 @@ class Scorer:
         """For each text, the largest difference of a window, and the logarithm of the sum of the clear ones."""
         self.shorter.turn()
         rows = [windows(t or b"") for t in texts]
-        new = self.shorter.missing(w for row in rows for w in row)
-        self.shorter.keep(dict(zip(new, self._differences(new))), WINDOW)
-        clear = {w for row in rows for w in row}
+        distinct = set().union(*rows)
+        new = self.shorter.missing(distinct)
         known = self.shorter.now
-        clear = {w: known[w] for w in clear if known[w] > 0}
+        known.update(zip(new, self._differences(new)))
+        clear = {w: known[w] for w in distinct if known[w] > 0}
         out = []
         for row in rows:
             found = [clear[w] for w in row if w in clear]
