@@ -5,7 +5,8 @@ name; both weights are learned from labelled pages as the logarithm of how much
 stands in the main text than outside. Pages that mark their main text by ``article``, ``main`` or a
 role of that name are the labels. Words of elements never seen in training score 1, tags of unknown
 names -1. One linear scan finds the run with the largest sum; its words are the text, without those in
-elements that a reader takes for page furniture.
+elements that a reader takes for page furniture. Words and tags of furniture score 0, so a run goes on
+behind it.
 
 Comments, scripts, styles and other raw elements are no tokens. Character references are decoded,
 white space in a block becomes one blank, and blocks are joined by one blank; inline tags don't part a
@@ -152,12 +153,14 @@ def extract(source: str | None, weights: Weights) -> str:
     tokens = Page(source or "").tokens
     scores = []
     for is_text, key, text, furniture, _ in tokens:
-        if is_text:
+        if furniture:  # left out below; it must not end a run that goes on behind it
+            scores.append(0.0)
+        elif is_text:
             n = len(text.split())
             w = words.get(key)
             if w is None:
                 w = words.get(key.split(".")[0].split(">")[0], 1.0)
-            scores.append(n * (min(w, -0.5) if furniture else w))
+            scores.append(n * w)
         else:
             scores.append(tags.get(key, -1.0))
     begin, end = main_run(scores)

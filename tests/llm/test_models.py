@@ -163,6 +163,21 @@ def test_odd_pages(spark):
     assert html_text.main_text(df.limit(0), weights).collect() == []
 
 
+def test_furniture_between_paragraphs_does_not_end_the_text():
+    train = [f"<html><body><div class=ad>Buy now</div><article><p>Words of text {i} and more.</p></article></body></html>" for i in range(600)]
+    weights = html_text.learn(train)
+    first, second = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(35))
+    for block in (
+        f"<div class=ad>{'buy ' * 30}</div>",
+        "<div class=ad>Six words of an advert here</div>",
+        f"<form><fieldset><label>{'field ' * 60}</label></fieldset></form>",
+        f"<aside><p>{'note ' * 50}</p></aside>",
+        f"<div class=comments><div><p>{'nice ' * 40}</p></div><div><p>{'bad ' * 40}</p></div></div>",
+    ):
+        page = f"<html><body><article><p>{first}</p>{block}<p>{second}</p></article></body></html>"
+        assert html_text.extract(page, weights) == f"{first} {second}", block
+
+
 def test_main_run_is_the_best_run():
     r = random.Random(8)
     for _ in range(200):
