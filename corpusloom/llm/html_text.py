@@ -6,7 +6,8 @@ stands in the main text than outside. Pages that mark their main text by ``artic
 role of that name are the labels. Words of elements never seen in training score 1, tags of unknown
 names -1. One linear scan finds the run with the largest sum; its words are the text, without those in
 elements that a reader takes for page furniture. Words and tags of furniture score 0, so a run goes on
-behind it.
+behind it. Furniture is known by its tag or by a whole word of its class or id; ``html``, ``body``, main
+text and what it stands in never are, and names made of several words are left to the learned weights.
 
 Comments, scripts, styles and other raw elements are no tokens. Character references are decoded,
 white space in a block becomes one blank, and blocks are joined by one blank; inline tags don't part a
@@ -43,7 +44,7 @@ INLINE = frozenset(
 CONTAINERS = frozenset(
     "html head title body article main section div nav header footer aside form ul ol table figure figcaption details dialog menu address fieldset".split()
 )
-#: Elements and class words that mark page furniture.
+#: Elements and whole class words that mark page furniture.
 FURNITURE_TAGS = frozenset("head title nav footer aside form menu dialog fieldset".split())
 FURNITURE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo sidebar comment comments disqus menu navbar nav navigation breadcrumb "
@@ -64,39 +65,60 @@ class Page:
     __slots__ = ("tokens",)
 
     def __init__(self, source: str):
-        self.tokens: list[tuple[bool, str, str, bool, bool]] = []
-        stack: list[tuple[str, str, bool, bool]] = []  # name, context, furniture, main
-        context, furniture, main = "page", False, False
+        found: list[tuple[bool, str, str, int, bool]] = []
+        # Elements marked as furniture: the one around each (-1: none), and whether main text stands in it.
+        around: list[int] = []
+        holds: list[bool] = []
+        stack: list[tuple[str, str, int, bool, bool]] = []  # name, context, furniture, main, article
+        context, furniture, main, article = "page", -1, False, False
         for m in TOKEN.finditer(source):
             text, name = m.group(5), m.group(3)
             if text is not None:
-                self.tokens.append((True, context, text, furniture, main))
+                found.append((True, context, text, furniture, main))
             elif name is not None:
                 name = name.lower()
                 if m.group(2):
-                    self.tokens.append((False, "/" + name, "", furniture, main))
+                    found.append((False, "/" + name, "", furniture, main))
                     at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
                     if at is not None:
-                        context, furniture, main = stack[at][1:]
+                        context, furniture, main, article = stack[at][1:]
                         del stack[at:]
                     continue
                 if name not in VOID:
-                    stack.append((name, context, furniture, main))
+                    stack.append((name, context, furniture, main, article))
                 if name in CONTAINERS or name == "a":
-                    words, role = _marks(m.group(4))
+                    words, tokens, role = _marks(m.group(4))
                     key = name if not words else f"{name}.{words[0]}"
                     context = f"{context}>a" if name == "a" else key
                     inside = main
-                    main = main or name in MAIN or role in MAIN
+                    if name in MAIN or role in MAIN:
+                        # What holds main text is no furniture; articles in an article, as comments are, leave that open.
+                        if not article or "main" in (name, role):
+                            at = furniture
+                            while at >= 0 and not holds[at]:
+                                holds[at], at = True, around[at]
+                        main, article = True, article or "article" in (name, role)
+                    elif name in ("html", "body"):
+                        furniture = -1  # of a head without an end
                     # An article's own header is part of it.
-                    furniture = furniture or name in FURNITURE_TAGS or (name == "header" and not inside) or bool(FURNITURE_WORDS.intersection(words))
+                    elif name in FURNITURE_TAGS or (name == "header" and not inside) or not FURNITURE_WORDS.isdisjoint(tokens):
+                        around.append(furniture)
+                        holds.append(False)
+                        furniture = len(around) - 1
                     if name in VOID:
-                        context, furniture, main = stack[-1][1:] if stack else ("page", False, False)
-                self.tokens.append((False, name, "", furniture, main))
+                        context, furniture, main, article = stack[-1][1:] if stack else ("page", -1, False, False)
+                found.append((False, name, "", furniture, main))
+        marked: list[bool] = []
+        for at, held in zip(around, holds):
+            marked.append(not held or (at >= 0 and marked[at]))
+        marked.append(False)  # for -1
+        self.tokens: list[tuple[bool, str, str, bool, bool]] = [(t, k, x, marked[f], i) for t, k, x, f, i in found]
 
 
-def _marks(attributes: str) -> tuple[list[str], str]:
+def _marks(attributes: str) -> tuple[list[str], list[str], str]:
+    """Words in the class and id, both as a whole, and the role."""
     words: list[str] = []
+    tokens: list[str] = []
     role = ""
     for name, *values in ATTRIBUTE.findall(attributes or ""):
         value = next((v for v in values if v), "").lower()
@@ -104,7 +126,8 @@ def _marks(attributes: str) -> tuple[list[str], str]:
             role = value
         else:
             words += re.findall(r"[a-z]+", value)
-    return words, role
+            tokens += value.split()
+    return words, tokens, role
 
 
 Weights = tuple[dict[str, float], dict[str, float]]

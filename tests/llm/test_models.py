@@ -178,6 +178,28 @@ def test_furniture_between_paragraphs_does_not_end_the_text():
         assert html_text.extract(page, weights) == f"{first} {second}", block
 
 
+def test_wrappers_with_furniture_in_their_name_keep_their_text():
+    train = [f"<html><body><nav>Home</nav><article><p>Words of text {i} and more.</p></article></body></html>" for i in range(40)]
+    weights = html_text.learn(train)
+    text, more = "<p>First words of the page.</p>", "<p>Second words of it.</p>"
+    want = "First words of the page. Second words of it."
+    for page in (
+        f"<html><body class='has-sidebar comments-open'>{text}{more}</body></html>",
+        f"<html><body class=sidebar>{text}{more}</body></html>",
+        f"<html><body><div class='content with-sidebar'>{text}{more}</div></body></html>",
+        f"<html><body><main id='post-no-comments'>{text}{more}</main></body></html>",
+        f"<html><body><article class='post sponsored'>{text}{more}</article></body></html>",
+        f"<html><body><div class='article-header'>{text}</div><section class='related-work'>{more}</section></body></html>",
+        f"<html><body><form id=f><div class=sidebar><main>{text}{more}</main></div></form></body></html>",
+        f"<html><body><main><div class=sidebar><article>{text}{more}</article></div></main></body></html>",
+        f"<html><head><title>Site</title><body>{text}{more}</body></html>",
+        f"<html><body><form><nav>Home</nav><article>{text}<div class=ad>Buy</div>{more}</article></form></body></html>",
+        f"<html><body><article>{text}{more}<div class=comments><article>Nice one!</article></div></article></body></html>",
+        f"<html><body><div class='wide sidebar'>Other pages</div><article>{text}{more}</article><div id=comments>Nice!</div></body></html>",
+    ):
+        assert html_text.extract(page, weights) == want, page
+
+
 def test_main_run_is_the_best_run():
     r = random.Random(8)
     for _ in range(200):
