@@ -6,7 +6,8 @@ document don't make its lines common. A sketch of the sites of each line hash is
 aggregation; lines whose estimate is near the threshold get an exact count. Lines with ``min_sites``
 sites or more are boilerplate. They go from every text in which they make up at most half of the
 characters of its lines; a text of which they are the larger part is a copy as a whole and is left to
-document deduplication.
+document deduplication. Without a ``max_share``, as in the pipeline, they go from every text, and one of
+such lines alone becomes empty.
 
 A null text stays null and an empty one empty; a null site is no site; repeated rows get equal
 results; an empty table gives an empty table. All columns are kept; ``n_lines_removed`` is replaced.
@@ -50,8 +51,8 @@ def boilerplate(df: DataFrame, text: str = "text", site: str = "source", min_sit
     return staged(sure.unionByName(exact.where(F.col("n") >= min_sites).select("line")), "boilerplate_lines")
 
 
-def remove_lines(df: DataFrame, lines: DataFrame, text: str = "text", max_share: float = MAX_SHARE) -> DataFrame:
-    """``df`` with the lines gone from its texts, and ``n_lines_removed``."""
+def remove_lines(df: DataFrame, lines: DataFrame, text: str = "text", max_share: float | None = MAX_SHARE) -> DataFrame:
+    """``df`` with the lines gone from its texts, and ``n_lines_removed``; no ``max_share`` is no limit."""
     given = [c for c in df.columns if c != "n_lines_removed"]
     rows = df.select(F.struct(*(F.col(f"`{c}`") for c in given)).alias("row")).withColumn("t", F.xxhash64(F.col("row")[text]))
     of = F.split(F.col("row")[text], "\n")
@@ -61,7 +62,8 @@ def remove_lines(df: DataFrame, lines: DataFrame, text: str = "text", max_share:
     out = out.withColumn("marked", F.transform(of, lambda a: F.struct(a.alias("a"), F.length(_strip(a)).alias("n"), F.array_contains("drop", F.xxhash64(_strip(a))).alias("d"))))
     size = F.aggregate("marked", F.lit(0).cast("bigint"), lambda s, m: s + m["n"])
     gone = F.aggregate("marked", F.lit(0).cast("bigint"), lambda s, m: s + F.when(m["d"], m["n"]).otherwise(0))
-    out = out.withColumn("cut", F.col("drop").isNotNull() & (gone <= max_share * size))
+    common = F.col("drop").isNotNull()
+    out = out.withColumn("cut", common if max_share is None else common & (gone <= max_share * size))
     kept = F.filter("marked", lambda m: ~m["d"])
     new_text = F.when(F.col("cut"), F.array_join(F.transform(kept, lambda m: m["a"]), "\n")).otherwise(F.col("row")[text])
     removed = F.when(F.col("cut"), F.size("marked") - F.size(kept)).otherwise(0).cast("bigint")
@@ -70,7 +72,7 @@ def remove_lines(df: DataFrame, lines: DataFrame, text: str = "text", max_share:
     )
 
 
-def line_dedup(df: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, max_share: float = MAX_SHARE) -> DataFrame:
+def line_dedup(df: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, max_share: float | None = MAX_SHARE) -> DataFrame:
     return remove_lines(df, boilerplate(df, text, site, min_sites), text, max_share)
 
 

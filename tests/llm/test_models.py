@@ -209,6 +209,18 @@ def test_main_run_is_the_best_run():
         assert sum(x[begin:end]) == best
 
 
+def test_pipeline_cuts_common_lines_from_every_text(spark):
+    common = "All rights reserved by the owners of this long notice."
+    rows = [(i, f"Own {i}\n{common}", "en", f"s{i % 12}", 1) for i in range(30)]
+    rows += [(100, common, "en", "s1", 1), (101, None, "en", "s1", None), (102, "Own text alone", "en", None, 14)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r["doc_id"]: r for r in corpus_pipeline.drop_common_lines(spark, docs, "").collect()}
+    assert len(got) == len(rows)
+    assert all(got[i]["text"] == f"Own {i}" and got[i]["n_chars"] == len(f"Own {i}") for i in range(30))
+    assert got[100]["text"] == "" and got[100]["n_chars"] == 0
+    assert got[101]["text"] is None and got[102]["text"] == "Own text alone"
+
+
 @needs_tables
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
