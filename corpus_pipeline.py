@@ -32,7 +32,7 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many sites share go, whatever their share of a text; all documents stay."""
-    out = line_dedup.line_dedup(docs.select(*COLUMNS), max_share=None)
+    out = line_dedup.line_dedup(docs.select(*COLUMNS), max_share=None, all_sites=True)
     length = F.when(F.col("n_lines_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", length).select(*COLUMNS)
 

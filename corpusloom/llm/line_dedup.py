@@ -4,7 +4,8 @@ A line is what stands between line breaks, without white space around it; blank
 removed. Each different text votes for one site (the smallest source of its copies), so copies of one
 document don't make its lines common. A sketch of the sites of each line hash is merged by
 aggregation; lines whose estimate is near the threshold get an exact count. Lines with ``min_sites``
-sites or more are boilerplate. They go from every text in which they make up at most half of the
+sites or more are boilerplate. With ``all_sites``, as in the pipeline, every row votes for its site, and
+a second sketch demands as many different texts, for which copies of one document count once. They go from every text in which they make up at most half of the
 characters of its lines; a text of which they are the larger part is a copy as a whole and is left to
 document deduplication. Without a ``max_share``, as in the pipeline, they go from every text, and one of
 such lines alone becomes empty.
@@ -39,15 +40,27 @@ def line_votes(df: DataFrame, text: str = "text", site: str = "source") -> DataF
     return lines.select("t", F.xxhash64("a").alias("line")).join(votes, "t").select("line", "site")
 
 
-def boilerplate(df: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN) -> DataFrame:
-    """(line): hashes of lines with ``min_sites`` different sites or more."""
-    votes = line_votes(df, text, site)
-    spread = votes.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"))
-    spread = spread.select("line", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites * (1 - margin))
+def line_sites(df: DataFrame, text: str = "text", site: str = "source") -> DataFrame:
+    """(line, site, t): line hashes with the sites and text hashes of all rows that hold them, not yet distinct."""
+    base = df.select(F.xxhash64(F.col(f"`{text}`")).alias("t"), F.col(f"`{text}`").alias("x"), F.col(f"`{site}`").alias("site"))
+    stripped = F.transform(F.split("x", "\n"), _strip)
+    lines = F.explode(F.array_distinct(F.filter(stripped, lambda a: a != ""))).alias("a")
+    return base.where("site IS NOT NULL").select("t", "site", lines).select(F.xxhash64("a").alias("line"), "site", "t")
+
+
+def boilerplate(
+    df: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN, all_sites: bool = False
+) -> DataFrame:
+    """(line): hashes of lines with ``min_sites`` different sites or more; by ``all_sites``, and as many different texts."""
+    votes, counted = (line_sites(df, text, site), ["site", "t"]) if all_sites else (line_votes(df, text, site), ["site"])
+    spread = votes.groupBy("line").agg(*(F.hll_sketch_agg(c, F.lit(LG_K)).alias(c) for c in counted))
+    spread = spread.select("line", F.array_min(F.array(*(F.hll_sketch_estimate(c) for c in counted))).alias("sites"))
+    spread = spread.where(F.col("sites") >= min_sites * (1 - margin))
     spread = staged(spread, "line_spread")
     sure = spread.where(F.col("sites") > min_sites * (1 + margin)).select("line")
     near = spread.where(F.col("sites") <= min_sites * (1 + margin)).select("line")
-    exact = votes.join(near, "line", "left_semi").groupBy("line").agg(F.countDistinct("site").alias("n"))
+    exact = votes.join(near, "line", "left_semi").groupBy("line").agg(*(F.countDistinct(c).alias(c) for c in counted))
+    exact = exact.select("line", F.array_min(F.array(*counted)).alias("n"))
     return staged(sure.unionByName(exact.where(F.col("n") >= min_sites).select("line")), "boilerplate_lines")
 
 
@@ -72,8 +85,10 @@ def remove_lines(df: DataFrame, lines: DataFrame, text: str = "text", max_share:
     )
 
 
-def line_dedup(df: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, max_share: float | None = MAX_SHARE) -> DataFrame:
-    return remove_lines(df, boilerplate(df, text, site, min_sites), text, max_share)
+def line_dedup(
+    df: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, max_share: float | None = MAX_SHARE, all_sites: bool = False
+) -> DataFrame:
+    return remove_lines(df, boilerplate(df, text, site, min_sites, all_sites=all_sites), text, max_share)
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -221,6 +221,19 @@ def test_pipeline_cuts_common_lines_from_every_text(spark):
     assert got[101]["text"] is None and got[102]["text"] == "Own text alone"
 
 
+def test_pipeline_counts_all_sites_of_a_line(spark):
+    rows = []
+    for name, texts, sites in (("hot", 30, 10), ("few sites", 30, 9), ("few texts", 9, 20)):
+        for i in range(texts):
+            # Every text also stands at the smallest source.
+            rows += [(f"Line of {name}\nOwn text {name} {i}", s) for s in {"a", *(f"s{k % (sites - 1)}" for k in range(i, i + 3 * (texts < 10) + 1))}]
+    rows += [("Line of one text\nAnd its second", f"s{k}") for k in range(20)]
+    rows += [("Line of few texts\nOwn text few texts 0", f"s{k}") for k in range(19)]
+    docs = spark.createDataFrame([(i, t, "en", s, 1) for i, (t, s) in enumerate(rows)], DOCS)
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_common_lines(spark, docs, "").collect()}
+    assert [got[i] for i in range(len(rows))] == [t.removeprefix("Line of hot\n") for t, _ in rows]
+
+
 @needs_tables
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
