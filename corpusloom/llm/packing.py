@@ -165,7 +165,7 @@ def pack(found: DataFrame, size: int = SIZE, partition_pieces: int = PARTITION_P
     found = found.drop("sequence_id", "offset").withColumn("_place", F.monotonically_increasing_id())
     full, rest = found.where(F.col("length") == size), found.where(F.col("length") < size)
     n = rest.count()
-    parts = max(1, min(16, n // 1024), -(-n // partition_pieces))
+    parts = max(1, -(-n // partition_pieces))
     rest = rest.withColumn("_part", F.pmod(F.xxhash64("_place"), F.lit(parts)))
 
     def of_part(rows: pd.DataFrame) -> pd.DataFrame:

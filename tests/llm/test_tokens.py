@@ -114,6 +114,15 @@ def test_place_follows_the_sum_of_squares_rule():
             assert [o for o, _ in spans] == np.cumsum([0] + [n for _, n in spans])[:-1].tolist()
 
 
+def test_a_few_thousand_pieces_are_one_packing(spark):
+    r = random.Random(0)
+    lengths = [min(2047, 1 + int(r.lognormvariate(5.5, 1))) for _ in range(4000)]
+    found = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id bigint, length bigint")
+    got = packing.pack(found).select("sequence_id").distinct().count()
+    bins, _ = packing.place(np.array(sorted(lengths, reverse=True)))
+    assert got == len(set(bins.tolist()))
+
+
 def test_pieces_and_packing(spark):
     long = "word and other words " * 2500
     rows = [(1, long), (2, None), (3, ""), (4, "short"), (4, "short"), (None, "no id")] + [(10 + i, "some text " * (i % 40)) for i in range(300)]
