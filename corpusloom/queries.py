@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -479,16 +481,26 @@ def q_case_json_roundtrip(spark, sf_dir):
     return message_rows(read_cases(spark, path), "test_case")
 
 
+CASES_PER_FILE = 1000
+
+
 def q_case_array_files(spark, sf_dir):
-    """Benchmark items as two files with a JSON array of conversations each, numbered over both."""
+    """Benchmark items as files with a JSON array of about 1,000 conversations each, numbered over all."""
     path = scratch_path(spark, "case-arrays")
     items = table(spark, sf_dir, "benchmark")
     talk = F.array(
         F.struct(F.lit("system").alias("role"), F.concat(F.lit("item "), F.col("item_id")).alias("content")),
         F.struct(F.lit("user").alias("role"), F.col("text").alias("content")),
     )
-    suites = items.groupBy((F.col("item_id") % 2).alias("file")).agg(
-        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("item_id", talk.alias("talk")))), lambda r: r["talk"])).alias("value")
+    # Files are ranges in the order of the cases; they are written once, so that every later read sees the same ones.
+    half = (F.col("item_id") % 2).alias("half")
+    keyed = items.select(half, "item_id", talk.alias("talk"))
+    ranged = keyed.repartitionByRange(max(1, math.ceil(items.count() / CASES_PER_FILE)), "half", "item_id")
+    ranged = ranged.withColumn("file", F.lpad(F.spark_partition_id().cast("string"), 10, "0"))
+    parts = scratch_path(spark, "case-ranges")
+    ranged.write.parquet(parts)
+    suites = spark.read.schema(ranged.schema).parquet(parts).groupBy("file").agg(
+        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("half", "item_id", "talk"))), lambda r: r["talk"])).alias("value")
     )
     suites.write.partitionBy("file").text(path)
     cases = read_cases(spark, path, "array")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.metrics import COMPAT_METRICS, FLOAT_METRICS
 from corpusloom.operators.batches import map_batches
 from corpusloom.operators.responses import as_results, batch_responses, case_inputs, count_cases
+from corpusloom.queries import q_case_array_files
 from corpusloom.schemas import CASE, MODEL_INPUT, RESULT
 from corpusloom.sinks.scratch import scratch_path, scratch_root
 from corpusloom.sinks.writers import (
@@ -299,3 +300,12 @@ def test_scratch_folder_comes_from_the_session(spark):
     before = spark.conf.get("spark.checkpoint.dir", None)
     assert scratch_root(spark) == (before.rstrip("/") if before else scratch_root(spark))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_case_array_files_follow_the_rows(spark, tmp_path):
+    ids = range(4000)
+    spark.createDataFrame([(i, f"text {i}") for i in ids], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    cases = q_case_array_files(spark, str(tmp_path))
+    assert len(cases.inputFiles()) >= 4
+    want = [(n + 1, 2, f"text {i}", f"item {i}") for n, i in enumerate(sorted(ids, key=lambda i: (i % 2, i)))]
+    assert sorted(map(tuple, cases.collect())) == want
