@@ -57,3 +57,10 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         held.append(batch.slice(start))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text in DuckDB SQL, bit by bit."""
+    bits = "list_transform(range(8 * length(t)), lambda i: (ascii(substr(t, 1 + CAST(i // 8 AS INTEGER), 1)) >> CAST(i % 8 AS INTEGER)) & 1)"
+    step = "CASE WHEN xor(c & 1, b) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"(SELECT xor(list_reduce({bits}, lambda c, b: {step}, CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) FROM (SELECT {text} AS t))"
