@@ -7,6 +7,7 @@ from corpusloom.llm.html_text import op10_html_text
 from corpusloom.llm.language import op5_language_id
 from corpusloom.llm.line_dedup import OP4_SQL, op4_line_dedup
 from corpusloom.llm.merkle import OP11_SQL, op11_merkle
+from corpusloom.llm.mixing import op13_lm_score
 from corpusloom.llm.near_dedup import OP3_SQL, op3_near_dedup
 from corpusloom.llm.packing import op6_packing
 from corpusloom.llm.quality import OP1_SQL, op1_quality_rules
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_html_text": op10_html_text,
     "op11_merkle": op11_merkle,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_lm_score": op13_lm_score,
 }
 ORACLE_SQL = {
     "op1_quality_rules": OP1_SQL,
