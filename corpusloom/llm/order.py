@@ -31,7 +31,7 @@ def _local(batches: Iterable[pa.RecordBatch], group: str) -> Iterator[pa.RecordB
             start = -count
         else:
             lead, start = last is None, 0
-        starts = np.where(new, np.arange(n), -1)
+        starts = np.where(new, np.arange(n), np.iinfo(np.int64).min)
         starts[0] = start
         starts = np.maximum.accumulate(starts)
         leads = np.zeros(n, dtype=bool)

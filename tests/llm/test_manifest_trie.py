@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm import merkle, trie
+from corpusloom.llm.order import positions
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, rank bigint, tree string, row string"
 
@@ -98,6 +99,21 @@ def test_manifest_of_production_segments(spark):
     assert manifest_rows(spark, docs) == brute_manifest(docs)
 
 
+def test_positions_of_groups_over_many_batches_and_tasks(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rng = random.Random(8)
+        rows = [(rng.choice("aaaabbc") if i % 50 else f"own {i}", rng.randrange(900), i) for i in range(3000)]
+        df = spark.createDataFrame(rows, "g string, k int, x int")
+        got = {r["x"]: r["at"] for r in positions(df.repartition(7), "g", ["k", "x"], ["g", "x"], "at").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want, seen = {}, {}
+    for g, _, x in sorted(rows):
+        want[x] = seen[g] = seen.get(g, -1) + 1
+    assert got == want
+
+
 def test_manifest_of_nothing_and_of_a_long_text(spark):
     assert manifest_rows(spark, []) == []
     docs = [(7, "ü\n" * 1_000_000, None, None, None)]
