@@ -3,7 +3,7 @@
 A text is taken as its words ``[^\\x20\\x09-\\x0D]+`` with A-Z as a-z, each followed by a space, and one end. The
 bytes of that are predicted bit by bit along a Huffman code of the training bytes:
 
-1. **Predictors.** For the last 1, 2, 3, 4 and 6 bytes and the node of the code, hashed into a table for each order, how often
+1. **Predictors.** For the last 1 to 5 bytes and the node of the code, hashed into a table for each order, how often
    the next bit was 0 and 1 in all training texts. Tasks count their texts, and the counts are added up slot by slot.
 2. **Mixing.** The predictions, stretched to log odds, are added with weights. Two gates choose them: how often the longer
    contexts were seen, and the node of the code. Weights are learned online, bit after bit: each task goes through its texts of a
@@ -31,21 +31,25 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from corpusloom.llm.common import in_pieces, staged, table, texts
-from corpusloom.llm.words import mix, word_hashes
+from corpusloom.llm.words import mix
 
-ORDERS = (1, 2, 3, 4, 6)
+ORDERS = (1, 2, 3, 4, 5)
 #: Binary logarithm of the slots of the table of each order.
 BITS = (16, 18, 20, 21, 22)
-CONTEXT = 6
+CONTEXT = 5
 PIECE = 1 << 20
-GROUP = 8 << 20
-BLOCK = 16 << 20
+GROUP = 2 << 20
+BLOCK = 32 << 20
+#: Binary logarithm of the keys that a task remembers.
+REMEMBERED = 21
+LONG_TOKEN = 256
 CHUNK = 1 << 13
 END = np.uint64(0x9D39247E33776D41)
 SPACE_BYTE, END_BYTE = 32, 10
@@ -65,8 +69,28 @@ def normalized(text: bytes | None) -> bytes:
     return b" ".join([*words, b"\n"])
 
 
-def token_hashes(text: bytes | None) -> np.ndarray:
-    return np.append(word_hashes(text or b""), END)
+def token_hashes(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the tokens of normalized texts, one text after the other, and how many each text has."""
+    joined = b"".join(docs)
+    codes = np.frombuffer(joined, dtype=np.uint8)
+    ends = np.flatnonzero((codes == SPACE_BYTE) | (codes == END_BYTE))
+    starts = np.r_[0, ends[:-1] + 1] if len(ends) else ends
+    lengths = ends - starts
+    # Eight bytes of all tokens at a time.
+    words = np.ndarray((len(joined) + 1,), "<u8", joined + b"\0" * 8, 0, (1,))
+    out = mix(lengths.astype(np.uint64) + ODD[13])
+    open_ = np.flatnonzero((lengths > 0) & (lengths <= LONG_TOKEN))
+    at = 0
+    while len(open_):
+        left = np.minimum(lengths[open_] - at, 8).astype(np.uint64)
+        out[open_] = mix(out[open_] ^ (words[starts[open_] + at] & (~np.uint64(0) >> (np.uint64(64) - left * np.uint64(8)))))
+        at += 8
+        open_ = open_[lengths[open_] > at]
+    for i in np.flatnonzero(lengths > LONG_TOKEN):
+        out[i] = xxhash.xxh64_intdigest(joined[starts[i] : ends[i]])
+    closed = codes[ends] == END_BYTE
+    out[closed] = END
+    return out, np.diff(np.flatnonzero(closed), prepend=-1)
 
 
 @dataclass
@@ -111,8 +135,13 @@ ODD = mix(np.arange(1, 16, dtype=np.uint64)) | np.uint64(1)
 
 
 def contexts(keys: np.ndarray) -> list[np.ndarray]:
-    """A hash of the context of each order; a key is the six bytes before and the byte, the oldest lowest."""
-    return [((keys & np.uint64((1 << 48) - 1)) >> np.uint64(8 * (CONTEXT - k))) * ODD[i] + ODD[i + 5] for i, k in enumerate(ORDERS)]
+    """A hash of the context of each order; a key is the ``CONTEXT`` bytes before and the byte, the oldest lowest."""
+    before = keys & np.uint64((1 << (8 * CONTEXT)) - 1)
+    return [(before >> np.uint64(8 * (CONTEXT - k))) * ODD[i] + ODD[i + 5] for i, k in enumerate(ORDERS)]
+
+
+def last_byte(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(8 * CONTEXT)).astype(np.uint8)
 
 
 def slots(context: np.ndarray, node: np.ndarray, order: int) -> np.ndarray:
@@ -127,15 +156,15 @@ def grouped(docs: Iterable[bytes], size: int = GROUP) -> Iterator[tuple[np.ndarr
     held, pieces, total = [], [], 0
 
     def keys() -> np.ndarray:
-        # A piece has the bytes before it in front, and two more at the end for the last eight-byte word.
-        found = [np.ndarray((len(p) - CONTEXT - 1,), "<u8", p, 0, (1,)) for p in held]
-        return np.concatenate(found) & np.uint64((1 << 56) - 1)
+        # A piece has the bytes before it in front; the last key is read as a word of eight bytes.
+        found = [np.ndarray((n,), "<u8", p, 0, (1,)) for p, (_, n) in zip(held, pieces)]
+        return np.concatenate(found) & np.uint64((1 << (8 * CONTEXT + 8)) - 1)
 
     for i, doc in enumerate(docs):
         for at in range(0, len(doc), PIECE):
             before = doc[at - CONTEXT : at] if at else b"\n" * CONTEXT
             piece = before + doc[at : at + PIECE]
-            held.append(piece + b"\0")
+            held.append(piece + b"\0" * (7 - CONTEXT))
             pieces.append((i, len(piece) - CONTEXT))
             total += pieces[-1][1]
             if total >= size:
@@ -145,9 +174,46 @@ def grouped(docs: Iterable[bytes], size: int = GROUP) -> Iterator[tuple[np.ndarr
         yield keys(), pieces
 
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    which, found = pd.factorize(keys)
-    return which, found
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each key among the different ones, and these."""
+    return pd.factorize(keys)
+
+
+class Remembered:
+    """A value for each of the keys met last, one for each place that their hash has."""
+
+    def __init__(self, kind: type):
+        self.keys, self.values = np.full(1 << REMEMBERED, ~np.uint64(0)), np.zeros(1 << REMEMBERED, dtype=kind)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * ODD[14]) >> np.uint64(64 - REMEMBERED)).astype(np.int64)
+
+
+class Times(Remembered):
+    """Counts keys; ``flush`` gets those that have to go, and all at the end, each with its count."""
+
+    def __init__(self, flush):
+        super().__init__(np.uint32)
+        self.flush = flush
+
+    def add(self, keys: np.ndarray) -> None:
+        places = self.places(keys)
+        known = self.keys[places] == keys
+        np.add.at(self.values, places[known], np.uint32(1))
+        which, found = distinct(keys[~known])
+        times = np.bincount(which, minlength=len(found)).astype(np.uint32)
+        places = self.places(found)
+        old, old_times = self.keys[places], self.values[places]
+        self.keys[places] = found
+        stays = self.keys[places] == found  # of the keys that want one place the last has it
+        self.values[places[stays]] = times[stays]
+        gone = stays & (old_times > 0)
+        self.flush(np.concatenate([found[~stays], old[gone]]), np.concatenate([times[~stays], old_times[gone]]))
+
+    def close(self) -> None:
+        held = np.flatnonzero(self.values)
+        for at in range(0, len(held), 8 * STEP):
+            self.flush(self.keys[held[at : at + 8 * STEP]], self.values[held[at : at + 8 * STEP]])
 
 
 @dataclass
@@ -160,6 +226,7 @@ class Model:
     by_met: np.ndarray = field(default_factory=lambda: np.full((16, len(ORDERS)), 0.15))
     by_node: np.ndarray = field(default_factory=lambda: np.full((256, len(ORDERS)), 0.15))
     refined: np.ndarray = field(default_factory=lambda: _centers())
+    remembered: Remembered | None = None
 
     @classmethod
     def of(cls, code: ByteCode, counts: np.ndarray) -> Model:
@@ -173,8 +240,7 @@ class Model:
 
     def bits(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """For each bit of the code of the last byte: rows that have it, the bit, predictions, gates."""
-        byte = (keys >> np.uint64(48)).astype(np.int64)
-        hashed = contexts(keys)
+        byte, hashed = last_byte(keys), contexts(keys)
         rows = np.arange(len(keys))
         for k in range(len(self.code.nodes)):
             rows = rows[self.code.lengths[byte[rows]] > k]
@@ -203,6 +269,21 @@ class Model:
         return out
 
 
+    def remembered_logs(self, keys: np.ndarray) -> np.ndarray:
+        """The same; keys that a task has met are not computed again."""
+        if self.remembered is None:
+            self.remembered = Remembered(np.float64)
+        held = self.remembered
+        places = held.places(keys)
+        out = held.values[places]
+        new = np.flatnonzero(held.keys[places] != keys)
+        which, found = distinct(keys[new])
+        out[new] = self.log_probabilities(found)[which]
+        held.keys[places[new]] = keys[new]
+        held.values[places[new]] = out[new]
+        return out
+
+
 def _centers() -> np.ndarray:
     """The refinement that changes nothing: the probability at each bucket, for each gate."""
     return np.tile(1 / (1 + np.exp(-np.linspace(-LIMIT * 1.5, LIMIT * 1.5, BUCKETS))), (16, 1))
@@ -223,8 +304,8 @@ def learn_weights(model: Model, docs: Iterable[bytes]) -> tuple[Model, np.ndarra
     out = Model(model.code, model.odds, model.met, model.by_met.copy(), model.by_node.copy())
     squares = [np.full_like(out.by_met, 1e-6), np.full_like(out.by_node, 1e-6)]
     seen, total = np.zeros((2, 16, BUCKETS)), 0.0
-    for keys, _ in grouped(docs, GROUP // 4):
-        which, found = _distinct(keys)
+    for keys, _ in grouped(docs):
+        which, found = distinct(keys)
         times = np.bincount(which, minlength=len(found)).astype(np.float64)
         # Frequent keys come first in the texts; every step shall see some of all.
         mixed_up = np.argsort(mix(found.astype(np.uint64)))
@@ -251,10 +332,10 @@ def _count_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """(kind, item, n): of kind 0 how often a token hash, of kind 1 how often a byte occurs in the texts."""
     bytes_ = np.zeros(256, dtype=np.int64)
     for batch in in_pieces(batches, 1024):
-        docs = list(texts(batch.column("text")))
-        tokens, counts = np.unique(np.concatenate([token_hashes(d) for d in docs]), return_counts=True)
+        docs = [normalized(d) for d in texts(batch.column("text"))]
+        tokens, counts = np.unique(token_hashes(docs)[0], return_counts=True)
         for d in docs:
-            bytes_ += np.bincount(np.frombuffer(normalized(d), dtype=np.uint8), minlength=256)
+            bytes_ += np.bincount(np.frombuffer(d, dtype=np.uint8), minlength=256)
         yield _token_rows(0, tokens.view(np.int64), counts)
     yield _token_rows(1, np.arange(256), bytes_)
 
@@ -266,15 +347,15 @@ def _token_rows(kind: int, items: np.ndarray, counts: np.ndarray) -> pa.RecordBa
 def _count_contexts(batches: Iterable[pa.RecordBatch], code: ByteCode) -> Iterator[pa.RecordBatch]:
     """(tuning, chunk, counts): how often bits of 0 and 1 came in each slot, for each fold, packed chunk by chunk."""
     counts = np.zeros((2, 2 * STARTS[-1]), dtype=np.uint32)
+    folds = [Times(lambda keys, times, of=of: _add_contexts(of, code, keys, times)) for of in counts]
     for batch in batches:
         tuning = batch.column("tuning").to_numpy(zero_copy_only=False)
         docs = list(texts(batch.column("text")))
-        for fold in (0, 1):
+        for fold, held in enumerate(folds):
             for keys, _ in grouped(normalized(d) for d, t in zip(docs, tuning) if t == fold):
-                which, found = _distinct(keys)
-                times = np.bincount(which, minlength=len(found)).astype(np.uint32)
-                for at in range(0, len(found), 8 * STEP):
-                    _add_contexts(counts[fold], code, found[at : at + 8 * STEP], times[at : at + 8 * STEP])
+                held.add(keys)
+    for held in folds:
+        held.close()
     pack = zstandard.ZstdCompressor(level=1).compress
     for fold in (0, 1):
         chunks = counts[fold].reshape(-1, 2 * CHUNK)
@@ -286,8 +367,7 @@ def _count_contexts(batches: Iterable[pa.RecordBatch], code: ByteCode) -> Iterat
 
 
 def _add_contexts(counts: np.ndarray, code: ByteCode, keys: np.ndarray, times: np.ndarray) -> None:
-    byte = (keys >> np.uint64(48)).astype(np.int64)
-    hashed = contexts(keys)
+    byte, hashed = last_byte(keys), contexts(keys)
     rows = np.arange(len(keys))
     for k in range(len(code.nodes)):
         rows = rows[code.lengths[byte[rows]] > k]
@@ -383,9 +463,8 @@ def token_logs(model: Model, docs: list[bytes]) -> list[np.ndarray]:
     out: list[list[np.ndarray]] = [[] for _ in docs]
     open_ = np.zeros(len(docs))
     for keys, pieces in grouped(docs):
-        which, found = _distinct(keys)
-        logs = model.log_probabilities(found)[which]
-        byte = (keys >> np.uint64(48)).astype(np.uint8)
+        logs = model.remembered_logs(keys)
+        byte = last_byte(keys)
         ends = np.flatnonzero((byte == SPACE_BYTE) | (byte == END_BYTE))
         at = 0
         for doc, size in pieces:
@@ -414,17 +493,17 @@ def _score(docs: pa.Table, found: pa.Table, model: Model, n: int, v: int) -> pa.
     items, counts = items[order], counts[order]
     bases, scores, sizes, known = [], [], [], []
     for batch in docs.to_batches(max_chunksize=1024):
-        raw = list(texts(batch.column("text")))
-        for text, logs in zip(raw, token_logs(model, [normalized(d) for d in raw])):
-            tokens = token_hashes(text).view(np.int64)
-            place = np.minimum(np.searchsorted(items, tokens), len(items) - 1)
-            if not (items[place] == tokens).all():
-                raise ValueError("the tokens of a text are not those of its block: its rows were dealt in another way before")
-            of = counts[place]
+        normal = [normalized(d) for d in texts(batch.column("text"))]
+        tokens, lengths = token_hashes(normal)
+        tokens = tokens.view(np.int64)
+        place = np.minimum(np.searchsorted(items, tokens), len(items) - 1)
+        if not (items[place] == tokens).all():
+            raise ValueError("the tokens of a text are not those of its block: its rows were dealt in another way before")
+        for logs, of in zip(token_logs(model, normal), np.split(counts[place], np.cumsum(lengths)[:-1])):
             base, score = text_score(logs, of, n, v)
             bases.append(base)
             scores.append(score)
-            sizes.append(len(tokens))
+            sizes.append(len(of))
             known.append(int((of > 0).sum()))
     return pa.table({"row": docs.column("row"), "n_tokens": pa.array(sizes, pa.int64()), "n_known": pa.array(known, pa.int64()), "base_score": pa.array(bases, pa.float64()), "score": pa.array(scores, pa.float64())})
 
@@ -433,11 +512,11 @@ def _block_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """(block, item): the distinct tokens of each block, of rows in any order; a batch is one step."""
     met: dict[int, np.ndarray] = {}
     for batch in in_pieces(batches, 4096):
-        blocks = batch.column("block").to_numpy()
-        hashed = [token_hashes(d) for d in texts(batch.column("text"))]
+        tokens, lengths = token_hashes([normalized(d) for d in texts(batch.column("text"))])
+        blocks = np.repeat(batch.column("block").to_numpy(), lengths)
         for block in np.unique(blocks):
-            new = np.unique(np.concatenate([hashed[i] for i in np.flatnonzero(blocks == block)]))
-            met[int(block)] = np.union1d(met[int(block)], new) if int(block) in met else new
+            new = pd.unique(tokens[blocks == block])
+            met[int(block)] = pd.unique(np.concatenate([met[int(block)], new])) if int(block) in met else new
     for block, items in met.items():
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), block, dtype=np.int64)), pa.array(items.view(np.int64))], names=["block", "item"])
 
@@ -451,7 +530,8 @@ def score(docs: DataFrame, lm: LanguageModel, text: str = "text", block: int = B
     blocks = max(1, -(-size // block))
     # Equal rows get numbers of their own, or a third of all rows could be one block.
     rows = rows.withColumn("block", F.pmod(F.xxhash64("row", "text", F.monotonically_increasing_id()), F.lit(blocks)))
-    rows = rows.repartition(blocks, "block")
+    # No fewer partitions than an exchange has by itself, or the texts would be dealt again to meet their tokens.
+    rows = rows.repartition(max(blocks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "block")
     met = rows.mapInArrow(_block_tokens, "block bigint, item bigint").join(lm.tokens, "item", "left").select("block", "item", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
     model, n, v = lm.model, lm.n_tokens, lm.n_distinct
     added = [StructField(c, LongType()) for c in ("n_tokens", "n_known")] + [StructField(c, DoubleType()) for c in ("base_score", "score")]

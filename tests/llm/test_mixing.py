@@ -28,9 +28,10 @@ def tokens(text: str | None) -> list[str]:
 
 def counted(code: ByteCode, docs: list[bytes]) -> np.ndarray:
     counts = np.zeros(2 * STARTS[-1], dtype=np.uint32)
+    times = mixing.Times(lambda keys, n: mixing._add_contexts(counts, code, keys, n))
     for keys, _ in mixing.grouped(docs):
-        which, found = mixing._distinct(keys)
-        mixing._add_contexts(counts, code, found, np.bincount(which).astype(np.uint32))
+        times.add(keys)
+    times.close()
     return counts.reshape(-1, 2)
 
 
@@ -61,11 +62,11 @@ def test_counts_equal_counting_bit_by_bit(trained):
     docs, code, _ = trained
     want = Counter()
     for doc in docs[:2]:
-        padded = b"\n" * 6 + doc
+        padded = b"\n" * 5 + doc
         for at, byte in enumerate(doc):
             for k in range(code.lengths[byte]):
                 for i, order in enumerate(ORDERS):
-                    context = np.array([int.from_bytes(padded[at + 6 - order : at + 6], "little")], dtype=np.uint64)
+                    context = np.array([int.from_bytes(padded[at + 5 - order : at + 5], "little")], dtype=np.uint64)
                     hashed = context * mixing.ODD[i] + mixing.ODD[i + 5]
                     slot = int(mixing.slots(hashed, code.nodes[k : k + 1, byte], i)[0])
                     assert STARTS[i] <= slot < STARTS[i] + (1 << BITS[i])
@@ -78,7 +79,7 @@ def test_probabilities_of_all_next_bytes_add_up(trained):
     _, _, model = trained
     rng = np.random.default_rng(1)
     for _ in range(20):
-        before = rng.choice(np.frombuffer(b"an the\nxq\xc3\xa9", dtype=np.uint8), 6).tobytes()
+        before = rng.choice(np.frombuffer(b"an the\nxq\xc3\xa9", dtype=np.uint8), 5).tobytes()
         keys = np.array([int.from_bytes(before + bytes([b]), "little") for b in range(256)], dtype=np.uint64)
         assert math.isclose(np.exp(model.log_probabilities(keys)).sum(), 1, rel_tol=1e-6)
 
@@ -86,13 +87,13 @@ def test_probabilities_of_all_next_bytes_add_up(trained):
 def test_log_probability_is_that_of_the_rule_bit_by_bit(trained):
     docs, code, model = trained
     doc = docs[25][:200]
-    padded, total = b"\n" * 6 + doc, 0.0
+    padded, total = b"\n" * 5 + doc, 0.0
     for at, byte in enumerate(doc):
         for k in range(code.lengths[byte]):
             node, bit = int(code.nodes[k, byte]), int(code.bits[k, byte])
             odds, met = [], []
             for i, order in enumerate(ORDERS):
-                context = np.array([int.from_bytes(padded[at + 6 - order : at + 6], "little")], dtype=np.uint64)
+                context = np.array([int.from_bytes(padded[at + 5 - order : at + 5], "little")], dtype=np.uint64)
                 slot = int(mixing.slots(context * mixing.ODD[i] + mixing.ODD[i + 5], np.array([node]), i)[0])
                 odds.append(float(model.odds[slot]))
                 met.append(int(model.met[slot]))
@@ -108,6 +109,45 @@ def test_log_probability_is_that_of_the_rule_bit_by_bit(trained):
     assert math.isclose(model.log_probabilities(keys).sum(), total, rel_tol=1e-4)
 
 
+@pytest.mark.parametrize("bits", [1, 4, 21])
+def test_times_count_every_key_whatever_has_to_go(monkeypatch, bits):
+    monkeypatch.setattr(mixing, "REMEMBERED", bits)
+    rng = np.random.default_rng(bits)
+    got: Counter = Counter()
+
+    def flush(keys, times):
+        for k, n in zip(keys.tolist(), times.tolist()):
+            got[k] += n
+
+    times, want = mixing.Times(flush), Counter()
+    for _ in range(20):
+        keys = rng.zipf(1.3, 500).astype(np.uint64)
+        want.update(keys.tolist())
+        times.add(keys)
+    times.close()
+    assert got == want
+
+
+def test_remembered_logs_are_the_computed_ones(trained, monkeypatch):
+    docs, code, model = trained
+    monkeypatch.setattr(mixing, "REMEMBERED", 6)
+    fresh = Model(code, model.odds, model.met, model.by_met, model.by_node, model.refined)
+    for keys, _ in mixing.grouped(docs[:6], 1000):
+        assert (fresh.remembered_logs(keys) == model.log_probabilities(keys)).all()
+
+
+def test_token_hashes_tell_tokens_apart():
+    long = [b"a" * n for n in range(1, 30)] + [b"b" * 255, b"b" * 256, b"b" * 257, b"b" * 1000, b"x\0", b"x", b"x\0\0"]
+    docs = [b" ".join([*long, b"\n"]), b"\n", b"x \n", b" ".join([*long[::-1], b"\n"])]
+    hashes, lengths = mixing.token_hashes(docs)
+    assert lengths.tolist() == [len(long) + 1, 1, 2, len(long) + 1]
+    first, last = hashes[: len(long)], hashes[-len(long) - 1 : -1]
+    assert len(set(hashes.tolist())) == len(long) + 1
+    assert (first == last[::-1]).all()
+    assert hashes[len(long)] == hashes[len(long) + 1] == mixing.END
+    assert mixing.token_hashes([])[0].size == 0
+
+
 def test_weights_learned_online_beat_those_at_the_start(trained):
     docs, code, model = trained
     start = Model(code, model.odds, model.met)
