@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.schemas import CASE, CASE_PART, MESSAGES
+from corpusloom.sources.ranges import json_elements, numbered
 
 SMOKE_PROMPTS = ("Say hello.", "사과는 무슨 색인가요?", "Write a poem of two lines.")
 SMOKE_CONVERSATIONS = [
@@ -34,20 +34,14 @@ def read_cases(spark: SparkSession, path: str, layout: str = "lines") -> DataFra
     'lines': JSON Lines of {"test_case": n, "part": k, "messages": [...]}, split like any text
     file; a line without a part is a whole case.
     'array': one JSON array of message arrays per file, numbered from 1 over the files in the
-    order of their names. Such a file is one record, so it is meant for hand-written suites.
+    order of their names. A file of any size is as many tasks as it has byte ranges (`sources.ranges`);
+    it is read, and its elements written once, before this returns.
     """
     if layout == "lines":
         lines = spark.read.schema(CASE_PART).json(path, mode="FAILFAST")
         return lines.withColumn("part", F.coalesce("part", F.lit(0).cast("bigint")))
     if layout != "array":
         raise ValueError(f"layout must be 'lines' or 'array', not {layout!r}")
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.from_json("value", f"array<{MESSAGES.simpleString()}>", {"mode": "FAILFAST"}).alias("_suite"),
-    )
-    # One row per file: the sizes of the files before give the first number of each.
-    before = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
-    sizes = files.select("_file", F.size("_suite").alias("_size"))
-    firsts = sizes.select("_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_first"))
-    cases = files.select("_file", F.posexplode("_suite").alias("_pos", "messages")).join(firsts, "_file")
-    return cases.select((F.col("_first") + F.col("_pos") + 1).cast("int").alias("test_case"), "messages")
+    elements = numbered(json_elements(spark, path), "_place")
+    messages = F.from_json("value", MESSAGES.simpleString(), {"mode": "FAILFAST"})
+    return elements.select((F.col("_place") + 1).cast("int").alias("test_case"), messages.alias("messages"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from corpusloom.schemas import CORPUS_SCHEMAS
+from corpusloom.sources.ranges import CSV, csv_rows, read_records
 
 FORMATS = ("parquet", "json", "csv", "orc")
 # How CSV files are written and read: quotes are doubled, blanks stay, and a null is a mark of private characters.
@@ -18,6 +19,9 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "nullValue": CSV_NULL,
 }
+# With one of these, quotes or lines are others than the range reader knows: a file is one task then.
+CSV_OWN_RULES = {"multiLine", "quote", "escape", "charToEscapeQuoteEscaping", "comment", "lineSep", "encoding", "charset"}
+FILE_OPTIONS = {"pathGlobFilter", "recursiveFileLookup", "modifiedBefore", "modifiedAfter"}
 SPLIT_NAMES = ("train", "validation", "test")
 
 
@@ -37,12 +41,15 @@ def read_corpus(
     Splits are partition directories (`split=train/`) or, with splits="file", file names that
     start with a split name (`test-00000-of-00002.parquet`). Everything else counts as
     `default_split`. Files of other splits are not read. Broken JSON and CSV rows with too few or
-    too many fields fail. CSV texts may hold line breaks, so a CSV file is one task: JSON and
-    Parquet split, and multiLine="false" does where texts hold none.
+    too many fields fail. CSV texts may hold line breaks, and a file is many tasks nevertheless: its
+    byte ranges are read twice (`sources.ranges`), once before this returns. Options that change
+    quotes or lines read each file in one task, but for multiLine="false", where texts hold no breaks.
     """
     if format not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {format!r}")
     schema = CORPUS_SCHEMAS[layout] if isinstance(layout, str) else layout
+    if format == "csv" and not CSV_OWN_RULES & options.keys():
+        return _read_csv_ranges(spark, path, schema, split, default_split, splits, options)
     if format == "csv":
         options = {**CSV_OPTIONS, "multiLine": "true", "mode": "FAILFAST", **options}
     elif format == "json":
@@ -57,16 +64,34 @@ def read_corpus(
             found = F.col("split")
     elif splits == "file":
         df = reader.schema(schema).load(path)
-        names = "|".join(SPLIT_NAMES)
-        found = F.nullif(
-            F.regexp_extract(F.col("_metadata.file_name"), rf"^({names})\b", 1), F.lit("")
-        )
+        found = _split_of_name(F.col("_metadata.file_name"))
     else:
         raise ValueError(f"splits must be 'directory' or 'file', not {splits!r}")
     df = df.withColumn("split", F.coalesce(found, F.lit(default_split)))
     return df if split is None else select_split(df, split)
 
 
+def _split_of_name(name: Column) -> Column:
+    return F.nullif(F.regexp_extract(name, rf"^({'|'.join(SPLIT_NAMES)})\b", 1), F.lit(""))
+
+
+def _read_csv_ranges(
+    spark: SparkSession, path: str, schema: StructType, split: str | None, default_split: str, splits: str, options: dict[str, str]
+) -> DataFrame:
+    """The same for CSV, range by range."""
+    if splits not in ("directory", "file"):
+        raise ValueError(f"splits must be 'directory' or 'file', not {splits!r}")
+    files = {k: v for k, v in options.items() if k in FILE_OPTIONS}
+    named = splits == "directory" and "split" in spark.read.options(**files).text(path).columns
+    records = read_records(spark, path, CSV, "split" if named else None, **files)
+    found = F.col("split") if named else F.lit(None).cast("string") if splits == "directory" else _split_of_name(F.element_at(F.split("file", "/"), -1))
+    records = records.withColumn("split", F.coalesce(found, F.lit(default_split)))
+    if split is not None:
+        records = records.where(F.col("split") == split)
+    rows = csv_rows(records.drop("file"), schema, {**CSV_OPTIONS, "mode": "FAILFAST", **options})
+    return rows if split is None else rows.drop("split")
+
+
 def select_split(df: DataFrame, split: str = "train") -> DataFrame:
     """Rows of one split, without the split column. Prunes directories on a partitioned table."""
     return df.where(F.col("split") == split).drop("split")
