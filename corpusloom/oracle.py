@@ -5,6 +5,8 @@ Every statement reads whole tables and whole texts.
 
 from __future__ import annotations
 
+import hashlib
+
 # Fixed values, spelled out here once more: white space that makes a text blank, and the metric patterns.
 UNICODE_SPACE = r"\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 NUMBER = "([-+]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][-+]?[0-9]+)?)"
@@ -227,6 +229,40 @@ _INSTRUCTION = f"""SELECT split, output, md5(instruction) AS instruction, input,
   md5({frame('(' + _PADDED_PROMPT + ')', 'output')}) AS text FROM padded"""
 _RESULTS = with_(CASES) + f"SELECT test_case, input, {RESPONSE} AS response FROM cases"
 
+def permuted_plan(table: str, key: str, seed: int, epochs: int, per_batch: int, accumulation: int, ranks: int) -> list[str]:
+    """(key, number, epoch, step, accum, rank, slot): rows by key, numbered, at the places that a Feistel network gives them."""
+    two64 = "CAST(18446744073709551616 AS UHUGEINT)"
+    first, second = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+    keys = ", ".join(
+        "(" + ", ".join([str(e), *(str(int(hashlib.md5(f"{seed}-{e}-{k}".encode()).hexdigest()[:16], 16)) + "::UBIGINT" for k in range(6))]) + ")" for e in range(epochs)
+    )
+
+    def once(x: str, source: str) -> str:
+        made = f"SELECT n, a, b, k0, k1, k2, k3, k4, k5, epoch, p, {x} // b AS l, {x} % b AS r FROM {source} JOIN keys USING (epoch) CROSS JOIN grid"
+        for k in range(6):
+            half, size, new = ("r", "a", "l") if k % 2 == 0 else ("l", "b", "r")
+            t = f"CAST((CAST({half} AS UHUGEINT) + k{k}) % {two64} * {first}::UBIGINT % {two64} AS UBIGINT)"
+            u = f"CAST(CAST(xor(t, t >> 32) AS UHUGEINT) * {second}::UBIGINT % {two64} AS UBIGINT)"
+            made = f"SELECT * REPLACE (CAST(({new} + (({u} >> 33) % {size})) % {size} AS BIGINT) AS {new}) FROM (SELECT *, {t} AS t FROM ({made}))"
+            made = f"SELECT * EXCLUDE (t) FROM ({made})"
+        return f"SELECT epoch, p, l * b + r AS x FROM ({made})"
+
+    return [
+        f"sides AS (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM {table})",
+        "grid AS (SELECT n, a, (n + a - 1) // a AS b FROM sides)",
+        f"keys(epoch, k0, k1, k2, k3, k4, k5) AS (VALUES {keys})",
+        f"places AS (SELECT epoch, p, p AS x FROM (SELECT unnest(range(n)) AS p FROM sides), (SELECT unnest(range({epochs})) AS epoch))",
+        f"walk AS ({once('x', 'places')} UNION ALL {once('x', '(SELECT walk.* FROM walk WHERE x >= (SELECT n FROM sides))')})",
+        f"numbers AS (SELECT {key}, row_number() OVER (ORDER BY {key}) - 1 AS x FROM {table})",
+        f"batches AS (SELECT {key}, x AS number, epoch, p % {per_batch} AS slot, p // {per_batch} AS batch, (n + {per_batch * accumulation * ranks} - 1) // {per_batch * accumulation * ranks} AS steps "
+        f"FROM walk JOIN numbers USING (x), sides)",
+        f"plan AS (SELECT {key}, number, CAST(epoch AS INTEGER) AS epoch, CAST(epoch * steps + batch // {ranks} // {accumulation} AS BIGINT) AS step, CAST(batch // {ranks} % {accumulation} AS INTEGER) AS accum, "
+        f"CAST(batch % {ranks} AS INTEGER) AS rank, CAST(slot AS INTEGER) AS slot, {epochs} * steps // 2 AS half FROM batches)",
+    ]
+
+
+_PERMUTED = "WITH RECURSIVE " + ", ".join(permuted_plan("documents", "doc_id", 7, 3, 4, 8, 8))
+
 ORACLE_SQL = {
     "render_prompt_response": with_(PAIRS) + R1,
     "render_instruction_input": with_(PAIRS, INPUTS) + R2,
@@ -330,6 +366,8 @@ ORACLE_SQL = {
     "batch_plan_epochs": with_(plan("documents", "doc_id", 7, "3", 0)) + "SELECT * FROM plan",
     "batch_plan_summary": with_(STEP_PLAN)
     + "SELECT step, rank, count(*) AS examples FROM plan GROUP BY step, rank",
+    "batch_plan_permuted": _PERMUTED + " SELECT * EXCLUDE (half) FROM plan",
+    "batch_plan_resumed": _PERMUTED + " SELECT * EXCLUDE (half, number) FROM plan WHERE step >= half",
     "shard_export": with_(
         PAIRS,
         f"rendered AS (SELECT conv_id || '-' || turn AS example, text FROM ({R1}))",
@@ -358,8 +396,11 @@ ORACLE_SQL = {
     "corpus_json_instruction": with_(PAIRS, INPUTS, _PADDED) + _INSTRUCTION,
     "corpus_system_user": with_(PAIRS)
     + f"SELECT CASE WHEN conv_id % 2 = 0 THEN 'train' ELSE 'validation' END AS split, text FROM ({R3})",
-    "split_by_file_name": "SELECT 'train' AS split, source AS prompt, md5(text) AS response FROM documents",
+    "split_by_file_name": "SELECT CASE lang WHEN 'de' THEN 'test' WHEN 'fr' THEN 'validation' ELSE 'train' END AS split, source AS prompt, md5(text) AS response FROM documents",
+    "corpus_columns": """SELECT 'prompt' AS "column", count(source) AS "rows", CAST(sum(length(source)) AS BIGINT) AS chars FROM documents
+  UNION ALL SELECT 'response', count(text), CAST(sum(length(text)) AS BIGINT) FROM documents""",
     "map_batches": with_(PAIRS) + R1,
+    "map_batches_spread": with_(PAIRS) + f"SELECT conv_id, turn, md5(text) AS text, CAST(12 AS BIGINT) AS tasks FROM ({R1})",
     "corpus_parquet": _SPLIT,
     "corpus_json": _SPLIT,
     "corpus_csv": _SPLIT,

@@ -43,6 +43,7 @@ from corpusloom.operators.responses import (
 )
 from corpusloom.plans.batch_plan import BatchShape, batch_plan, plan_summary
 from corpusloom.plans.numbering import number_keys
+from corpusloom.plans.permuted import plan_rows, resume, total_steps
 from corpusloom.plans.shards import export_shards, read_shard
 from corpusloom.schemas import COMPAT_VOCAB, DEFAULT_MAX_LENGTH, RESULT
 from corpusloom.sinks.scratch import scratch_path
@@ -54,8 +55,9 @@ from corpusloom.sinks.writers import (
     write_summary,
 )
 from corpusloom.sources.cases import read_cases
-from corpusloom.sources.corpora import read_corpus
+from corpusloom.sources.corpora import corpus_columns, read_corpus
 from corpusloom.sources.logs import read_logs
+from corpusloom.sources.spread import spread
 from corpusloom.streaming.loss_metrics import extract_metrics, start_metric_stream
 
 STEP_SHAPE = BatchShape(micro_batch=4, accumulation=8, world_size=8, max_steps=10)
@@ -436,6 +438,21 @@ def q_batch_plan_summary(spark, sf_dir):
     return plan_summary(batch_plan(table(spark, sf_dir, "documents"), "doc_id", STEP_SHAPE))
 
 
+def q_batch_plan_permuted(spark, sf_dir):
+    """All epochs by a keyed permutation of row numbers: rows get their places without a shuffle."""
+    numbers = number_keys(table(spark, sf_dir, "documents"), ["doc_id"], "number", start=0)
+    placed = plan_rows(numbers, "number", numbers.count(), EPOCH_SHAPE, seed=7)
+    return placed.withColumn("number", F.col("number").cast("bigint"))
+
+
+def q_batch_plan_resumed(spark, sf_dir):
+    """The second half of that plan, computed alone, with the ids of its rows."""
+    numbers = number_keys(table(spark, sf_dir, "documents"), ["doc_id"], "number", start=0)
+    n = numbers.count()
+    rest = resume(spark, n, EPOCH_SHAPE, total_steps(EPOCH_SHAPE, n) // 2, seed=7)
+    return rest.join(numbers, "number").select("doc_id", "epoch", "step", "accum", "rank", "slot")
+
+
 def q_shard_export(spark, sf_dir):
     """Closed sequences exported per rank and read back."""
     pairs = prompt_response_corpus(spark, sf_dir).withColumn("example", F.concat_ws("-", *KEY))
@@ -551,6 +568,14 @@ def q_map_batches(spark, sf_dir):
     )
 
 
+def q_map_batches_spread(spark, sf_dir):
+    """The same over 12 tasks, however few the source has, and the number of tasks it ran in."""
+    pairs = spread(prompt_response_corpus(spark, sf_dir), 3)
+    made = map_batches(pairs, _frame_batch, "text string", keep=KEY, columns=["prompt", "response"], partitions=12)
+    tasks = F.lit(made.rdd.getNumPartitions()).cast("bigint").alias("tasks")
+    return made.select(*KEY, F.md5("text").alias("text"), tasks)
+
+
 # Corpora on disk
 
 
@@ -624,14 +649,39 @@ def q_corpus_system_user(spark, sf_dir):
     return back.select("split", render_system_user().alias("text"))
 
 
+def _named_files(corpus: DataFrame, name: Column, path: str) -> None:
+    """One flat folder of Parquet files whose names start with ``name``, as hub corpora have them."""
+    apart = f"{path}-apart"
+    corpus.withColumn("name", name).write.partitionBy("name").parquet(apart)
+    spark = corpus.sparkSession
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = paths(apart).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(paths(path))
+    for folder in files.listStatus(paths(apart)):  # one for each name
+        of = folder.getPath()
+        if folder.isDirectory():
+            for k, file in enumerate(f for f in files.listStatus(of) if f.getPath().getName().startswith("part-")):
+                files.rename(file.getPath(), paths(f"{path}/{of.getName().split('=')[1]}-{k:05d}.parquet"))
+
+
 def q_split_by_file_name(spark, sf_dir):
-    """Splits named by files: the Parquet files of the tables folder that start with a split name, else train."""
+    """Splits named by files: `test-*` and `validation-*` are theirs, every other name is the training split's."""
     path = scratch_path(spark, "corpus-files")
-    corpus = table(spark, sf_dir, "documents").select(F.col("source").alias("prompt"), F.md5("text").alias("response"))
-    corpus.write.parquet(path)
+    docs = table(spark, sf_dir, "documents")
+    names = F.when(F.col("lang") == "en", "train").when(F.col("lang") == "de", "test").when(F.col("lang") == "fr", "validation").otherwise("other")
+    _named_files(docs.select("lang", F.col("source").alias("prompt"), F.md5("text").alias("response")), names, path)
     return read_corpus(spark, path, "prompt_response", splits="file").select("split", "prompt", "response")
 
 
+def q_corpus_columns(spark, sf_dir):
+    """The source columns of a corpus on disk, with the rows and the characters that each holds."""
+    corpus = read_corpus(spark, _document_corpus(spark, sf_dir, "parquet"), "prompt_response")
+    held = [
+        F.struct(F.lit(c).alias("column"), F.count(c).alias("rows"), F.sum(F.length(c)).cast("bigint").alias("chars")) for c in corpus_columns(corpus)
+    ]
+    return corpus.agg(F.array(*held).alias("held")).select(F.inline("held"))
+
+
 def q_split_selection(spark, sf_dir):
     path = _document_corpus(spark, sf_dir, "parquet")
     chosen = read_corpus(spark, path, "prompt_response", split="en")
