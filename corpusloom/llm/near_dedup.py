@@ -2,9 +2,9 @@
 
 1. One pass over the texts gives, for each document, a hash of its set of word shingles, the minima of
    128 hash functions as packed low bytes, and a key for each band of the full minima. Documents with
-   equal sets form a class, whose smallest id stands for it from there on.
-2. Classes that share a band key are compared by their packed bytes: the share of equal bytes,
-   corrected for chance collisions, estimates the similarity. The limit lies five standard errors below
+   equal sets form a class, which has a number of its own from there on.
+2. Classes that share a band key are compared by their packed signatures: exclusive or and bit counts give the
+   lanes that differ, and the share of equal ones, corrected for chance collisions, estimates the similarity. The limit lies five standard errors below
    the threshold. Of a bucket only the links of a spanning forest go on, never all pairs.
 3. The components of these links are candidate groups. Their full sets are compared group by group,
    and links that the full sets confirm give the components of the result.
@@ -15,7 +15,8 @@ fewer than one pair in a million, and the estimate as well.
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z as a-z. A text with fewer words than a shingle has one
 shingle of all its words; a null text and one without words have none, and link with nothing. Rows
 without an id get a component only through equal texts that have one. Rows that repeat an id with
-another text keep the classes of their texts. Texts are read whole; an empty table gives an empty table.
+another text keep the classes of their texts, which an id never links; a component is named by its smallest id, so
+two may have one name. Texts are read whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import worker_cache
@@ -35,6 +36,7 @@ from corpusloom.llm.components import components
 from corpusloom.llm.words import mix, shingle_set, word_hashes
 
 HASHES = 128
+LANES = np.uint64(0x0101010101010101)
 CHUNK = 1024
 SIGNATURE_BLOCK = 512  # classes of a bucket in a block
 SET_BLOCK = 256  # classes of a group in a block
@@ -86,7 +88,7 @@ def _sign(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBat
             band_keys.append(key.astype(np.int64))
         yield pa.RecordBatch.from_pydict(
             {
-                "doc_id": batch.column("doc_id"),
+                **{c: batch.column(c) for c in ("doc_id", "t1", "t2")},
                 "key": pa.array(keys, pa.binary()),
                 "n": pa.array(sizes, pa.int64()),
                 "signature": pa.array(signatures, pa.binary()),
@@ -137,10 +139,13 @@ def _edges(batches: Iterable[pa.RecordBatch], keys: list[str], compare) -> Itera
 
 def estimates(group: pa.Table) -> np.ndarray:
     """Collision-corrected similarity of all pairs of packed signatures."""
-    packed = np.frombuffer(b"".join(group.column("signature").to_pylist()), dtype=np.uint8).reshape(group.num_rows, HASHES)
+    packed = np.frombuffer(b"".join(group.column("signature").to_pylist()), dtype=np.uint64).reshape(group.num_rows, HASHES // 8)
     equal = np.empty((len(packed), len(packed)), dtype=np.int16)
     for i, row in enumerate(packed):
-        equal[i] = (packed == row).sum(axis=1)
+        differ = packed ^ row
+        for shift in (4, 2, 1):  # any bit of a lane of eight to its lowest one
+            differ |= differ >> np.uint64(shift)
+        equal[i] = HASHES - np.bitwise_count(differ & LANES).sum(axis=1)
     chance = 1 / 256
     return (equal / HASHES - chance) / (1 - chance)
 
@@ -190,11 +195,8 @@ def _grouped(rows: DataFrame, keys: list[str], compare) -> DataFrame:
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in in_pieces(batches, 512):
         found = [shingle_set(word_hashes(t or b"")).tobytes() for t in texts(batch.column("text"))]
-        same = [xxhash.xxh3_128_digest(s) == k for s, k in zip(found, batch.column("key").to_pylist())]
-        out = pa.RecordBatch.from_pydict(
-            {"node": batch.column("doc_id"), "group": batch.column("group"), "n": batch.column("n"), "shingles": pa.array(found, pa.large_binary()).cast(pa.binary())}
-        )
-        yield out.filter(pa.array(same))
+        columns = {c: batch.column(c) for c in ("node", "group", "n")}
+        yield pa.RecordBatch.from_pydict({**columns, "shingles": pa.array(found, pa.large_binary()).cast(pa.binary())})
 
 
 def sized(ids: DataFrame) -> DataFrame:
@@ -202,44 +204,76 @@ def sized(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def near_duplicates(df: DataFrame, percent: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): documents whose sets have a Jaccard similarity of ``percent`` or more are linked."""
-    docs = df.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+def _decided(df: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, t1, t2, n, component_id, first) of all rows: t1 and t2 are hashes of the text, first is said of one of them in each component."""
+    texts_ = F.col(f"`{text}`")
+    docs = df.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), texts_.alias("text"), *_text_hashes(texts_))
     rows = band_rows(percent)
     limit = percent / 100 - 5 * math.sqrt(percent / 100 * (1 - percent / 100) / HASHES)
-    signed = staged(
-        docs.mapInArrow(lambda batches: _sign(batches, rows), "doc_id bigint, key binary, n bigint, signature binary, bands array<bigint>"), "signed"
-    )
-    classes = signed.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("node"))
-    classes = staged(classes.where("node IS NOT NULL"), "classes")
-    owners = classes.select("key", F.col("node").alias("doc_id"))
-    reps = signed.where("key IS NOT NULL").join(owners, ["key", "doc_id"]).withColumnRenamed("doc_id", "node")
-    reps = staged(reps.dropDuplicates(["key", "node"]), "representatives")
+    columns = "doc_id bigint, t1 bigint, t2 bigint, key binary, n bigint, signature binary, bands array<bigint>"
+    signed = staged(docs.mapInArrow(lambda batches: _sign(batches, rows), columns), "signed")
+    # Rows of a class have one set, so any of them has its signature; its first row is the one with the smallest id.
+    of_class = signed.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key")
+    classes = of_class.agg(F.min(F.struct("doc_id", "t1", "t2")).alias("first"), *(F.first(c).alias(c) for c in ("n", "signature", "bands")))
+    classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     # Buckets with more than one class, their members with packed bytes, and candidate links.
-    bands = reps.select("node", F.explode("bands").alias("band"))
+    bands = classes.select("node", F.explode("bands").alias("band"))
     buckets = bands.groupBy("band").agg(F.count("*").alias("m")).where("m > 1")
-    members = bands.join(buckets, "band").join(reps.select("node", "signature"), "node")
+    members = bands.join(buckets, "band").join(classes.select("node", "signature"), "node")
     members = _blocks(members, F.ceil(F.col("m") / SIGNATURE_BLOCK).cast("bigint"))
     members = members.select("band", "lo", "hi", "block", "node", "signature")
     candidates = staged(_grouped(members, ["band", "lo", "hi"], lambda g: estimates(g) >= limit), "candidates")
     groups = components(candidates).select("node", F.col("component").alias("group"))
 
     # The full sets of the classes in groups, and the links that they confirm.
-    inside = staged(groups.join(reps.select("node", "key", "n"), "node"), "groups")
-    ids = inside.withColumnRenamed("node", "doc_id")
-    found = docs.join(sized(ids), "doc_id")
-    sets = found.select("doc_id", "group", "n", "key", "text").mapInArrow(_sets, "node bigint, group bigint, n bigint, shingles binary")
+    inside = staged(groups.join(classes.select("node", "first", "n"), "node"), "groups")
+    found = docs.join(sized(inside.select("node", "group", "n", "first.*")), ["doc_id", "t1", "t2"])
+    sets = found.select("node", "group", "n", "text").mapInArrow(_sets, "node bigint, group bigint, n bigint, shingles binary")
     weights = inside.groupBy("group").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
     blocks = F.greatest(F.ceil(F.col("m") / SET_BLOCK), F.ceil(F.col("w") / SET_BLOCK_SHINGLES)).cast("bigint")
     sets = _blocks(sets.join(weights, "group"), blocks).select("group", "lo", "hi", "block", "node", "shingles")
     links = staged(_grouped(sets, ["group", "lo", "hi"], lambda g: similar(g, percent)), "confirmed")
     linked = components(links)
 
-    named = classes.join(linked, "node", "left").select("key", F.coalesce("component", "node").alias("component_id"))
-    out = signed.select("doc_id", "key", "n").join(named, "key", "left")
-    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    named = classes.select("key", "node", "first").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    firsts = named.groupBy("component").agg(F.min("first").alias("of_all"))
+    named = named.join(firsts, "component").select("key", "of_all")
+    out = signed.select("doc_id", "t1", "t2", "key", "n").join(named, "key", "left")
+    first = F.struct("doc_id", "t1", "t2") == F.col("of_all")
+    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("of_all.doc_id"))
+    return out.select("doc_id", "t1", "t2", "n", component.alias("component_id"), (F.col("key").isNull() | F.coalesce(first, F.lit(False))).alias("first"))
+
+
+def _text_hashes(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
+
+
+def near_duplicates(df: DataFrame, percent: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept): documents whose sets have a Jaccard similarity of ``percent`` or more are linked."""
+    out = _decided(df, percent, doc_id, text)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_duplicates(df: DataFrame, percent: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` without near copies: of each component one row with its smallest id stays.
+
+    Rows without an id or without words stay. A row goes by its id and its text, so other rows of its id stay.
+    """
+    decided = staged(_decided(df, percent, doc_id, text).where("doc_id IS NOT NULL"), "near_copies")
+    names = ["_near_id", "_near_t1", "_near_t2"]
+
+    def keys(rows: DataFrame) -> DataFrame:
+        return sized(rows.select(*(F.col(c).alias(n) for c, n in zip(("doc_id", "t1", "t2"), names))))
+
+    copies = keys(decided.where("NOT first").select("doc_id", "t1", "t2").distinct())
+    repeated = keys(decided.where("first AND n > 0").groupBy("doc_id", "t1", "t2").agg(F.count("*").alias("m")).where("m > 1"))
+    given = [F.col(f"`{c}`") for c in df.columns]
+    hashes = [h.alias(n) for h, n in zip(_text_hashes(F.col(f"`{text}`")), names[1:])]
+    rows = df.select(F.struct(*given).alias("row"), F.col(f"`{doc_id}`").cast("bigint").alias(names[0]), *hashes)
+    kept = rows.join(copies, names, "left_anti")
+    once = kept.join(repeated, names, "left_semi").dropDuplicates(names)
+    return kept.join(repeated, names, "left_anti").unionByName(once).select("row.*")
 
 
 def op3_near_dedup(spark, sf_dir: str) -> DataFrame:
@@ -256,15 +290,16 @@ WITH RECURSIVE words AS (
 sets AS (
   SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
     ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s FROM words),
-classes AS (SELECT s, min(doc_id) AS node, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+classes AS (SELECT s, row_number() OVER () AS node, least, len(s) AS n
+  FROM (SELECT s, min(doc_id) AS least FROM sets WHERE len(s) > 0 AND doc_id IS NOT NULL GROUP BY s)),
 tokens AS (SELECT node, n, unnest(s) AS t FROM classes),
 pairs AS (SELECT a.node AS a, b.node AS b FROM tokens a JOIN tokens b ON a.t = b.t AND a.node < b.node
   GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
 links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
 reach AS (SELECT node AS a, node AS b FROM classes UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
-named AS (SELECT a AS node, min(b) AS component_id FROM reach GROUP BY a)
-SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
-  doc_id = coalesce(component_id, doc_id) AS kept
+named AS (SELECT a AS node, min(least) AS component_id FROM reach JOIN classes ON b = node GROUP BY a)
+SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, CASE WHEN len(sets.s) = 0 THEN doc_id ELSE component_id END AS component_id,
+  doc_id IS NOT DISTINCT FROM (CASE WHEN len(sets.s) = 0 THEN doc_id ELSE component_id END) AS kept
 FROM sets LEFT JOIN classes ON sets.s = classes.s LEFT JOIN named USING (node)"""
 
 

@@ -86,6 +86,56 @@ def test_null_ids_repeated_rows_and_empty_tables(spark):
     assert near_dedup.near_duplicates(empty, 85).collect() == []
 
 
+def test_an_id_never_links_texts(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    schema = "doc_id bigint, text string, row string"
+    kept = near_dedup.drop_near_duplicates(spark.createDataFrame([(1, a, "x"), (5, a, "y"), (5, b, "z")], schema), 80)
+    assert sorted(map(tuple, kept.collect())) == [(1, a, "x"), (5, b, "z")]
+    assert kept.columns == ["doc_id", "text", "row"]
+    rows = [(5, a), (5, b), (7, a), (8, b), (9, b + " end")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(map(tuple, near_dedup.drop_near_duplicates(df, 80).collect()))
+    assert kept == sorted([(5, a), (5, b)])
+    # 7 and 8 share nothing: both components happen to have 5 as their smallest id.
+    found = {(r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(df, 80).collect()}
+    assert found == {(5, 5, True), (7, 5, False), (8, 5, False), (9, 5, False)}
+
+
+def test_one_row_of_each_group_stays(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(5, text), (5, text), (5, text + " x"), (None, text), (None, text), (7, text + " more"), (8, None), (8, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(map(str, near_dedup.drop_near_duplicates(df, 80).collect()))
+    assert len([r for r in kept if "doc_id=5" in r]) == 1
+    assert len(kept) == 1 + 2 + 2 + 1
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs at a similarity just above the threshold are all found."""
+    r = random.Random(11)
+    rows = []
+    for k in range(150):
+        words = [f"p{k}w{i}" for i in range(204)]  # 200 shingles
+        other = [*words]
+        at = r.randrange(20, 180)
+        for i in range(at, at + 12):  # 16 shingles differ: 184 / 216 = 0.852
+            other[i] = f"p{k}other{i}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 85).collect()
+    assert sum(not x["kept"] for x in got) == 150
+
+
+def test_bit_counts_of_lanes():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    signatures = rng.integers(0, 3, (20, near_dedup.HASHES)).astype(np.uint8)
+    group = pa.table({"signature": pa.array([s.tobytes() for s in signatures], pa.binary())})
+    equal = (signatures[:, None] == signatures[None]).sum(axis=2)
+    assert np.allclose(near_dedup.estimates(group), (equal / near_dedup.HASHES - 1 / 256) / (1 - 1 / 256))
+
+
 def test_components_of_paths_and_stars(spark):
     path = [(i, i + 1) for i in range(40)]
     star = [(1000, 1000 + i) for i in range(1, 30)]
