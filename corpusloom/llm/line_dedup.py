@@ -1,14 +1,10 @@
 """Removal of lines that many sites share, found by HyperLogLog sketches.
 
 A line is what stands between line breaks, without white space around it; blank lines are never
-removed. Each different text votes for one site (the smallest source of its copies), so copies of one
-document don't make its lines common. A sketch of the sites of each line hash is merged by
-aggregation; lines whose estimate is near the threshold get an exact count. Lines with ``min_sites``
-sites or more are boilerplate. With ``all_sites``, as in the pipeline, every row votes for its site, and
-a second sketch demands as many different texts, for which copies of one document count once. They go from every text in which they make up at most half of the
-characters of its lines; a text of which they are the larger part is a copy as a whole and is left to
-document deduplication. Without a ``max_share``, as in the pipeline, they go from every text, and one of
-such lines alone becomes empty.
+removed. For each line hash, one sketch of the sites of all rows that hold it and one of their different texts are
+merged by aggregation; lines whose smaller estimate is near the threshold get exact counts. Lines with ``min_sites``
+sites and as many different texts are boilerplate: copies of a few documents on many sites don't make their lines
+common. Boilerplate goes from every text, whatever its share of it; a text of such lines alone becomes empty.
 
 A null text stays null and an empty one empty; a null site is no site; repeated rows get equal
 results; an empty table gives an empty table. All columns are kept; ``n_lines_removed`` is replaced.
@@ -16,28 +12,29 @@ results; an empty table gives an empty table. All columns are kept; ``n_lines_re
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from corpusloom.llm.common import staged, table
+from corpusloom.llm.common import in_pieces, staged, table
 
 MIN_SITES = 10
 LG_K = 12
 MARGIN = 0.05  # three standard errors of a sketch with 2**12 registers
-MAX_SHARE = 0.5
+#: Lines that are sent to all tasks; more than that are joined.
+BROADCAST_LINES = 500_000
 
 
-def _strip(line: Column) -> Column:
-    return F.btrim(line, F.lit(" \t\r\x0b\x0c"))
+#: White space around a line, and the seed of Spark's xxhash64.
+BLANKS, HASH_SEED = " \t\r\x0b\x0c", 42
 
 
-def line_votes(df: DataFrame, text: str = "text", site: str = "source") -> DataFrame:
-    """(line, site): line hashes with the sites that vote for them, not yet distinct."""
-    base = df.select(F.xxhash64(F.col(f"`{text}`")).alias("t"), F.col(f"`{text}`").alias("x"), F.col(f"`{site}`").alias("s"))
-    votes = base.where("s IS NOT NULL").groupBy("t").agg(F.min("s").alias("site"))
-    stripped = F.transform(F.split("x", "\n"), _strip)
-    lines = base.select("t", F.explode(F.array_distinct(F.filter(stripped, lambda a: a != ""))).alias("a"))
-    return lines.select("t", F.xxhash64("a").alias("line")).join(votes, "t").select("line", "site")
+def _strip(line: Column) -> Column:
+    return F.btrim(line, F.lit(BLANKS))
 
 
 def line_sites(df: DataFrame, text: str = "text", site: str = "source") -> DataFrame:
@@ -48,11 +45,9 @@ def line_sites(df: DataFrame, text: str = "text", site: str = "source") -> DataF
     return base.where("site IS NOT NULL").select("t", "site", lines).select(F.xxhash64("a").alias("line"), "site", "t")
 
 
-def boilerplate(
-    df: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN, all_sites: bool = False
-) -> DataFrame:
-    """(line): hashes of lines with ``min_sites`` different sites or more; by ``all_sites``, and as many different texts."""
-    votes, counted = (line_sites(df, text, site), ["site", "t"]) if all_sites else (line_votes(df, text, site), ["site"])
+def boilerplate(df: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN) -> DataFrame:
+    """(line): hashes of lines with ``min_sites`` different sites or more, and as many different texts."""
+    votes, counted = line_sites(df, text, site), ["site", "t"]
     spread = votes.groupBy("line").agg(*(F.hll_sketch_agg(c, F.lit(LG_K)).alias(c) for c in counted))
     spread = spread.select("line", F.array_min(F.array(*(F.hll_sketch_estimate(c) for c in counted))).alias("sites"))
     spread = spread.where(F.col("sites") >= min_sites * (1 - margin))
@@ -64,59 +59,74 @@ def boilerplate(
     return staged(sure.unionByName(exact.where(F.col("n") >= min_sites).select("line")), "boilerplate_lines")
 
 
-def remove_lines(df: DataFrame, lines: DataFrame, text: str = "text", max_share: float | None = MAX_SHARE) -> DataFrame:
-    """``df`` with the lines gone from its texts, and ``n_lines_removed``; no ``max_share`` is no limit."""
+def cut(text: str, lines: set[int]) -> tuple[str, int]:
+    """A text without the lines of these hashes, and how many went."""
+    given = text.split("\n")
+    kept = [a for a in given if xxhash.xxh64_intdigest(a.strip(BLANKS).encode(), HASH_SEED) not in lines]
+    return ("\n".join(kept), len(given) - len(kept)) if len(kept) < len(given) else (text, 0)
+
+
+def remove_lines(df: DataFrame, lines: DataFrame, text: str = "text", most: int = BROADCAST_LINES) -> DataFrame:
+    """``df`` with the lines gone from its texts, and ``n_lines_removed``.
+
+    Up to ``most`` lines go to all tasks, and no text moves; more are joined with the lines of each text.
+    """
     given = [c for c in df.columns if c != "n_lines_removed"]
+    rows = df.select(*(F.col(f"`{c}`") for c in given))
+    if lines.count() > most:
+        return _remove_by_join(rows, lines, text)
+    known = {r["line"] % (1 << 64) for r in lines.collect()}
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_pieces(batches, 1024):
+            cuts = [(None, 0) if t is None else cut(t, known) for t in batch.column(text).to_pylist()]
+            columns = [batch.column(c) for c in given]
+            columns[given.index(text)] = pa.array([t for t, _ in cuts], batch.column(text).type)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([n for _, n in cuts], pa.int64())], names=[*given, "n_lines_removed"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema, StructField("n_lines_removed", LongType())]))
+
+
+def _remove_by_join(df: DataFrame, lines: DataFrame, text: str) -> DataFrame:
+    given = df.columns
     rows = df.select(F.struct(*(F.col(f"`{c}`") for c in given)).alias("row")).withColumn("t", F.xxhash64(F.col("row")[text]))
     of = F.split(F.col("row")[text], "\n")
     found = rows.select("t", F.explode(F.transform(of, lambda a: F.xxhash64(_strip(a)))).alias("line")).distinct()
     drops = found.join(lines, "line", "left_semi").groupBy("t").agg(F.collect_set("line").alias("drop"))
     out = rows.join(drops, "t", "left")
-    out = out.withColumn("marked", F.transform(of, lambda a: F.struct(a.alias("a"), F.length(_strip(a)).alias("n"), F.array_contains("drop", F.xxhash64(_strip(a))).alias("d"))))
-    size = F.aggregate("marked", F.lit(0).cast("bigint"), lambda s, m: s + m["n"])
-    gone = F.aggregate("marked", F.lit(0).cast("bigint"), lambda s, m: s + F.when(m["d"], m["n"]).otherwise(0))
+    kept = F.filter(of, lambda a: ~F.array_contains("drop", F.xxhash64(_strip(a))))
     common = F.col("drop").isNotNull()
-    out = out.withColumn("cut", common if max_share is None else common & (gone <= max_share * size))
-    kept = F.filter("marked", lambda m: ~m["d"])
-    new_text = F.when(F.col("cut"), F.array_join(F.transform(kept, lambda m: m["a"]), "\n")).otherwise(F.col("row")[text])
-    removed = F.when(F.col("cut"), F.size("marked") - F.size(kept)).otherwise(0).cast("bigint")
-    return out.select(
-        *((new_text if c == text else F.col("row")[c]).alias(c) for c in given), removed.alias("n_lines_removed")
-    )
+    new_text = F.when(common, F.array_join(kept, "\n")).otherwise(F.col("row")[text])
+    removed = F.when(common, F.size(of) - F.size(kept)).otherwise(0).cast("bigint")
+    return out.select(*((new_text if c == text else F.col("row")[c]).alias(c) for c in given), removed.alias("n_lines_removed"))
 
 
-def line_dedup(
-    df: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, max_share: float | None = MAX_SHARE, all_sites: bool = False
-) -> DataFrame:
-    return remove_lines(df, boilerplate(df, text, site, min_sites, all_sites=all_sites), text, max_share)
+def line_dedup(df: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+    return remove_lines(df, boilerplate(df, text, site, min_sites), text)
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """Every document without the lines that ten or more sites share."""
+    """Every document without the lines that ten or more sites, and as many texts, share."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_dedup(docs).select("doc_id", "text", F.length("text").cast("bigint").alias("n_chars"), "n_lines_removed")
 
 
 def line_dedup_sql(documents: str) -> str:
-    """The same in DuckDB SQL over a table with all columns of documents: its rows with text, n_chars and n_lines_removed."""
+    """The same in DuckDB SQL over a table with all columns of documents: its rows with text and n_lines_removed."""
     strip = "trim(a, chr(32) || chr(9) || chr(13) || chr(11) || chr(12))"
     return f"""
 SELECT doc_id, lang, source,
-  CASE WHEN cut THEN array_to_string(list_transform(list_filter(marked, lambda m: NOT m.d), lambda m: m.a), chr(10)) ELSE text END AS text,
-  CAST(CASE WHEN cut THEN len(list_filter(marked, lambda m: m.d)) ELSE 0 END AS BIGINT) AS n_lines_removed
+  CASE WHEN n > 0 THEN array_to_string(list_transform(list_filter(marked, lambda m: NOT m.d), lambda m: m.a), chr(10)) ELSE text END AS text,
+  CAST(n AS BIGINT) AS n_lines_removed
 FROM (
-  SELECT *, coalesce(list_sum(list_transform(list_filter(marked, lambda m: m.d), lambda m: m.n)), 0) > 0
-    AND 2 * list_sum(list_transform(list_filter(marked, lambda m: m.d), lambda m: m.n)) <= list_sum(list_transform(marked, lambda m: m.n)) AS cut
+  SELECT *, coalesce(len(list_filter(marked, lambda m: m.d)), 0) AS n
   FROM (
-    SELECT d.*, list_transform(string_split(text, chr(10)),
-      lambda a: {{'a': a, 'n': length({strip}), 'd': list_contains(b.lines, {strip})}}) AS marked
+    SELECT d.*, list_transform(string_split(text, chr(10)), lambda a: {{'a': a, 'd': list_contains(b.lines, {strip})}}) AS marked
     FROM {documents} d, (
       SELECT coalesce(list(line), []) AS lines FROM (
-        SELECT line FROM (
-          SELECT DISTINCT {strip} AS line, site FROM (
-            SELECT unnest(string_split(text, chr(10))) AS a, min(source) OVER (PARTITION BY text) AS site FROM {documents}
-          ) WHERE {strip} <> '' AND site IS NOT NULL
-        ) GROUP BY line HAVING count(*) >= {MIN_SITES}
+        SELECT {strip} AS line FROM (
+          SELECT unnest(string_split(text, chr(10))) AS a, source, text FROM {documents} WHERE source IS NOT NULL
+        ) WHERE {strip} <> '' GROUP BY line HAVING count(DISTINCT source) >= {MIN_SITES} AND count(DISTINCT text) >= {MIN_SITES}
       )
     ) b
   )

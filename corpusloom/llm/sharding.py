@@ -43,7 +43,7 @@ def draw(counts: np.ndarray, sizes: np.ndarray, seed: list[int]) -> np.ndarray:
 
 
 def _marginals(rng, left: np.ndarray, n: int) -> np.ndarray:
-    """numpy draws from fewer than 10**9 items at once; larger ones are halved at random places first."""
+    """One shard after the other, each from what the shards before it leave."""
     out = np.zeros(len(left), dtype=np.int64)
     rest = int(left.sum())
     for j, size in enumerate(left):
@@ -58,11 +58,23 @@ def _marginals(rng, left: np.ndarray, n: int) -> np.ndarray:
 def _hypergeometric(rng, good: int, bad: int, n: int) -> int:
     if good + bad < 1_000_000_000:
         return int(rng.hypergeometric(good, bad, n)) if good + bad else 0
-    # Beyond numpy's range: the normal law with the exact moments, within the exact limits.
+    return _by_weights(rng, good, bad, n)
+
+
+def _by_weights(rng, good: int, bad: int, n: int) -> int:
+    """The same law beyond numpy's range: by the quotients of neighbouring probabilities, summed up around the mode.
+
+    What lies more than twelve deviations from it is less likely than the last digit of a random number.
+    """
     total = good + bad
-    mean = n * good / total
-    deviation = math.sqrt(mean * (bad / total) * (total - n) / max(1, total - 1))
-    return int(min(max(round(rng.normal(mean, deviation)), n - bad, 0), good, n))
+    low, high = max(0, n - bad), min(n, good)
+    mode = (n + 1) * (good + 1) // (total + 2)
+    reach = 50 + math.ceil(12 * math.sqrt(n * (good / total) * (bad / total)))
+    k = np.arange(max(low, mode - reach), min(high, mode + reach) + 1, dtype=np.float64)
+    steps = np.log((good - k[:-1]) * (n - k[:-1])) - np.log((k[:-1] + 1) * (bad - n + k[:-1] + 1))
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    weights = np.cumsum(np.exp(logs - logs.max()))
+    return int(k[min(int(np.searchsorted(weights, rng.random() * weights[-1], side="right")), len(k) - 1)])
 
 
 def communication_matrix(counts: DataFrame, shards: int, seed: int) -> DataFrame:

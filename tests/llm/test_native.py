@@ -97,6 +97,26 @@ def test_shards_have_exact_sizes_and_gapless_slots(spark):
     assert sorted(sharding.shard(df.limit(3), 8).columns) == ["doc_id", "shard", "slot", "text"]
 
 
+def test_large_draws_follow_the_law():
+    rng = np.random.Generator(np.random.PCG64(3))
+    good, bad, n = 3 * 10**9, 10**10, 1000
+    drawn = np.array([sharding._hypergeometric(rng, good, bad, n) for _ in range(20_000)])
+    p = good / (good + bad)
+    assert abs(drawn.mean() - n * p) < 0.5
+    assert abs(drawn.var() / (n * p * (1 - p)) - 1) < 0.05
+    assert abs(((drawn - drawn.mean()) ** 3).mean() / drawn.std() ** 3 - (1 - 2 * p) / np.sqrt(n * p * (1 - p))) < 0.08
+    # Few of many: the normal law would be far off.
+    few = np.array([sharding._hypergeometric(rng, 10**9, 10**12, 900) for _ in range(20_000)])
+    assert abs((few == 0).mean() - np.exp(-0.8991)) < 0.02
+    assert sharding._hypergeometric(rng, 10**10, 0, 7) == 7 and sharding._hypergeometric(rng, 0, 10**10, 7) == 0
+    assert sharding._hypergeometric(rng, 10**9, 10**9, 2 * 10**9) == 10**9
+    # Where numpy draws as well, both agree.
+    ours = [sharding._by_weights(rng, 40, 60, 30) for _ in range(20_000)]
+    theirs = rng.hypergeometric(40, 60, 30, 20_000)
+    a, b = (np.bincount(x, minlength=31) / 20_000 for x in (ours, theirs))
+    assert np.abs(a - b).max() < 0.015
+
+
 def test_matrix_follows_the_hypergeometric_law():
     sizes = np.array([3, 3, 4])
     drawn = [sharding.draw(np.array([4, 6]), sizes, [1, k]) for k in range(4000)]
@@ -116,14 +136,22 @@ def _documents(spark, rows):
 def test_common_lines_go_and_copies_stay(spark):
     common = "All rights reserved here."
     rows = [(i, f"Body of text number {i} long enough.\n  {common}\t\n\nMore {i}", f"s{i % 12}") for i in range(30)]
-    rows += [(100 + i, "A copied article.\nWith its second line.", f"s{i % 12}") for i in range(24)]  # one text: one vote
+    rows += [(100 + i, "A copied article.\nWith its second line.", f"s{i % 12}") for i in range(24)]  # many sites, one text
+    rows += [(500 + i, f"A thirteen-site line.\nText {i % 12} of its own", s) for i in range(13) for s in ("a-hot", f"s{i}")]
+    rows += [(600 + i, f"w {i}\nOne long notice that stands under twelve short pages.", f"s{i}") for i in range(12)]
     rows += [(200, common, "s1"), (201, None, "s1"), (202, "", None), (203, f"{common}\nA text without a site, and long.", None)]
     rows += [(300 + i, f"Line of nine sites.\nUnique {i} text of its own here", f"s{i % 9}") for i in range(40)]
     rows += [(400 + i, f"Line of ten sites.\nUnique {i} text of its own here", f"s{i % 10}") for i in range(40)]
-    got = {r["doc_id"]: r for r in line_dedup.line_dedup(_documents(spark, rows)).collect()}
-    assert len(got) == len(rows)
+    docs = _documents(spark, rows)
+    got = {r["doc_id"]: r for r in line_dedup.line_dedup(docs).collect()}
+    assert len(got) == len({r[0] for r in rows})
+    lines = line_dedup.boilerplate(docs)
+    sent, joined = (line_dedup.remove_lines(docs, lines, most=m) for m in (99, 0))
+    assert sorted(map(str, sent.collect())) == sorted(map(str, joined.collect()))
     assert got[0]["text"] == "Body of text number 0 long enough.\n\nMore 0" and got[0]["n_lines_removed"] == 1
-    assert got[100]["text"] == rows[30][1] and got[200]["text"] == common
+    assert got[100]["text"] == rows[30][1] and got[200]["text"] == "" and got[200]["n_lines_removed"] == 1
+    assert all(got[500 + i]["n_lines_removed"] == 1 for i in range(13))
+    assert all(got[600 + i]["text"] == f"w {i}" for i in range(12))
     assert got[201]["text"] is None and got[202]["text"] == ""
     assert got[203]["text"] == "A text without a site, and long."
     assert got[300]["n_lines_removed"] == 0 and got[400]["n_lines_removed"] == 1
