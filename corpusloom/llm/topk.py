@@ -8,10 +8,14 @@ block vectors are taken by descending length in steps: a step ends the block as
 length is below all limits, and vectors whose partial product plus the Cauchy-Schwarz bound of the rest
 stays below the limit are left out. All others are scored exactly, so limits never lose a result.
 
-Ties go to the smaller ``vec_id``. Vectors that are null, hold null or non-finite components, or
-components of 2**22 or more (whose scores need not fit a long), and rows without ``vec_id`` take no part;
-a shorter vector counts as filled up with zeros. Rows are told apart by their place, so repeated rows are
-candidates of each other. An empty table gives an empty table.
+Query blocks are taken in chunks of ``CHUNK``, and each chunk meets a block in a task of its own. How many blocks
+a chunk can need is looked up in the sorted lengths of all blocks, one number each.
+
+Ties go to the smaller ``vec_id``. Vectors that are null or hold null or non-finite components, and rows
+without ``vec_id``, take no part; a shorter vector counts as filled up with zeros. Components are kept as the
+floating-point numbers that floor gives, and scores are computed in integers as long as they need; a score that
+fits no long fails, and so does a component of 2**400 or more, for which no bound can be computed. Rows are told
+apart by their place, so repeated rows are candidates of each other. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -27,7 +31,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import in_pieces, runs, staged, table
 
 SCALE = 64
-LARGEST = 1 << 28  # of a scaled component
+LARGEST = 2.0**400  # of a scaled component, so that squares stay finite
+CHUNK = 16  # query blocks that meet a block together, about as many values as it has
+MAX_BLOCKS = 1 << 20  # lengths in the table of blocks that tasks get
 BLOCK_VALUES = 1 << 20  # components in a block of candidates
 QUERY_VALUES = 1 << 16  # in a block of queries
 HEAD = 16  # rotated components in the partial product
@@ -41,10 +47,12 @@ def _integers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if vec_id is None or not row.is_valid or row.values.null_count:
                 continue
             x = np.floor(np.asarray(row.values.to_numpy(zero_copy_only=False), dtype=np.float64) * SCALE)
-            if not np.isfinite(x).all() or (np.abs(x) >= LARGEST).any():
+            if not np.isfinite(np.asarray(row.values.to_numpy(zero_copy_only=False), dtype=np.float64)).all():
                 continue
+            if (np.abs(x) >= LARGEST).any():
+                raise ValueError(f"a component of vector {vec_id} is too large")
             ids.append(vec_id)
-            values.append(x.astype("<i4").tobytes())
+            values.append(x.astype("<f8").tobytes())
             norms.append(math.sqrt(float(x @ x)))
             sizes.append(len(x))
         yield pa.RecordBatch.from_pydict(
@@ -55,7 +63,7 @@ def _integers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _matrix(rows: list[bytes], d: int) -> np.ndarray:
     out = np.zeros((len(rows), d), dtype=np.float64)
     for i, row in enumerate(rows):
-        x = np.frombuffer(row, dtype="<i4")
+        x = np.frombuffer(row, dtype="<f8")
         out[i, : len(x)] = x
     return out
 
@@ -84,7 +92,7 @@ def _packed(rows: DataFrame, d: int, size: int, keyed: bool) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             ids, places, xs, norms = zip(*held)
-            x = _matrix(list(xs), d).astype("<i4")
+            x = _matrix(list(xs), d).astype("<f8")
             return pa.RecordBatch.from_pydict(
                 {
                     "ids": pa.array([np.array(ids, dtype="<i8").tobytes()], pa.binary()),
@@ -109,16 +117,22 @@ def _packed(rows: DataFrame, d: int, size: int, keyed: bool) -> DataFrame:
 
 
 def _exact(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Inner products as integers: by floats where all sums are exact in them."""
+    """Inner products as integers: by floats where all sums are exact in them, by Python's integers where they may fit no long."""
     d = queries.shape[1]
     most = d * float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0))
     if most < 2**53:
         return (queries @ candidates.T).astype(np.int64)
-    return queries.astype(np.int64) @ candidates.astype(np.int64).T
+    if most < 2**63 and max(np.abs(queries).max(), np.abs(candidates).max()) < 2**63:
+        return queries.astype(np.int64) @ candidates.astype(np.int64).T
+    whole = [np.array([[int(v) for v in row] for row in m], dtype=object) for m in (queries, candidates)]
+    return whole[0] @ whole[1].T
 
 
-def search_block(queries: np.ndarray, limits: np.ndarray, ids: np.ndarray, candidates: np.ndarray, turn: np.ndarray, k: int):
-    """(query number, id, score) of the k best of the candidates, given by descending length, for each query; below ``limits`` none."""
+def search_block(queries: np.ndarray, own: np.ndarray, limits: np.ndarray, ids: np.ndarray, places: np.ndarray, candidates: np.ndarray, turn: np.ndarray, k: int):
+    """(query number, id, score) of the k best of the candidates, given by descending length, for each query; below ``limits`` none.
+
+    ``own`` are the places of the queries, which no query finds.
+    """
     rotated_q = queries @ turn
     rotated_c = candidates @ turn
     head = min(HEAD, queries.shape[1])
@@ -138,8 +152,14 @@ def search_block(queries: np.ndarray, limits: np.ndarray, ids: np.ndarray, candi
         rows, columns = np.flatnonzero(hopeful.any(axis=1)), np.flatnonzero(hopeful.any(axis=0))
         if len(rows):
             scores = _exact(queries[open_q[rows]], candidates[at + columns])
-            a, b = np.nonzero(hopeful[np.ix_(rows, columns)] & (scores >= limits[open_q[rows], None]))
-            found = (open_q[rows][a], ids[at + columns[b]], scores[a, b])
+            others = own[open_q[rows], None] != places[None, at + columns]
+            a, b = np.nonzero(hopeful[np.ix_(rows, columns)] & others & (scores >= limits[open_q[rows], None]).astype(bool))
+            new = scores[a, b]
+            if new.dtype == object:
+                if any(not -(1 << 63) <= x < 1 << 63 for x in new):
+                    raise ValueError("a score does not fit a long")
+                new = new.astype(np.int64)
+            found = (open_q[rows][a], ids[at + columns[b]], new)
             q, i, s = (np.concatenate(x) for x in zip(best, found))
             order = np.lexsort((i, -s, q))
             q, i, s = q[order], i[order], s[order]
@@ -153,41 +173,34 @@ def search_block(queries: np.ndarray, limits: np.ndarray, ids: np.ndarray, candi
 
 
 def _search(batches: Iterable[pa.RecordBatch], d: int, turn: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
-    """Rows by block: the block first, then the queries that it may serve."""
-    block_id, ids, candidates = None, None, None
+    """Rows by block and chunk: the block first, then the queries that it may serve."""
+    at, ids, places, candidates = None, None, None, None
     for batch in batches:
         for row in in_pieces([batch], 1):
-            x = np.frombuffer(row.column("x")[0].as_buffer(), dtype="<i4").reshape(-1, d).astype(np.float64)
-            own = np.frombuffer(row.column("ids")[0].as_buffer(), dtype="<i8")
+            key = row.column("block")[0].as_py(), row.column("chunk")[0].as_py()
+            x = np.frombuffer(row.column("x")[0].as_buffer(), dtype="<f8").reshape(-1, d)
+            own, own_places = (np.frombuffer(row.column(c)[0].as_buffer(), dtype="<i8") for c in ("ids", "places"))
             if row.column("kind")[0].as_py() == 0:
-                block_id, ids, candidates = row.column("block")[0].as_py(), own, x
+                at, ids, places, candidates = key, own, own_places, x
                 continue
-            if row.column("block")[0].as_py() != block_id:
+            if key != at:
                 raise RuntimeError("a block is missing")
-            limits = np.frombuffer(row.column("limits")[0].as_buffer(), dtype="<f8")
-            q, i, s = search_block(x, limits, ids, candidates, turn, k)
-            places = np.frombuffer(row.column("places")[0].as_buffer(), dtype="<i8")
-            self_score = np.einsum("ij,ij->i", x.astype(np.int64), x.astype(np.int64))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "place": pa.array(places[q]),
-                    "query_id": pa.array(own[q]),
-                    "own_score": pa.array(self_score[q]),
-                    "vec_id": pa.array(i),
-                    "score": pa.array(s),
-                }
-            )
+            raw = row.column("limits")[0]
+            limits = np.frombuffer(raw.as_buffer(), dtype="<f8") if raw.is_valid else np.full(len(own), -np.inf)
+            q, i, s = search_block(x, own_places, limits, ids, places, candidates, turn, k)
+            yield pa.RecordBatch.from_pydict({"place": pa.array(own_places[q]), "query_id": pa.array(own[q]), "vec_id": pa.array(i), "score": pa.array(s)})
 
 
-FOUND = "place bigint, query_id bigint, own_score bigint, vec_id bigint, score bigint"
+FOUND = "place bigint, query_id bigint, vec_id bigint, score bigint"
 
 
 def _meet(blocks: DataFrame, queries: DataFrame, d: int, turn: np.ndarray, k: int) -> DataFrame:
-    """Best candidates for queries that carry the number of a block, block by block."""
-    columns = ["block", "kind", "ids", "places", "x", "limits"]
-    left = blocks.withColumn("kind", F.lit(0)).withColumn("limits", F.lit(None).cast("binary")).select(*columns)
+    """Best candidates for queries that carry the number of a block, for each block and chunk of queries in a task of their own."""
+    columns = ["block", "chunk", "kind", "ids", "places", "x", "limits"]
+    met = queries.select("block", "chunk").distinct()
+    left = blocks.join(met, "block").withColumn("kind", F.lit(0)).withColumn("limits", F.lit(None).cast("binary")).select(*columns)
     right = queries.withColumn("kind", F.lit(1)).select(*columns)
-    dealt = left.unionByName(right).repartition("block").sortWithinPartitions("block", "kind")
+    dealt = left.unionByName(right).repartition("block", "chunk").sortWithinPartitions("block", "chunk", "kind")
     return dealt.mapInArrow(lambda batches: _search(batches, d, turn, k), FOUND)
 
 
@@ -209,38 +222,41 @@ def top_k(df: DataFrame, k: int, is_query, block_values: int = BLOCK_VALUES) ->
     asked = asked.repartitionByRange(max(1, -(-n // 20 // query_size)), F.col("norm").desc(), F.xxhash64("vec_id", "place"))
     queries = staged(_packed(asked, d, query_size, False), "query_blocks")
 
-    # The first block that a query meets is that of the longest vectors; one more than k, as a query finds itself.
-    head = blocks.orderBy(F.col("longest").desc(), "block").select("block").limit(1).collect()
-    if not head:
+    # The first block that a query meets is that of the longest vectors.
+    queries = queries.withColumn("chunk", F.floor(F.shiftright("query_block", 33) / CHUNK).cast("bigint"))
+    lengths = blocks.select("longest", "block").collect() if n <= MAX_BLOCKS * size else None  # one number for each block
+    if lengths is None:
+        raise ValueError(f"more than {MAX_BLOCKS} blocks: use larger block_values")
+    if not lengths:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    first = head[0]["block"]
-    no_limit = F.udf(lambda ids: np.full(len(ids) // 8, -np.inf).astype("<f8").tobytes(), "binary")
-    start = queries.withColumn("block", F.lit(first)).withColumn("limits", no_limit("ids"))
-    begun = staged(_meet(blocks.where(F.col("block") == first), start, d, turn, k + 1), "first_scores")
+    lengths = sorted(lengths, key=lambda r: (-r["longest"], r["block"]))
+    first = lengths[0]["block"]
+    start = queries.withColumn("block", F.lit(first)).withColumn("limits", F.lit(None).cast("binary"))
+    begun = staged(_meet(blocks.where(F.col("block") == first), start, d, turn, k), "first_scores")
 
     by_rank = Window.partitionBy("place").orderBy(F.col("score").desc(), "vec_id")
-    limits = begun.withColumn("r", F.row_number().over(by_rank)).where(F.col("r") == k + 1).select("place", F.col("score").alias("limit"))
-    queries = _with_limits(queries, limits)
-    queries = staged(queries, "query_limits")
-    # Every query block looks at the lengths of all blocks, one narrow row each, and goes to those that can serve it.
-    numbered = blocks.where(F.col("block") != first).select("block", "longest")
-    numbered = staged(numbered.withColumn("number", F.row_number().over(Window.orderBy(F.col("longest").desc(), "block"))), "block_numbers")
-    others = numbered.count()
-    looks = queries.where(F.lit(others) > 0).select(
-        "query_block", F.col("longest").alias("longest_q"), "least", F.explode(F.sequence(F.lit(1), F.lit(max(1, others)))).alias("number")
-    )
-    pairs = looks.join(numbered, "number").where(F.col("longest_q") * F.col("longest") * (1 + SLACK) + SLACK >= F.col("least"))
-    served = pairs.select("query_block", "block").join(queries.select("query_block", "ids", "places", "x", "limits"), "query_block")
-    wanted = blocks.where(F.col("block") != first)
-    rest = _meet(wanted, served, d, turn, k + 1)
-
-    found = begun.unionByName(rest).withColumn("r", F.row_number().over(by_rank)).where(F.col("r") <= k + 1)
-    itself = (F.col("vec_id") == F.col("query_id")) & (F.col("score") == F.col("own_score"))
-    found = found.withColumn("itself", itself)
-    found = found.withColumn("copy", F.row_number().over(Window.partitionBy("place", "itself").orderBy("r")))
-    found = found.where(~(F.col("itself") & (F.col("copy") == 1)))
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("place").orderBy("r"))).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    limits = begun.withColumn("r", F.row_number().over(by_rank)).where(F.col("r") == k).select("place", F.col("score").alias("limit"))
+    queries = staged(_with_limits(queries, limits), "query_limits")
+    served = _served(queries, [(r["block"], r["longest"]) for r in lengths[1:]])
+    rest = _meet(blocks.where(F.col("block") != first), served, d, turn, k)
+    found = begun.unionByName(rest).withColumn("rank", F.row_number().over(by_rank)).where(F.col("rank") <= k)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _served(queries: DataFrame, blocks: list[tuple[int, float]]) -> DataFrame:
+    """Each query block once for each block that can reach its least limit; blocks are sorted by descending length."""
+    numbers = np.array([b for b, _ in blocks], dtype=np.int64)
+    shortest_last = np.array([length for _, length in blocks], dtype=np.float64)
+
+    def reached(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, chunk, longest, least in zip(*(batch.column(c).to_pylist() for c in ("query_block", "chunk", "longest", "least"))):
+                enough = longest * shortest_last * (1 + SLACK) + SLACK >= least
+                cut = int(np.searchsorted(~enough, True)) if len(enough) else 0
+                yield pa.RecordBatch.from_pydict({"query_block": pa.array(np.full(cut, block)), "chunk": pa.array(np.full(cut, chunk)), "block": pa.array(numbers[:cut])})
+
+    pairs = queries.select("query_block", "chunk", "longest", "least").mapInArrow(reached, "query_block bigint, chunk bigint, block bigint")
+    return pairs.join(queries.select("query_block", "ids", "places", "x", "limits"), "query_block")
 
 
 def _with_limits(queries: DataFrame, limits: DataFrame) -> DataFrame:

@@ -128,6 +128,35 @@ def test_top_k_of_few_and_of_no_vectors(spark):
 def test_large_components_are_exact():
     q = np.array([[2.0**27 + 1, 2.0**27 + 3]])
     assert topk._exact(q, q)[0, 0] == (2**27 + 1) ** 2 + (2**27 + 3) ** 2
+    a, b = np.array([[2.0**40 + 1, 3.0]]), np.array([[2.0**30, -(2.0**60)]])
+    assert int(topk._exact(a, b)[0, 0]) == (2**40 + 1) * 2**30 - 3 * 2**60
+
+
+def test_every_finite_vector_takes_part(spark):
+    schema = "vec_id bigint, embedding array<double>"
+    vectors = [(20, [4_190_000.0] * 200), (1, [4_190_000.0] + [0.0] * 199), (2, [-(2.0**25)] * 2 + [0.0] * 198), (3, [0.5] * 200), (40, [2.0**50] + [0.0] * 199)]
+    df = spark.createDataFrame(vectors, schema)
+    got = topk.top_k(df.where("vec_id <> 40"), 20, F.col("vec_id") % 20 == 0).collect()
+    want = brute_top(vectors[:4], 20)
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == want
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(df, 20, F.col("vec_id") % 20 == 0).collect()
+
+
+def test_first_scores_are_dealt_by_chunks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_VALUES", 64)
+    monkeypatch.setattr(topk, "CHUNK", 2)
+    r = np.random.Generator(np.random.PCG64(6))
+    vectors = [(int(i), r.normal(size=4).tolist()) for i in range(2000)]
+    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>").repartition(3)
+    got = topk.top_k(df, 5, F.col("vec_id") % 4 == 0, 1024).collect()
+    rows = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in vectors]
+    matrix = np.array([v for _, v in rows])
+    scores = matrix[::4] @ matrix.T
+    scores[np.arange(500), np.arange(500) * 4] = -(10**12)
+    order = np.lexsort((np.tile(np.arange(2000), (500, 1)), -scores), axis=1)[:, :5]
+    want = sorted((4 * q, k + 1, int(order[q, k]), int(scores[q, order[q, k]])) for q in range(500) for k in range(5))
+    assert sorted((x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in got) == want
 
 
 @needs_tables
@@ -250,7 +279,7 @@ def test_pipeline_stages(spark):
             assert kept.count() < before.count(), name
     pieces = corpus_pipeline.STAGES[-1][1](spark, kept, str(SF))
     assert {r["doc_id"] for r in pieces.select("doc_id").collect()} == {r["doc_id"] for r in kept.select("doc_id").collect()}
-    assert kept.groupBy("doc_id").count().where("count > 1").count() == 0
+    assert kept.groupBy("doc_id", "text").count().where("count > 1").count() == 0
     empty = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(SF)).count() == 0, name
