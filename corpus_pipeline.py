@@ -31,20 +31,15 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many sites share go, whatever their share of a text; all documents stay."""
-    out = line_dedup.line_dedup(docs.select(*COLUMNS), max_share=None, all_sites=True)
+    """Lines that many sites share go; all documents stay."""
+    out = line_dedup.line_dedup(docs.select(*COLUMNS))
     length = F.when(F.col("n_lines_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", length).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays; rows without an id stay."""
-    found = staged(near_dedup.near_duplicates(docs, SIMILARITY), "near_copies").where("doc_id IS NOT NULL")
-    copies = near_dedup.sized(found.where("NOT kept").select("doc_id").distinct())
-    repeated = near_dedup.sized(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
-    kept = docs.select(*COLUMNS).join(copies, "doc_id", "left_anti")
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
+    """Of each group of near copies one row with the smallest id stays; rows without an id stay."""
+    return near_dedup.drop_near_duplicates(docs.select(*COLUMNS), SIMILARITY)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
