@@ -3,7 +3,9 @@
 Documents longer than a sequence are cut into full pieces and a rest. A full piece is a sequence of its
 own. All other pieces are dealt to partitions by a hash of their place; a partition places them one
 after the other, longest first, where the sum over all gaps of the squared number of open sequences
-with that gap becomes smallest: into an open sequence or a new one. Only piece lengths are shuffled.
+with that gap becomes smallest: into an open sequence or a new one. Sequences that stay ``LOOSE`` tokens short or more, those
+at the ends of all partitions among them, are then emptied and their pieces placed once more, longest first, each where it
+fits best, if that takes fewer. Only piece lengths are shuffled.
 
 A null text counts as an empty one, which is one piece with the end id alone. Equal pieces are told
 apart by their place, so repeated rows are all packed; an empty table gives an empty table.
@@ -11,7 +13,9 @@ apart by their place, so repeated rows are all packed; an empty table gives an e
 
 from __future__ import annotations
 
+import bisect
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -27,12 +31,18 @@ from corpusloom.llm.common import in_pieces, staged, table
 SIZE = 2048
 END_ID = 0
 PARTITION_PIECES = 16_384
+LOOSE = 8
 CACHE_ENTRIES = 350_000
 GROUP_CHARS = 1_000_000
 CACHE_WORD = 48
 WORD_END = "</w>"  # how the vocabulary marks the last token of a word
 
 
+def _is_letter(char: str) -> bool:
+    """Whether the tokenizer's lower case of a letter ends in one: that of some ends in a mark, which a full stop would join."""
+    return char.isalpha() and (char.isascii() or unicodedata.normalize("NFC", char).lower()[-1].isalpha())
+
+
 class WordIds:
     """Ids of texts by a tokenizer that drops white space, so that no token crosses a blank.
 
@@ -58,7 +68,7 @@ class WordIds:
     def _base(part: str) -> tuple[str, str]:
         """The part to look up, and a mark behind it; A-Z and a-z are the same to the tokenizer."""
         mark = ""
-        if part[-1] in ".," and len(part) > 1 and part[-2].isalpha():
+        if part[-1] in ".," and len(part) > 1 and _is_letter(part[-2]):
             part, mark = part[:-1], part[-1]
         return (part.lower() if part.isascii() and "<|" not in part else part), mark
 
@@ -160,26 +170,60 @@ def place(lengths: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray
     return bins, offsets
 
 
+def best_fit(lengths: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence number and offset of each item, in the order given, each in the fullest sequence that has room."""
+    open_: list[tuple[int, int]] = []  # (gap, sequence), sorted
+    used = 0
+    bins, offsets = np.zeros(len(lengths), dtype=np.int64), np.zeros(len(lengths), dtype=np.int64)
+    for i, n in enumerate(lengths.tolist()):
+        at = bisect.bisect_left(open_, (n, -1))
+        if at < len(open_):
+            gap, b = open_.pop(at)
+        else:
+            gap, b = size, used
+            used += 1
+        bins[i], offsets[i] = b, size - gap
+        if gap > n:
+            bisect.insort(open_, (gap - n, b))
+    return bins, offsets
+
+
 def pack(found: DataFrame, size: int = SIZE, partition_pieces: int = PARTITION_PIECES) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to staged pieces; all input columns are kept."""
-    found = found.drop("sequence_id", "offset").withColumn("_place", F.monotonically_increasing_id())
+    """Adds ``sequence_id`` and ``offset`` to staged pieces; all other input columns are kept, but for those that start with ``_pack_``."""
+    kept = [c for c in found.columns if c not in ("sequence_id", "offset") and not c.startswith("_pack_")]
+    found = found.select(*(F.col(f"`{c}`") for c in kept), F.monotonically_increasing_id().alias("_pack_place"))
     full, rest = found.where(F.col("length") == size), found.where(F.col("length") < size)
     n = rest.count()
-    parts = max(1, -(-n // partition_pieces))
-    rest = rest.withColumn("_part", F.pmod(F.xxhash64("_place"), F.lit(parts)))
+    rest = rest.withColumn("_pack_part", F.pmod(F.xxhash64("_pack_place"), F.lit(max(1, -(-n // partition_pieces)))))
 
     def of_part(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "_place"], ascending=[False, True])
-        bins, offsets = place(rows["length"].to_numpy(), size)
+        rows = rows.sort_values(["length", "_pack_place"], ascending=[False, True])
+        lengths = rows["length"].to_numpy()
+        bins, offsets = place(lengths, size)
         # Odd numbers, so that none is that of a full piece.
-        rows["sequence_id"] = (rows["_part"] * (1 << 40) + bins) * 2 + 1
+        rows["sequence_id"] = (rows["_pack_part"] * (1 << 40) + bins) * 2 + 1
         rows["offset"] = offsets
+        rows["_pack_gap"] = size - np.bincount(bins, lengths).astype(np.int64)[bins]
+        return rows
+
+    def of_loose(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["length", "_pack_place"], ascending=[False, True])
+        bins, offsets = best_fit(rows["length"].to_numpy(), size)
+        before = np.sort(rows["sequence_id"].unique())
+        if bins.max() + 1 < len(before):
+            rows["sequence_id"], rows["offset"] = before[bins], offsets
         return rows
 
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema]
-    packed = rest.groupBy("_part").applyInPandas(of_part, ", ".join([*schema, "sequence_id bigint", "offset bigint"]))
-    alone = full.withColumn("sequence_id", F.col("_place") * 2).withColumn("offset", F.lit(0).cast("bigint"))
-    return packed.drop("_part").unionByName(alone).drop("_place")
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), "sequence_id bigint", "offset bigint", "_pack_gap bigint"])
+    first = staged(rest.groupBy("_pack_part").applyInPandas(of_part, schema), "first_packing")
+    # Whole sequences go to a group, so a group is never worse than before.
+    loose = first.where(F.col("_pack_gap") >= LOOSE)
+    groups = max(1, -(-loose.count() // partition_pieces))
+    loose = loose.withColumn("_pack_part", F.pmod(F.xxhash64("sequence_id"), F.lit(groups)))
+    again = loose.groupBy("_pack_part").applyInPandas(of_loose, schema)
+    alone = full.withColumn("sequence_id", F.col("_pack_place") * 2).withColumn("offset", F.lit(0).cast("bigint"))
+    columns = [*(f"`{c}`" for c in kept), "sequence_id", "offset"]
+    return first.where(F.col("_pack_gap") < LOOSE).select(*columns).unionByName(again.select(*columns)).unionByName(alone.select(*columns))
 
 
 def pack_documents(df: DataFrame, path: str, size: int = SIZE) -> DataFrame:
