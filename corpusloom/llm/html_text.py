@@ -6,10 +6,14 @@ stands in the main text than outside. Pages that mark their main text by ``artic
 role of that name are the labels. Words of elements never seen in training score 1, tags of unknown
 names -1. One linear scan finds the run with the largest sum; its words are the text, without those in
 elements that a reader takes for page furniture. Words and tags of furniture score 0, so a run goes on
-behind it. Furniture is known by its tag or by a whole word of its class or id; ``html``, ``body``, main
-text and what it stands in never are, and names made of several words are left to the learned weights.
-
-Comments, scripts, styles and other raw elements are no tokens. Character references are decoded,
+behind it. Furniture is known by its tag or by its class or id: a word as ``sidebar``, a name that ends in one
+(``site-footer``) or one of a list of them (``comment-list``), but no name of a state (``has-sidebar``). ``html``, ``body``, main
+text and what it stands in never are furniture.
+
+Tags are read forwards, a page of any size once: quotes count in a value only where they begin it, a quote or tag without an
+end is text or ends at the next ``>``, a head ends at the first tag that can't stand in it. Comments, scripts, styles and
+other raw elements are no tokens; a raw element that isn't closed goes on to the end, a control or picture that isn't closed is
+left out alone. Character references are decoded,
 white space in a block becomes one blank, and blocks are joined by one blank; inline tags don't part a
 word. A null page is an empty one; a page without a positive run has an empty text; pages are read whole;
 equal pages get equal texts; an empty table gives an empty table.
@@ -52,11 +56,135 @@ FURNITURE_WORDS = frozenset(
 )
 MAIN = ("article", "main")
 
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
-    re.S | re.I,
+#: Parts of names made of several words: what tells of a state, what holds main text, and what holds several of its kind.
+STATE_PARTS = frozenset("has have with no not without is hide hides hidden show shows open opened closed enabled disabled".split())
+TEXT_PARTS = frozenset("article post entry content main story text".split())
+TOP_PARTS = frozenset("header masthead banner notice notices related".split())
+LIST_PARTS = frozenset(
+    "list lists box bar section sections area wrap wrapper container block widget widgets form thread item items link links buttons button panel overlay posts icons inner body".split()
 )
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: Tags that a head may hold, and those that end an open one of their kind.
+HEAD_TAGS = frozenset("title meta link base script style noscript template".split())
+ENDS_ITSELF = frozenset("p li td th tr dt dd option".split())
+#: Raw elements whose end is always looked for; the others are left out alone if they have none.
+TO_THE_END = frozenset("script style noscript template textarea iframe".split())
+RAW_NAMES = frozenset(RAW.split("|"))
+
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+ATTRIBUTE_NAME = re.compile(r"[\s/]*([^\s/>=]*)")
+EQUALS = re.compile(r"\s*=\s*")
+BARE = re.compile(r"[^\s>]*")
+
+
+class Scanner:
+    """Tokens of a page, read once from its begin to its end: ("text", text, None), ("start", name, marks) and ("end", name, None).
+
+    marks: values of class, id and role.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = source.rfind(">")
+        self.gone: set[str] = set()  # what is known not to come any more
+
+    def _find(self, what: str, at: int) -> int:
+        if what in self.gone:
+            return -1
+        found = self.source.find(what, at)
+        if found < 0:
+            self.gone.add(what)
+        return found
+
+    def _attributes(self, at: int) -> tuple[int, list[tuple[str, str]], bool]:
+        """The place behind the tag, the marks, and whether it closes itself."""
+        source, n, marks, begin = self.source, len(self.source), [], at
+        while at < n:
+            m = ATTRIBUTE_NAME.match(source, at)
+            at = m.end()
+            if at < n and source[at] == ">":
+                return at + 1, marks, source[at - 1] == "/"
+            equals = EQUALS.match(source, at)
+            if not equals:
+                at += at == m.start()
+                continue
+            at = equals.end()
+            quote = source[at : at + 1]
+            end = self._find(quote, at + 1) if quote in ("'", '"') else -1
+            if end < 0:
+                end = BARE.match(source, at).end()
+                value, at = source[at:end], end
+            else:
+                value, at = source[at + 1 : end], end + 1
+            if m.group(1).lower() in ("class", "id", "role"):
+                marks.append((m.group(1).lower(), value.lower()))
+        # Quotes led to the end of the page: the tag ends at the next bracket, and they count no more.
+        self.gone |= {"'", '"'}
+        return source.index(">", begin) + 1, marks, False
+
+    def _raw_end(self, name: str, at: int) -> int:
+        """The place behind the end tag of a raw element, -1 if there is none."""
+        if f"</{name}" in self.gone:
+            return -1
+        m = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(self.source, at)
+        if m:
+            return m.end()
+        self.gone.add(f"</{name}")
+        return -1
+
+    def tokens(self) -> Iterator[tuple[str, str, list[tuple[str, str]] | None]]:
+        source, n, at, begin = self.source, len(self.source), 0, 0
+        while (at := source.find("<", at)) >= 0:
+            found = self._tag(at)
+            if found is None:  # a bracket that begins no tag
+                at += 1
+                continue
+            if at > begin:
+                yield "text", source[begin:at], None
+            kind, name, marks, begin = found
+            at = begin
+            if kind:
+                yield kind, name, marks
+        if begin < n:
+            yield "text", source[begin:], None
+
+    def _tag(self, at: int) -> tuple[str, str, list[tuple[str, str]] | None, int] | None:
+        source, n = self.source, len(self.source)
+        if source.startswith("<!--", at):
+            if source.startswith(("<!-->", "<!--->"), at):
+                return "", "", None, source.index(">", at) + 1
+            end = self._find("-->", at + 4)
+            return "", "", None, end + 3 if end >= 0 else n
+        if source.startswith(("<!", "<?"), at):
+            end = self._find(">", at)
+            return "", "", None, end + 1 if end >= 0 else n
+        closing = source.startswith("/", at + 1)
+        m = NAME.match(source, at + 1 + closing)
+        if not m or at > self.last:
+            return None
+        name = m.group().lower()
+        if closing:
+            return "end", name, None, source.index(">", m.end()) + 1
+        end, marks, itself = self._attributes(m.end())
+        if name not in RAW_NAMES:
+            return "start", name, marks, end
+        if itself and name in ("svg", "math"):
+            return "", "", None, end
+        behind = self._raw_end(name, end)
+        return "", "", None, behind if behind >= 0 else n if name in TO_THE_END else end
+
+
+def is_furniture(token: str) -> bool:
+    """Whether a class or id names page furniture."""
+    if token in FURNITURE_WORDS:
+        return True
+    parts = re.split(r"[-_]+", token)
+    if len(parts) < 2 or not STATE_PARTS.isdisjoint(parts):
+        return False
+    if parts[-1] in FURNITURE_WORDS:
+        return not (parts[-1] in TOP_PARTS and parts[0] in TEXT_PARTS)
+    return parts[0] in FURNITURE_WORDS and parts[0] not in TOP_PARTS and all(p in LIST_PARTS or p in FURNITURE_WORDS for p in parts[1:]) or (
+        parts[0] in TOP_PARTS and len(parts) == 2 and parts[1] in ("bar", "box", "links", "posts", "items", "list", "inner")
+    )
 
 
 class Page:
@@ -71,23 +199,36 @@ class Page:
         holds: list[bool] = []
         stack: list[tuple[str, str, int, bool, bool]] = []  # name, context, furniture, main, article
         context, furniture, main, article = "page", -1, False, False
-        for m in TOKEN.finditer(source):
-            text, name = m.group(5), m.group(3)
-            if text is not None:
-                found.append((True, context, text, furniture, main))
-            elif name is not None:
-                name = name.lower()
-                if m.group(2):
-                    found.append((False, "/" + name, "", furniture, main))
-                    at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-                    if at is not None:
-                        context, furniture, main, article = stack[at][1:]
-                        del stack[at:]
-                    continue
+        opened: Counter = Counter()
+
+        def close(name: str) -> None:
+            nonlocal context, furniture, main, article
+            while True:
+                top, *state = stack.pop()
+                opened[top] -= 1
+                if top == name:
+                    context, furniture, main, article = state
+                    return
+
+        for kind, name, marks in Scanner(source).tokens():
+            if kind == "text":
+                if opened["head"] and stack[-1][0] == "head" and name.strip():
+                    close("head")
+                found.append((True, context, name, furniture, main))
+            elif kind == "end":
+                found.append((False, "/" + name, "", furniture, main))
+                if opened[name]:
+                    close(name)
+            else:
+                if opened["head"] and name not in HEAD_TAGS:
+                    close("head")
+                if name in ENDS_ITSELF and stack and stack[-1][0] == name:
+                    close(name)
                 if name not in VOID:
                     stack.append((name, context, furniture, main, article))
+                    opened[name] += 1
                 if name in CONTAINERS or name == "a":
-                    words, tokens, role = _marks(m.group(4))
+                    words, tokens, role = _marks(marks)
                     key = name if not words else f"{name}.{words[0]}"
                     context = f"{context}>a" if name == "a" else key
                     inside = main
@@ -101,12 +242,10 @@ class Page:
                     elif name in ("html", "body"):
                         furniture = -1  # of a head without an end
                     # An article's own header is part of it.
-                    elif name in FURNITURE_TAGS or (name == "header" and not inside) or not FURNITURE_WORDS.isdisjoint(tokens):
+                    elif name in FURNITURE_TAGS or (name == "header" and not inside) or any(map(is_furniture, tokens)):
                         around.append(furniture)
                         holds.append(False)
                         furniture = len(around) - 1
-                    if name in VOID:
-                        context, furniture, main, article = stack[-1][1:] if stack else ("page", -1, False, False)
                 found.append((False, name, "", furniture, main))
         marked: list[bool] = []
         for at, held in zip(around, holds):
@@ -115,15 +254,14 @@ class Page:
         self.tokens: list[tuple[bool, str, str, bool, bool]] = [(t, k, x, marked[f], i) for t, k, x, f, i in found]
 
 
-def _marks(attributes: str) -> tuple[list[str], list[str], str]:
+def _marks(marks: list[tuple[str, str]]) -> tuple[list[str], list[str], str]:
     """Words in the class and id, both as a whole, and the role."""
     words: list[str] = []
     tokens: list[str] = []
     role = ""
-    for name, *values in ATTRIBUTE.findall(attributes or ""):
-        value = next((v for v in values if v), "").lower()
-        if name.lower() == "role":
-            role = value
+    for name, value in marks:
+        if name == "role":
+            role = role or value
         else:
             words += re.findall(r"[a-z]+", value)
             tokens += value.split()

@@ -229,6 +229,73 @@ def test_wrappers_with_furniture_in_their_name_keep_their_text():
         assert html_text.extract(page, weights) == want, page
 
 
+class Light(dict):
+    """Weights of tags that never end a text."""
+
+    def get(self, key, default=None):
+        return -0.001
+
+
+def plain(page: str) -> str:
+    return html_text.extract(page, ({}, Light()))
+
+
+def test_raw_elements_by_their_whole_name():
+    five, six = "<p>one two three four five</p>", "<p>six seven eight nine ten</p>"
+    both = "one two three four five six seven eight nine ten"
+    for between in ("<svg-icon></svg-icon>", "<button-group></button-group>", "<select-box></select-box>", "<svg/>", "<math />", "<svg><path d='x'></svg>", "<svg>", "<button>", "<!-->", "<!--->", "<!-- > -->"):
+        assert plain(f"{five}{between}{six}") == both, between
+    assert plain(f"{five}<script>if (a < b) '</p>'</script >{six}") == both
+    assert plain(f"{five}<SCRIPT>x</scripty></Script>{six}") == both
+    assert plain(f"{five}<style>{six}") == "one two three four five"
+
+
+def test_quotes_that_begin_no_value():
+    assert plain("<p data-x=it's>alpha beta</p><p title='a > b'>gamma</p><p x=\"'\">delta</p>") == "alpha beta gamma delta"
+    assert plain('<p a="b>one two</p><p>three') == "one two three"
+    assert plain("a < b and <3 and <p>c</p> <x") == "a < b and <3 and c <x"
+
+
+def test_a_head_without_an_end():
+    assert plain("<html><head><title>no title</title><p>first words</p><p>more words") == "first words more words"
+    assert plain("<head><meta charset=x>text in a head") == "text in a head"
+
+
+def test_names_of_several_words():
+    for name in ("comment-list", "cookie-banner", "site-footer", "page-nav", "newsletter_form", "related-posts", "share-buttons", "post-comments", "left-sidebar"):
+        assert html_text.is_furniture(name), name
+        assert plain(f"<p>one two three</p><div class='{name}'>four five</div><p>six seven</p>") == "one two three six seven"
+    for name in ("has-sidebar", "comments-open", "with-sidebar", "post-no-comments", "article-header", "related-work", "advanced", "shared-memory", "header-image-text"):
+        assert not html_text.is_furniture(name), name
+    assert plain("<div class='comment-list'><main><p>kept words here</p></main></div>") == "kept words here"
+
+
+def test_broken_pages_take_time_by_their_length():
+    import time
+
+    pages = ["<p>" * 100_000 + "</q>" * 100_000, "<a " * 200_000, "<a " * 200_000 + ">", "<a b='" * 100_000 + ">", "<div><b></i>" * 60_000, "<svg>" * 100_000, "<!--" * 200_000, "<a b=\"c'>" * 80_000, "</p " * 150_000, "<x =" * 150_000, "< " * 400_000]
+    for page in pages:
+        start = time.process_time()
+        html_text.extract(page, ({}, {}))
+        assert time.process_time() - start < 4, page[:20]
+
+
+def test_generated_pages_equal_what_they_were_made_of():
+    r = random.Random(12)
+    for _ in range(300):
+        texts, parts = [], []
+        for k in range(r.randrange(1, 12)):
+            words = " ".join(r.choice(["alpha", "é", "beta", "x1"]) for _ in range(r.randrange(3, 30)))
+            kind = r.randrange(8)
+            if kind < 5:
+                texts.append(words)
+                parts.append(r.choice(["<p>{}</p>", "<p class='c d'>{}", "<div data-a='<' id=x>{}</div>", "<ul><li>{}</ul>", "<section><p>{}</section>"]).format(words.replace(" ", r.choice([" ", "\n", " <b>", "</i> "]))))
+            else:
+                parts.append(r.choice(["<nav>{}</nav>", "<aside class=z>{}</aside>", "<script>{}</script>", "<!-- {} -->", "<div class='x ad'>{}</div>", "<form>{}</form>"]).format(words))
+        found = plain("<!DOCTYPE html><html><body><article>" + "\n".join(parts) + "</article></body></html>")
+        assert found == " ".join(texts)
+
+
 def test_main_run_is_the_best_run():
     r = random.Random(8)
     for _ in range(200):
