@@ -41,6 +41,7 @@ from corpusloom.operators.responses import (
     count_cases,
     last_content,
 )
+from corpusloom.operators.segment import segment
 from corpusloom.plans.batch_plan import BatchShape, batch_plan, plan_summary
 from corpusloom.plans.numbering import number_keys
 from corpusloom.plans.permuted import plan_rows, resume, total_steps
@@ -283,6 +284,26 @@ def q_encode_with_tokenizer(spark, sf_dir):
     return _encoded_digest(encode_with(docs, _word_lengths), "doc_id")
 
 
+MOST_PIECES = 2_000
+
+
+def scored_pieces(docs: DataFrame) -> DataFrame:
+    """(token, id, score): all characters and the most frequent words with the blank before them, scored by their share of all."""
+    words = docs.select(F.explode(F.split("text", " ")).alias("w")).where("w <> ''").groupBy("w").agg(F.count("*").alias("n"))
+    frequent = words.orderBy(F.desc("n"), "w").limit(MOST_PIECES).select(F.concat(F.lit("▁"), "w").alias("token"), "n")
+    chars = vocab.token_counts(docs, specials=()).select(F.when(F.col("token") == " ", "▁").otherwise(F.col("token")).alias("token"), "n")
+    pieces = frequent.unionByName(chars).groupBy("token").agg(F.max("n").alias("n"))
+    # As many rows as there are code points and frequent words at most.
+    score = F.log(F.col("n") / F.sum("n").over(Window.partitionBy()))
+    return pieces.select("token", F.row_number().over(Window.orderBy(F.desc("n"), "token")).alias("id"), score.alias("score"))
+
+
+def q_encode_pieces(spark, sf_dir):
+    """Whole documents by their best pieces."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return _encoded_digest(segment(docs, scored_pieces(docs)), "doc_id")
+
+
 def q_token_id_join(spark, sf_dir):
     """Token lookup in its join form, for vocabularies of any size."""
     turns = table(spark, sf_dir, "conversations")
