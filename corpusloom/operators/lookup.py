@@ -131,7 +131,10 @@ def joined_lookup(
     rows = rows.withColumns(
         {"_kind": F.lit(1), "_item": F.lit(None).cast(item_type), "_value": F.lit(None).cast(value_type)}
     )
-    dealt = rows.unionByName(found, allowMissingColumns=True).repartition("_part").sortWithinPartitions("_part", "_kind")
+    # A task for each partition: the hash of a number would put two of them in one and leave others empty.
+    parts = (rows.agg(F.max("_part")).first()[0] or 0) + 1
+    together = rows.unionByName(found, allowMissingColumns=True)
+    dealt = together.repartitionById(parts, F.col("_part").cast("int")).sortWithinPartitions("_part", "_kind")
     fields = [df.schema[c] for c in columns]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

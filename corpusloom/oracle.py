@@ -360,6 +360,9 @@ ORACLE_SQL = {
     + f"SELECT lang, {REAL_STATS} FROM closed GROUP BY ROLLUP (lang)",
     "stage_stats": with_(PAIRS, INPUTS, STAGED, compat_encoded("staged", "stage"))
     + f"SELECT stage, {REAL_STATS} FROM closed GROUP BY stage",
+    "length_quantiles": """SELECT CAST(p AS INTEGER) AS per_mille, CAST(min(n) AS BIGINT) AS length FROM (
+    SELECT length(text) AS n, row_number() OVER (ORDER BY length(text)) AS r, count(*) OVER () AS total FROM documents WHERE text IS NOT NULL
+  ), (SELECT unnest([10, 250, 500, 900, 990, 1000]) AS p) WHERE r * 1000 >= p * total GROUP BY p""",
     "run_summary": with_(MARKED, compat_encoded("marked", "doc_id"))
     + f"SELECT {REAL_STATS} FROM closed",
     "batch_plan": with_(STEP_PLAN) + "SELECT * FROM plan",

@@ -26,6 +26,7 @@ from corpusloom.functions.text import (
 from corpusloom.operators import conversations, stats, vocab
 from corpusloom.operators.batches import map_batches
 from corpusloom.operators.encode import decode, encode, encode_pair, encode_with
+from corpusloom.operators.length_sketches import exact_quantiles, update_sketches
 from corpusloom.operators.lookup import ids_to_tokens, tokens_to_ids
 from corpusloom.operators.model_inputs import (
     assert_rectangular,
@@ -430,6 +431,20 @@ def q_length_stats_real(spark, sf_dir):
     )
 
 
+PER_MILLE = (10, 250, 500, 900, 990, 1000)
+
+
+def q_length_quantiles(spark, sf_dir):
+    """Exact quantiles of text lengths, found by sketches of files that came in two batches."""
+    corpus, sketches = scratch_path(spark, "corpus-lengths"), scratch_path(spark, "length-sketches")
+    docs = documents(spark, sf_dir).select("lang", "text")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    for batch in (english, ~english):
+        docs.where(batch).select("text").write.mode("append").parquet(corpus)
+        update_sketches(spark, lambda files: spark.read.parquet(*(files or [corpus])), F.length("text"), sketches)
+    return exact_quantiles(spark, spark.read.parquet(corpus), F.length("text"), sketches, PER_MILLE)
+
+
 def q_stage_stats(spark, sf_dir):
     texts = staged_texts(spark, sf_dir)
     closed = sequences(texts, lambda: F.col("text"), COMPAT_VOCAB, keep=["stage"])
