@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.bpe import Recent, text_groups, tokenizer_path, worker_cache
+from corpusloom.llm.bpe import Recent, byte_letters, text_groups, tokenizer_path, worker_cache
 from corpusloom.llm.common import in_pieces, staged, table
 
 SIZE = 2048
@@ -43,6 +44,10 @@ def _is_letter(char: str) -> bool:
     return char.isalpha() and (char.isascii() or unicodedata.normalize("NFC", char).lower()[-1].isalpha())
 
 
+#: The letters that byte-level models have for bytes.
+LETTERS = {b: ord(letter) for letter, b in byte_letters().items()}
+
+
 class WordIds:
     """Ids of texts by a tokenizer that drops white space, so that no token crosses a blank.
 
@@ -73,10 +78,21 @@ class WordIds:
         return (part.lower() if part.isascii() and "<|" not in part else part), mark
 
     def _tokenized(self, words: list[str]) -> dict[str, bytes]:
-        """Ids by the tokenizer. Words of letters alone are encoded many in one text and told apart by the ids that end a word."""
-        plain = [w for w in words if w.isalpha()]
-        others = [w for w in words if not w.isalpha()]
-        got = {}
+        """Ids by the tokenizer. Words of letters alone are one word to it: those of Latin-1 go to its model as they stand there,
+        the others are encoded many in one text and told apart by the ids that end a word."""
+        got, plain, others = {}, [], []
+        tokenize, pack = self.tokenizer.model.tokenize, struct.pack
+        for w in words:
+            if not w.isalpha():
+                others.append(w)
+            elif w.isascii():
+                found = [t.id for t in tokenize(w.lower())]
+                got[w] = pack(f"<{len(found)}I", *found)
+            elif max(w) <= "\xff":
+                found = [t.id for t in tokenize(w.lower().encode().decode("latin-1").translate(LETTERS))]
+                got[w] = pack(f"<{len(found)}I", *found)
+            else:
+                plain.append(w)
         for at in range(0, len(plain), 4096):
             own = plain[at : at + 4096]
             ids = np.array(self.tokenizer.encode(" ".join(own), add_special_tokens=False).ids, dtype="<u4")
@@ -94,8 +110,10 @@ class WordIds:
         self.ids.turn()
         rows = [t.replace("\n", " ").split(" ") for t in texts]
         new = self.ids.missing(set().union(*rows))
-        bases = {p: self._base(p) if p else ("", "") for p in new}
-        fresh = self.ids.missing(set().union(*bases.values()))
+        # Most new parts are words in lower case already; the others are made of a word and a mark.
+        direct = {p for p in new if p.isascii() and p.isalpha() and p.islower()}
+        bases = {p: self._base(p) if p else ("", "") for p in new if p not in direct}
+        fresh = [*direct, *self.ids.missing(set().union(*bases.values()) - direct)]
         self.ids.now.update(self._tokenized(fresh))
         of = self.ids.now.__getitem__
         self.ids.now.update([(p, of(base) + of(mark)) for p, (base, mark) in bases.items()])
