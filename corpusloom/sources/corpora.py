@@ -83,11 +83,11 @@ def _read_csv_ranges(
         raise ValueError(f"splits must be 'directory' or 'file', not {splits!r}")
     files = {k: v for k, v in options.items() if k in FILE_OPTIONS}
     named = splits == "directory" and "split" in spark.read.options(**files).text(path).columns
-    records = read_records(spark, path, CSV, "split" if named else None, **files)
     found = F.col("split") if named else F.lit(None).cast("string") if splits == "directory" else _split_of_name(F.element_at(F.split("file", "/"), -1))
-    records = records.withColumn("split", F.coalesce(found, F.lit(default_split)))
-    if split is not None:
-        records = records.where(F.col("split") == split)
+    of_row = F.coalesce(found, F.lit(default_split))
+    # Before the ranges are looked at, so that files of other splits are left alone.
+    records = read_records(spark, path, CSV, "split" if named else None, None if split is None else of_row == split, **files)
+    records = records.withColumn("split", of_row)
     rows = csv_rows(records.drop("file"), schema, {**CSV_OPTIONS, "mode": "FAILFAST", **options})
     return rows if split is None else rows.drop("split")
 

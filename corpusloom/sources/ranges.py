@@ -19,7 +19,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -164,17 +164,18 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_records(spark: SparkSession, path: str, grammar: Grammar, partition: str | None = None, **options: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, grammar: Grammar, partition: str | None = None, where: Column | None = None, **options: str) -> DataFrame:
     """(file, start, number, opens, value): the records of all text files in a path.
 
     start: the range in which the record ends; number: its place, from 0, among those that end there; opens: whether the
-    file begins with it. ``partition`` is a directory column to carry along; ``options`` choose files, as the text source
-    takes them. A record that is not closed fails. The files are read, and the records written once, before this returns.
+    file begins with it. ``partition`` is a directory column to carry along; only rows of files for which ``where`` holds,
+    of that column and `file`, are read; ``options`` choose files, as the text source takes them. A record that is not closed fails. The files are read, and the records written once, before this returns.
     """
     carried = [partition] if partition else []
     schema = StructType([StructField("value", StringType())] + [StructField(c, StringType()) for c in carried])
     lines = spark.read.schema(schema).options(**options).option("lineSep", grammar.separator).text(path)
     lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), *carried)
+    lines = lines if where is None else lines.where(where)
 
     # One row for each range; the files are dealt over tasks.
     sums = lines.mapInArrow(lambda batches: _sums(batches, grammar), _SUMS)
