@@ -14,9 +14,12 @@ from corpusloom.functions.sequences import append_eos_pair
 from corpusloom.functions.text import decoded
 from corpusloom.operators.lookup import ids_to_tokens
 from corpusloom.operators.vocab import (
+    AUTOMATON_FROM,
+    CODE_SPACE,
     SPECIAL_MARKS,
     char_tokens,
     code_points,
+    coder,
     marker,
     pieces,
     reachable_entries,
@@ -47,11 +50,28 @@ def _arrow_encoder(
     With each special marked as one code point, tokens are code points, so all texts of a batch
     are looked up together in one table.
     """
+    by_automaton = len(specials) > AUTOMATON_FROM
+    first_special = CODE_SPACE if by_automaton else SPECIAL_MARKS
     by_code = {ord(t): i for t, i in entries.items() if len(t) == 1}
-    by_code |= {SPECIAL_MARKS + i: entries.get(s, unk_id) for i, s in enumerate(specials)}
+    by_code |= {first_special + i: entries.get(s, unk_id) for i, s in enumerate(specials)}
     known = np.fromiter(by_code.keys(), np.int64, len(by_code))
     known_ids = np.fromiter(by_code.values(), np.int32, len(by_code))
     top = int(known.max()) + 1 if len(known) else 0
+
+    if by_automaton:
+        code = coder(specials)
+
+        @F.arrow_udf(_ENCODED)
+        def encode_codes(texts: pa.Array) -> pa.Array:
+            table = np.full(top + 1, unk_id, np.int32)
+            table[known] = known_ids
+            rows = [None if t is None else table[np.minimum(code(t), top)] for t in decoded(texts)]
+            kept = [np.empty(0, np.int32) if r is None else r[:max_tokens] for r in rows]
+            ids = np.concatenate(kept) if kept else np.empty(0, np.int32)
+            return _encoded_array(ids, [len(k) for k in kept], [None if r is None else len(r) for r in rows])
+
+        return encode_codes
+
     mark = marker(specials)
 
     @F.arrow_udf(_ENCODED)

@@ -24,6 +24,10 @@ MAX_LOCAL_ENTRIES = CODE_SPACE + 1024
 SPECIAL_MARKS = 0xD800
 N_MARKS = 0x800
 
+# More specials than these are found by an automaton; so many it may have.
+AUTOMATON_FROM = 64
+MAX_SPECIALS = 1_000_000
+
 # Characters handled at a time, which bounds the working memory of a batch.
 CHUNK = 1 << 17
 
@@ -57,6 +61,42 @@ def marker(specials: Iterable[str]) -> Callable[[str], str]:
     return mark
 
 
+def coder(specials: Iterable[str]) -> Callable[[str], np.ndarray]:
+    """Function giving the code points of the NFC text with each special as one, CODE_SPACE + its index.
+
+    Like the marker, it takes the leftmost special, of several there the longest. One automaton finds the places of all
+    specials in one pass, so the time does not grow with their number.
+    """
+    specials = list(specials)
+    if len(specials) > MAX_SPECIALS:
+        raise ValueError(f"more than {MAX_SPECIALS} specials")
+    built: list = []
+
+    def code(text: str) -> np.ndarray:
+        if not built:  # in the task
+            import ahocorasick
+
+            automaton = ahocorasick.Automaton()
+            for i, special in enumerate(specials):
+                automaton.add_word(special, (i, len(special)))
+            automaton.make_automaton()
+            built.append(automaton)
+        text = unicodedata.normalize("NFC", text)
+        codes = code_points(text).astype(np.int32)
+        found = sorted((end - size + 1, -size, i) for end, (i, size) in built[0].iter(text))
+        if not found:
+            return codes
+        kept, behind = np.ones(len(codes), dtype=bool), 0
+        for start, size, i in found:
+            if start >= behind:
+                behind = start - size
+                codes[start] = CODE_SPACE + i
+                kept[start + 1 : behind] = False
+        return codes[kept]
+
+    return code
+
+
 def _overlap(first: str, second: str) -> bool:
     """Whether an occurrence of one can share characters with an occurrence of the other."""
     return second in first or any(first.endswith(second[:n]) for n in range(1, len(second)))
@@ -111,13 +151,15 @@ def token_counts(
     if form != "arrow":
         raise ValueError(f"form must be 'arrow' or 'native', not {form!r}")
 
-    mark = marker(specials)
+    by_automaton = len(specials) > AUTOMATON_FROM
+    mark, code = (None, coder(specials)) if by_automaton else (marker(specials), None)
 
     def count_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(CODE_SPACE, np.int64)
         for batch in batches:
-            for piece in pieces(mark(t) for t in decoded(batch.column(0)) if t):
-                found = np.bincount(code_points(piece))
+            texts = (t for t in decoded(batch.column(0)) if t)
+            for codes in map(code, texts) if by_automaton else map(code_points, pieces(map(mark, texts))):
+                found = np.bincount(codes)[:CODE_SPACE]
                 totals[: len(found)] += found
         totals[SPECIAL_MARKS : SPECIAL_MARKS + N_MARKS] = 0
         seen = np.flatnonzero(totals)

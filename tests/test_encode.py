@@ -116,11 +116,53 @@ def test_specials_do_not_span_rows(spark):
     assert by_id(encode(df, VOCAB), "ids") == [ids_of("a<|im_"), ids_of("start|>a")]
 
 
-def test_too_many_specials(spark):
+def test_too_many_specials(spark, monkeypatch):
+    monkeypatch.setattr(vo, "MAX_SPECIALS", 2000)
     with pytest.raises(ValueError, match="specials"):
         encode(texts(spark, ["a"]), VOCAB, specials=[f"<{i}>" for i in range(3000)])
 
 
+def test_automaton_equals_the_alternation(spark, monkeypatch):
+    import random
+    import re
+
+    rng = random.Random(6)
+    specials = tuple({"".join(rng.choice("ab<|é😀") for _ in range(rng.randrange(1, 7))) for _ in range(300)})
+    pattern = re.compile("(?s)" + "|".join([re.escape(s) for s in sorted(specials, key=len, reverse=True)] + ["."]))
+    values = ["".join(rng.choice("ab<|é😀 e\u0301") for _ in range(rng.randrange(0, 120))) for _ in range(200)] + [None, ""]
+    ids = {s: 100 + i for i, s in enumerate(sorted(specials))}
+    assert len(specials) > vo.AUTOMATON_FROM
+
+    def tokens(text):
+        import unicodedata
+
+        return pattern.findall(unicodedata.normalize("NFC", text))
+
+    vocabulary = {**VOCAB, **ids}
+    want = [None if t is None else [vocabulary.get(x, 0) for x in tokens(t)] for t in values]
+    got = encode(texts(spark, values), vocabulary, specials=specials, count_col="n")
+    assert by_id(got, "ids") == want
+    assert by_id(got, "n") == [None if w is None else len(w) for w in want]
+    assert by_id(encode(texts(spark, values), vocabulary, specials=specials, max_tokens=5), "ids") == [None if w is None else w[:5] for w in want]
+    counted = {r["token"]: r["n"] for r in vo.token_counts(texts(spark, values), specials=specials).collect()}
+    plain = [x for t in values if t for x in tokens(t) if x not in ids]
+    assert counted == {x: plain.count(x) for x in set(plain)}
+
+
+def test_ten_thousand_specials_take_no_longer():
+    import time
+
+    text = "some ordinary words <|special 77|> and more " * 5_000
+    spent = []
+    for n in (100, 10_000):
+        code = vo.coder([f"<|special {i}|>" for i in range(n)])
+        code("")
+        start = time.process_time()
+        assert (code(text) >= vo.CODE_SPACE).sum() == 5_000
+        spent.append(time.process_time() - start)
+    assert spent[1] < 3 * spent[0] + 0.1
+
+
 def test_null_empty_and_unknown(spark):
     got = encode(texts(spark, [None, "", "zz"]), VOCAB, unk_id=3, count_col="n")
     assert by_id(got, "ids") == [None, [], [3, 3]]
