@@ -293,6 +293,11 @@ ORACLE_SQL = {
     "corpus_vocab_bounded": with_(vocabulary("documents", 10, 39)) + "SELECT token, id FROM vocab",
     "vocab_inversion": with_(_DOC_VOCAB) + "SELECT id, token FROM vocab",
     "vocab_export": with_(_DOC_VOCAB) + "SELECT token, id FROM vocab",
+    "encode_many_specials": with_(
+        "paired AS (SELECT doc_id, list_transform(regexp_extract_all(nfc_normalize(text), '(?s)[a-z]{2}|.'), lambda t: "
+        "CAST(CASE WHEN length(t) = 2 THEN 1 + 26 * (ascii(t) - 97) + ascii(t[2]) - 97 ELSE 0 END AS INTEGER)) AS ids FROM documents)"
+    )
+    + id_digest("doc_id", "ids", "paired"),
     "encode_corpus_vocab": with_(_DOC_VOCAB, encoded("documents", "doc_id"))
     + id_digest("doc_id", "list_append(ids, 0)", "encoded"),
     "encode_corpus_vocab_native": with_(_DOC_VOCAB, encoded("documents", "doc_id"))

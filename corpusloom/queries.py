@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from string import ascii_lowercase
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -285,6 +286,16 @@ def q_encode_with_tokenizer(spark, sf_dir):
     return _encoded_digest(encode_with(docs, _word_lengths), "doc_id")
 
 
+#: All pairs of letters, more specials than an alternation is used for.
+LETTER_PAIRS = {a + b: 1 + 26 * i + k for i, a in enumerate(ascii_lowercase) for k, b in enumerate(ascii_lowercase)}
+
+
+def q_encode_many_specials(spark, sf_dir):
+    """Hundreds of specials that overlap each other, found by one automaton; all else is unknown."""
+    encoded = encode(documents(spark, sf_dir), LETTER_PAIRS, specials=LETTER_PAIRS)
+    return _encoded_digest(encoded, "doc_id")
+
+
 MOST_PIECES = 2_000
 
 
