@@ -388,6 +388,7 @@ ORACLE_SQL = {
     "case_count": "SELECT count(DISTINCT conv_id) AS cases FROM conversations",
     "batch_responses": with_(CASES) + _ANSWERED,
     "batch_responses_batched": with_(CASES) + _ANSWERED,
+    "batch_responses_resumed": with_(CASES) + _ANSWERED,
     "result_json_roundtrip": _RESULTS,
     "case_json_roundtrip": """SELECT CAST(dense_rank() OVER (ORDER BY conv_id) AS INTEGER) AS test_case,
   row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position, role, text AS content FROM conversations""",

@@ -62,6 +62,7 @@ from corpusloom.sources.corpora import corpus_columns, read_corpus
 from corpusloom.sources.logs import read_logs
 from corpusloom.sources.spread import spread
 from corpusloom.streaming.loss_metrics import extract_metrics, start_metric_stream
+from corpusloom.streaming.responses import read_journal, start_responses
 
 STEP_SHAPE = BatchShape(micro_batch=4, accumulation=8, world_size=8, max_steps=10)
 EPOCH_SHAPE = BatchShape(micro_batch=4, accumulation=8, world_size=8, epochs=3)
@@ -533,6 +534,15 @@ def q_batch_responses(spark, sf_dir):
     return batch_responses(conversation_cases(spark, sf_dir), _size_of_talk)
 
 
+def q_batch_responses_resumed(spark, sf_dir):
+    """The same as a stream over case files with a journal; a second job finds every case answered."""
+    cases = write_cases(conversation_cases(spark, sf_dir).repartition("test_case"), scratch_path(spark, "cases"))
+    journal = scratch_path(spark, "journal")
+    for _ in range(2):
+        start_responses(spark, cases, journal, scratch_path(spark, "responses"), _size_of_talk, files_per_batch=4).awaitTermination()
+    return read_journal(spark, journal)
+
+
 def q_result_json_roundtrip(spark, sf_dir):
     responses = batch_responses(conversation_cases(spark, sf_dir), _size_of_talk)
     path = scratch_path(spark, "results")
