@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -16,6 +17,9 @@ UNICODE_SPACE = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 
+# Characters of a batch that a task has as Python strings at a time. A row is never cut, so one may be longer.
+GROUP_CHARS = 1 << 20
+
 NULL_POLICIES = ("empty", "python", "error")
 
 # The frame around every rendered example.
@@ -123,12 +127,25 @@ def timestamp_key(ts: Column | str | None = None, pattern: str = "yyyyMMdd-HHmms
     return F.date_format(F.current_timestamp() if ts is None else _col(ts), pattern)
 
 
-def decoded(texts: pa.Array) -> list[str | None]:
-    """Python strings of an Arrow string column; broken UTF-8 is replaced instead of raising."""
-    return [
-        None if raw is None else raw.decode("utf-8", "replace")
-        for raw in texts.cast(pa.binary()).to_pylist()
-    ]
+def decoded(texts: pa.Array) -> Iterator[str | None]:
+    """Python strings of an Arrow string column, one at a time; broken UTF-8 is replaced instead of raising."""
+    for scalar in texts.cast(pa.binary()):
+        raw = scalar.as_py()
+        yield None if raw is None else raw.decode("utf-8", "replace")
+
+
+def grouped(texts: Iterable[str | None], size: int) -> Iterator[list[str | None]]:
+    """The texts one after the other in groups of about `size` characters."""
+    group: list[str | None] = []
+    n = 0
+    for text in texts:
+        group.append(text)
+        n += len(text or "")
+        if n >= size:
+            yield group
+            group, n = [], 0
+    if group:
+        yield group
 
 
 def nfc(c: Column | str) -> Column:
@@ -136,9 +153,10 @@ def nfc(c: Column | str) -> Column:
 
     @F.arrow_udf("string")
     def compose(texts: pa.Array) -> pa.Array:
-        return pa.array(
-            [None if t is None else unicodedata.normalize("NFC", t) for t in decoded(texts)],
-            pa.string(),
-        )
+        composed = [
+            pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in group], pa.string())
+            for group in grouped(decoded(texts), GROUP_CHARS)
+        ]
+        return pa.concat_arrays(composed) if composed else pa.array([], pa.string())
 
     return compose(_col(c))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.sequences import append_eos_pair
-from corpusloom.functions.text import decoded
+from corpusloom.functions.text import GROUP_CHARS, decoded, grouped
 from corpusloom.operators.lookup import ids_to_tokens
 from corpusloom.operators.vocab import (
     AUTOMATON_FROM,
@@ -42,12 +42,24 @@ def _encoded_array(
     return pa.StructArray.from_arrays([lists, n_tokens], names=["ids", "n_tokens"])
 
 
+def _in_groups(encode_group: Callable[[list[str | None]], pa.Array]) -> Callable:
+    """Arrow UDF that gives the rows of a batch group by group: a task holds the batch, one group and its ids."""
+
+    @F.arrow_udf(_ENCODED)
+    def encode_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for group in grouped(decoded(texts), GROUP_CHARS):
+                yield encode_group(group)
+
+    return encode_texts
+
+
 def _arrow_encoder(
     entries: Mapping[str, int], specials: Sequence[str], unk_id: int, max_tokens: int | None
 ) -> Callable:
     """Arrow UDF: NFC, special split, id lookup.
 
-    With each special marked as one code point, tokens are code points, so all texts of a batch
+    With each special marked as one code point, tokens are code points, so all texts of a group
     are looked up together in one table.
     """
     by_automaton = len(specials) > AUTOMATON_FROM
@@ -61,24 +73,22 @@ def _arrow_encoder(
     if by_automaton:
         code = coder(specials)
 
-        @F.arrow_udf(_ENCODED)
-        def encode_codes(texts: pa.Array) -> pa.Array:
+        def encode_codes(texts: list[str | None]) -> pa.Array:
             table = np.full(top + 1, unk_id, np.int32)
             table[known] = known_ids
-            rows = [None if t is None else table[np.minimum(code(t), top)] for t in decoded(texts)]
+            rows = [None if t is None else table[np.minimum(code(t), top)] for t in texts]
             kept = [np.empty(0, np.int32) if r is None else r[:max_tokens] for r in rows]
             ids = np.concatenate(kept) if kept else np.empty(0, np.int32)
             return _encoded_array(ids, [len(k) for k in kept], [None if r is None else len(r) for r in rows])
 
-        return encode_codes
+        return _in_groups(encode_codes)
 
     mark = marker(specials)
 
-    @F.arrow_udf(_ENCODED)
-    def encode_texts(texts: pa.Array) -> pa.Array:
+    def encode_texts(texts: list[str | None]) -> pa.Array:
         table = np.full(top + 1, unk_id, np.int32)
         table[known] = known_ids
-        marked = [None if t is None else mark(t) for t in decoded(texts)]
+        marked = [None if t is None else mark(t) for t in texts]
         kept = ["" if t is None else t[:max_tokens] for t in marked]
         lengths = [len(t) for t in kept]
         ids = np.empty(sum(lengths), np.int32)
@@ -88,7 +98,7 @@ def _arrow_encoder(
             done += len(piece)
         return _encoded_array(ids, lengths, [None if t is None else len(t) for t in marked])
 
-    return encode_texts
+    return _in_groups(encode_texts)
 
 
 def _native_encoded(
@@ -155,7 +165,9 @@ def encode_with(
     count_col: str | None = None,
     max_tokens: int | None = None,
 ) -> DataFrame:
-    """As `encode` with the user's tokenizer: a function from a batch of texts to id lists.
+    """As `encode` with the user's tokenizer: a function from a list of texts to id lists.
+
+    It gets texts of about GROUP_CHARS characters at a time, whatever the size of the batches.
 
     `setup` builds that function inside the task instead, for tokenizers that cannot be
     pickled or are costly to load; it runs once per task.
@@ -164,11 +176,9 @@ def encode_with(
         raise ValueError("give either tokenizer or setup")
     loaded: list[Callable] = []
 
-    @F.arrow_udf(_ENCODED)
-    def encode_texts(texts: pa.Array) -> pa.Array:
+    def encode_texts(strings: list[str | None]) -> pa.Array:
         if not loaded:
             loaded.append(tokenizer if tokenizer is not None else setup())
-        strings = decoded(texts)
         present = [i for i, t in enumerate(strings) if t is not None]
         kept = [np.empty(0, np.int32)] * len(strings)
         counts: list[int | None] = [None] * len(strings)
@@ -177,7 +187,7 @@ def encode_with(
         all_ids = np.concatenate(kept) if kept else np.empty(0, np.int32)
         return _encoded_array(all_ids, [len(k) for k in kept], counts)
 
-    return _with_encoded(df, encode_texts(F.col(text_col)), ids_col, count_col)
+    return _with_encoded(df, _in_groups(encode_texts)(F.col(text_col)), ids_col, count_col)
 
 
 def _with_encoded(df: DataFrame, encoded: Column, ids_col: str, count_col: str | None) -> DataFrame:

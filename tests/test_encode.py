@@ -163,6 +163,31 @@ def test_ten_thousand_specials_take_no_longer():
     assert spent[1] < 3 * spent[0] + 0.1
 
 
+@pytest.mark.parametrize("n_specials", [2, vo.AUTOMATON_FROM + 1])
+def test_encoding_gives_a_batch_group_by_group(n_specials):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from corpusloom.operators.encode import _arrow_encoder
+
+    specials = [f"<|{i}|>" for i in range(n_specials)]
+    encoder = _arrow_encoder({**VOCAB, "<|1|>": 30}, specials, 0, None).func
+    list(encoder(iter([pa.array(["a"])])))
+    batch = pa.array(["a\u00e9z<|1|>" + "a" * 4_000] * 2_000 + [None, ""])
+    tracemalloc.start()
+    ends, n, most = [], 0, 0
+    for got in encoder(iter([batch.slice(0, 0), batch])):
+        ends += [(n + i, got[i].as_py()) for i in range(len(got)) if n + i in (0, 1_999, 2_000, 2_001)]
+        n, most = n + len(got), max(most, len(got))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    text = {"ids": [5, 7, 0, 30] + [5] * 4_000, "n_tokens": 4_004}
+    assert ends == [(0, text), (1_999, text), (2_000, {"ids": None, "n_tokens": None}), (2_001, {"ids": [], "n_tokens": 0})]
+    assert n == 2_002 and most < 300
+    assert peak < 24 << 20  # the ids alone have 32 MB
+
+
 def test_null_empty_and_unknown(spark):
     got = encode(texts(spark, [None, "", "zz"]), VOCAB, unk_id=3, count_col="n")
     assert by_id(got, "ids") == [None, [], [3, 3]]
@@ -200,6 +225,22 @@ def test_user_tokenizer(spark):
         encode_with(df)
 
 
+def test_user_tokenizer_gets_texts_in_groups(spark, monkeypatch):
+    from corpusloom.operators import encode as module
+
+    monkeypatch.setattr(module, "GROUP_CHARS", 10)
+    values = [None if i % 7 == 3 else "ab " * (i % 6) for i in range(60)] + [None, ""]
+    df = texts(spark, values).coalesce(1)
+
+    def tokenizer(batch):
+        assert sum(map(len, batch)) < 10 + 15
+        return [[len(w) for w in t.split()] for t in batch]
+
+    got = encode_with(df, tokenizer, count_col="n", max_tokens=3)
+    assert by_id(got, "ids") == [None if t is None else [2] * min(len(t) // 3, 3) for t in values]
+    assert by_id(got, "n") == [None if t is None else len(t) // 3 for t in values]
+
+
 def test_decode_skips_and_falls_back(spark):
     df = spark.createDataFrame([(0, [1, 5, 77, 0, 8]), (1, []), (2, None)], "id int, ids array<int>")
     assert by_id(decode(df, VOCAB), "text") == ["<|im_start|>a<|endoftext|><|endoftext|>\U0001f600", "", None]
