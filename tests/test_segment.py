@@ -58,6 +58,21 @@ def test_words_and_whole_texts_give_the_same(monkeypatch):
     assert own.encode(texts) == by_word
 
 
+def test_words_of_long_texts_in_groups(monkeypatch):
+    rng = random.Random(5)
+    pieces = {p.replace(" ", "▁"): v for p, v in made_pieces(rng, "ab", 12).items()} | {"▁a": (90, -2.0), "▁ab": (91, -2.5), "▁": (92, -3.0)}
+    texts = [" ".join("".join(rng.choice("abz") for _ in range(rng.randrange(0, 9))) for _ in range(n)) for n in (900, 0, 1, 300, 700)]
+    texts += ["a" * 200 + " b", " " * 120, ""]
+    own = Segmenter(pieces)
+    whole = own.encode(texts)
+    seen, best = [], own._best
+    monkeypatch.setattr(own, "_best", lambda codes, bounds: seen.append(len(codes)) or best(codes, bounds))
+    monkeypatch.setattr(module, "GROUP_CHARS", 50)
+    assert own.encode(texts) == whole
+    assert len(seen) > 100 and sorted(seen)[-2] < 100 and max(seen) < 300  # a word is not cut
+    assert sum(seen) == sum(map(len, texts))
+
+
 def test_ties_take_the_longest_last_piece():
     own = Segmenter({"a": (1, -1.0), "b": (2, -1.0), "ab": (3, -2.0)})
     assert own.encode(["ab", "abab"]) == [[3], [3, 3]]
