@@ -136,3 +136,29 @@ def test_nfc(spark):
 def test_broken_utf8_is_replaced(spark):
     df = spark.sql("SELECT cast(x'61FF62' AS string) AS t")
     assert column(df, tx.nfc("t")) == ["a\ufffdb"]
+
+
+def test_a_batch_is_not_taken_as_strings_at_once():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array(["é" + "word " * 800] * 2_000)
+    tracemalloc.start()
+    assert sum(map(len, tx.decoded(texts))) == 2_000 * 4_001
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000_000
+    assert list(tx.decoded(pa.array(["a", None, ""]))) == ["a", None, ""]
+
+
+def test_groups_of_texts():
+    assert list(tx.grouped(["ab", None, "c", "", "defg", "h", None], 3)) == [["ab", None, "c"], ["", "defg"], ["h", None]]
+    assert list(tx.grouped([], 3)) == []
+
+
+def test_nfc_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(tx, "GROUP_CHARS", 3)
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else "e\u0301" * i) for i in range(20)], "i int, t string")
+    got = {r["i"]: r["n"] for r in df.coalesce(1).select("i", tx.nfc("t").alias("n")).collect()}
+    assert got == {i: None if i % 5 == 0 else "\u00e9" * i for i in range(20)}
