@@ -33,7 +33,13 @@ CHUNK = 1 << 17
 
 
 def compat_vocab(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(COMPAT_VOCAB.items()), VOCABULARY)
+    return _local_vocab(spark, COMPAT_VOCAB)
+
+
+def _local_vocab(spark: SparkSession, entries: Mapping[str, int]) -> DataFrame:
+    """The entries as a local table; one made from a list of rows would need Python workers of its own."""
+    columns = [pa.array(list(entries), pa.string()), pa.array(list(entries.values()), pa.int32())]
+    return spark.createDataFrame(pa.table(columns, names=VOCABULARY.names), VOCABULARY)
 
 
 def marker(specials: Iterable[str]) -> Callable[[str], str]:
@@ -203,7 +209,7 @@ def corpus_vocab(
         ranked = ranked.where(F.col("id") < first_id + max(max_size - len(reserved), 0))
     if not reserved:
         return ranked
-    return df.sparkSession.createDataFrame(list(reserved.items()), VOCABULARY).unionByName(ranked)
+    return _local_vocab(df.sparkSession, reserved).unionByName(ranked)
 
 
 def invert(vocab: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import vocab as vo
 from corpusloom.operators.encode import decode, encode, encode_with
 from corpusloom.operators.lookup import ids_to_tokens, joined_lookup, tokens_to_ids
-from corpusloom.schemas import COMPAT_VOCAB
+from corpusloom.schemas import COMPAT_VOCAB, VOCABULARY
 
 SLOW = settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 PIECES = st.sampled_from(
@@ -303,6 +303,15 @@ def test_counting_shuffles_counts_not_characters(spark, plan_text):
     assert "MapInArrow" in plan and "Generate" not in plan
 
 
+def test_reserved_entries_need_no_python_workers(spark, plan_text):
+    made = vo.corpus_vocab(spark.range(3).select(F.lit("abb").alias("text")), reserved={"<|x|>": 0, "é": 3})
+    for table in (made, vo.invert(made), vo.compat_vocab(spark)):
+        assert "ExistingRDD" not in plan_text(table)
+    assert {r["token"]: r["id"] for r in made.collect()} == {"<|x|>": 0, "é": 3, "b": 4, "a": 5}
+    assert made.schema.simpleString() == "struct<token:string,id:int>"
+    assert vo.compat_vocab(spark).schema == VOCABULARY
+
+
 def test_lookup_runs_without_python(spark, plan_text):
     df = spark.createDataFrame([(0, [5])], "id int, ids array<int>")
     assert "EvalPython" not in plan_text(decode(df, VOCAB))
